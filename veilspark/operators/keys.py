@@ -233,3 +233,24 @@ def salt_for(unwrapped: DataFrame, attribute: str) -> Column:
         .otherwise(F.raise_error(F.lit(f"no unique data salt key for attribute {attribute!r}")))
         .alias("dsk")
     ).scalar()
+
+
+def salts_struct(unwrapped: DataFrame, attributes) -> Column:
+    """DSKs of several attributes as one STRUCT from a single scalar subquery.
+
+    Field ``<attribute>`` holds that attribute's DSK. The subquery (and so
+    the unwrap) runs once per query. Raises at run time if an attribute
+    lacks exactly one usable DSK. Project it once as a column and read
+    the fields from that column: each separate use of a subquery Column
+    is planned as a subquery of its own.
+    """
+    attrs = sorted(set(attributes))
+    a, dsk = F.col("attribute"), F.col("dsk")
+    usable = unwrapped.where(a.isin(*attrs) & dsk.isNotNull())
+    fields = [
+        F.when(F.count_if(a == F.lit(x)) == 1, F.max(F.when(a == F.lit(x), dsk)))
+        .otherwise(F.raise_error(F.lit(f"no unique data salt key for attribute {x!r}")))
+        .alias(x)
+        for x in attrs
+    ]
+    return usable.select(F.struct(*fields).alias("salts")).scalar()

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from veilspark.functions.hashing import hash_column_name, salted_hash
 from veilspark.functions.masks import gated, mask_column
-from veilspark.operators.keys import salt_for
+from veilspark.operators.keys import salts_struct
+
+SALTS_COLUMN = "__veilspark_salts"
 
 
 @dataclass(frozen=True)
@@ -96,25 +98,24 @@ def plan_for_frame(df: DataFrame, sensitive: Mapping[str, str], hashed: bool = T
     return tp
 
 
-def salt_columns(unwrapped_keys: DataFrame, types: Iterable[str]) -> dict[str, Column]:
-    """One scalar subquery per distinct sensitivity type."""
-    return {t: salt_for(unwrapped_keys, t) for t in sorted(set(types))}
-
-
 def hash_projection(df: DataFrame, plan: TablePlan, unwrapped_keys: DataFrame,
                     num_bits: int = 512) -> DataFrame:
-    """Vault layout: every column in plan order, ``<c>_hash`` right after each hashed ``c``."""
-    salts = salt_columns(unwrapped_keys, plan.hashed.values())
+    """Vault layout: every column in plan order, ``<c>_hash`` right after each hashed ``c``.
+
+    The salts of all hashed types come from one scalar subquery, projected
+    once as a struct column and read field by field.
+    """
+    types = sorted(set(plan.hashed.values()))
+    src = df
+    if types:
+        src = df.select("*", salts_struct(unwrapped_keys, types).alias(SALTS_COLUMN))
     out: list[Column] = []
     for c in plan.columns:
         out.append(F.col(f"`{c.name}`"))
         if c.hashed:
-            out.append(
-                salted_hash(F.col(f"`{c.name}`"), salts[c.sensitivity_type], num_bits).alias(
-                    hash_column_name(c.name)
-                )
-            )
-    return df.select(*out)
+            salt = F.col(SALTS_COLUMN).getField(c.sensitivity_type)
+            out.append(salted_hash(F.col(f"`{c.name}`"), salt, num_bits).alias(hash_column_name(c.name)))
+    return src.select(*out)
 
 
 def mask_projection(df: DataFrame, sensitive: Mapping[str, str], member: Column | None = None) -> DataFrame:

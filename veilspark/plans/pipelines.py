@@ -19,6 +19,7 @@ from veilspark.functions.masks import register_sql_functions, sql_function_name
 from veilspark.operators import classify as C
 from veilspark.operators import keys as K
 from veilspark.operators import plan as P
+from veilspark.operators.partitioning import spread
 from veilspark.operators.protect import TablePlan, hash_projection, mask_projection, table_plans
 from veilspark.plans import store
 from veilspark.sources.catalog import column_catalog, table_catalog
@@ -184,7 +185,7 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
 
     def one(tp: TablePlan) -> str:
         _ensure_db(spark, VAULT, tp.schema_name, root)
-        src = spark.table(S.qualified(LANDING, tp.schema_name, tp.table_name))
+        src = spread(spark.table(S.qualified(LANDING, tp.schema_name, tp.table_name)))
         _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
                max_records_per_file)
         return tp.table_name
@@ -219,7 +220,7 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
 
     def one(tp: TablePlan) -> str:
         _ensure_db(spark, ANON, tp.schema_name, root)
-        src = spark.table(S.qualified(VAULT, tp.schema_name, tp.table_name))
+        src = spread(spark.table(S.qualified(VAULT, tp.schema_name, tp.table_name)))
         _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file)
         return tp.table_name
 
