@@ -18,3 +18,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
+    join stays a shuffle join, where AQE splits skewed partitions.
+    """
+    from pyspark.sql import functions as F
+
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilspark.functions.hashing import hash_column_name
+from veilspark.operators.partitioning import bounded_broadcast
 from veilspark.schemas import (
     DERIVED_HASH,
     SENSITIVE_CATEGORIES,
@@ -76,6 +77,10 @@ def load_plan(pending: DataFrame, column_catalog: DataFrame, column_tags: DataFr
     registry = key_registry.select(
         F.col("pci_pii_attribute_name").alias("tag_value"), "kek_name", "dsk_name"
     ).dropDuplicates(["tag_value"])
+    # tag_value has a handful of distinct values (plus NULL for most columns):
+    # a shuffle join on it would send almost everything to a few tasks, so the
+    # registry (one row per sensitivity type) is broadcast after a size check.
+    registry = bounded_broadcast(registry)
     return (
         cols.join(tags, COLUMN_KEYS, "left")
         .join(registry, "tag_value", "left")

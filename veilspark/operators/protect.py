@@ -79,6 +79,28 @@ def table_plans(rows: Iterable) -> list[TablePlan]:
     return sorted(plans.values(), key=lambda p: (p.catalog_name, p.schema_name, p.table_name))
 
 
+def iter_table_plans(plan_df: DataFrame):
+    """Yield one :class:`TablePlan` at a time from a load-plan frame.
+
+    Rows are clustered by table and sorted by position within partitions,
+    then streamed with ``toLocalIterator``: the driver holds one partition
+    at a time, never the plan of every table. Freeze ``plan_df`` first
+    (checkpoint) if the tables it looks at change while iterating.
+    """
+    keys = ["catalog_name", "schema_name", "table_name"]
+    ordered = plan_df.repartition(*keys).sortWithinPartitions(*keys, "ordinal_position")
+    current, rows = None, []
+    for r in ordered.toLocalIterator():
+        key = (r["catalog_name"], r["schema_name"], r["table_name"])
+        if key != current and rows:
+            yield table_plans(rows)[0]
+            rows = []
+        current = key
+        rows.append(r)
+    if rows:
+        yield table_plans(rows)[0]
+
+
 def plan_for_frame(df: DataFrame, sensitive: Mapping[str, str], hashed: bool = True,
                    catalog_name: str = "", schema_name: str = "", table_name: str = "") -> TablePlan:
     """A table plan from a frame's own schema and a ``{column: sensitivity_type}`` map."""

@@ -8,6 +8,7 @@ may run concurrently from a small thread pool.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,8 +21,9 @@ from veilspark.operators import classify as C
 from veilspark.operators import keys as K
 from veilspark.operators import plan as P
 from veilspark.operators.partitioning import spread
-from veilspark.operators.protect import TablePlan, hash_projection, mask_projection, table_plans
+from veilspark.operators.protect import TablePlan, hash_projection, iter_table_plans, mask_projection
 from veilspark.plans import store
+from veilspark.session import shared_dir
 from veilspark.sources.catalog import column_catalog, table_catalog
 from veilspark.sources.manifest import read_manifest
 
@@ -136,12 +138,19 @@ def _write(df: DataFrame, layer: str, schema: str, table: str, max_records_per_f
     w.saveAsTable(f"{S.database_name(layer, schema)}.{table}")
 
 
-def _record(spark: SparkSession, source: str, target: str, tp: TablePlan) -> None:
-    row = spark.createDataFrame(
-        [(source, target, tp.schema_name, tp.table_name)],
+def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan]) -> None:
+    rows = spark.createDataFrame(
+        [(source, target, tp.schema_name, tp.table_name) for tp in plans],
         "source_catalog string, target_catalog string, schema_name string, table_name string",
     ).withColumn("loaded_at", F.current_timestamp())
-    store.append(row, "loads")
+    store.append(rows, "loads")
+
+
+def _tables_frame(spark: SparkSession, catalog: str, plans: list[TablePlan]) -> DataFrame:
+    return spark.createDataFrame(
+        [(catalog, tp.schema_name, tp.table_name) for tp in plans],
+        "catalog_name string, schema_name string, table_name string",
+    )
 
 
 def _run_all(fn, plans: list[TablePlan], parallelism: int) -> list:
@@ -151,6 +160,17 @@ def _run_all(fn, plans: list[TablePlan], parallelism: int) -> list:
         return list(pool.map(fn, plans))
 
 
+def _chunks(it: Iterator[TablePlan], size: int) -> Iterator[list[TablePlan]]:
+    chunk: list[TablePlan] = []
+    for tp in it:
+        chunk.append(tp)
+        if len(chunk) >= size:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
+
+
 def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT) -> DataFrame:
     """PIPE-2 over the live catalog."""
     return P.load_plan(
@@ -162,25 +182,23 @@ def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT)
 
 
 def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = None,
-               privileged_group: str = "pii_readers", parallelism: int = 4,
+               privileged_group: str = "pii_readers", parallelism: int = 4, chunk_size: int = 64,
                max_records_per_file: int | None = None) -> list[str]:
     """PIPE-3: every pending landing table -> vault table with salted hashes.
 
-    Per table: hash projection and write, tags for columns and hash
-    columns, a role-gated masked view, then the completion record.
+    The load plan is frozen first (checkpoint in the shared folder), since
+    the loads change the catalog it reads. Tables are then taken in
+    chunks: data writes (concurrently), tags for columns and hash columns,
+    role-gated masked views, and finally one completion record per chunk.
     Raises before any write if a needed salt key is missing.
     """
-    plan_df = vault_plan(spark, LANDING, VAULT)
-    plans = table_plans(plan_df.collect())
-    if not plans:
-        return []
+    shared_dir(spark)
+    plan_df = vault_plan(spark, LANDING, VAULT).checkpoint()
     keys_df = unwrapped_keys(spark)
-    needed = {t for tp in plans for t in tp.hashed.values()}
-    if needed:
-        req = spark.createDataFrame([(t,) for t in sorted(needed)], "attribute string")
-        missing = [r.attribute for r in K.missing_salts(req, keys_df).collect()]
-        if missing:
-            raise RuntimeError(f"no usable data salt key for: {', '.join(sorted(missing))}")
+    required = plan_df.where(F.col("dsk_name").isNotNull()).select(F.col("tag_value").alias("attribute"))
+    missing = [r.attribute for r in K.missing_salts(required, keys_df).collect()]
+    if missing:
+        raise RuntimeError(f"no usable data salt key for: {', '.join(sorted(missing))}")
     register_mask_functions(spark, privileged_group)
 
     def one(tp: TablePlan) -> str:
@@ -190,33 +208,33 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
                max_records_per_file)
         return tp.table_name
 
-    done = _run_all(one, plans, parallelism)
-    # Tags of all loaded tables in one append (computed before any load is recorded).
-    tags = P.propagate_tags(store.read(spark, "column_tags"), plan_df, VAULT)
-    store.append(tags, "column_tags")
-    for tp in plans:
-        create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
-        _record(spark, LANDING, VAULT, tp)
+    done: list[str] = []
+    for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+        done += _run_all(one, chunk, parallelism)
+        chunk_plan = plan_df.join(_tables_frame(spark, LANDING, chunk),
+                                  ["catalog_name", "schema_name", "table_name"], "left_semi")
+        store.append(P.propagate_tags(store.read(spark, "column_tags"), chunk_plan, VAULT), "column_tags")
+        for tp in chunk:
+            create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
+        _record(spark, LANDING, VAULT, chunk)
     return done
 
 
-def anonymize_plans(spark: SparkSession) -> list[TablePlan]:
-    """Vault tables not yet anonymized, with the masks their tags call for."""
+def anonymize_plan(spark: SparkSession) -> DataFrame:
+    """Vault tables not yet anonymized, one row per column, type tag where masked."""
     todo = pending(spark, VAULT, ANON)
     cols = column_catalog(spark, [VAULT]).join(todo, ["catalog_name", "schema_name", "table_name"], "left_semi")
     sens = P.sensitive_columns(store.read(spark, "column_tags"))
-    rows = cols.join(sens, ["catalog_name", "schema_name", "table_name", "column_name"], "left").select(
+    return cols.join(sens, ["catalog_name", "schema_name", "table_name", "column_name"], "left").select(
         *P.PLAN_COLUMNS[:9], F.lit(None).cast("string").alias("kek_name"), F.lit(None).cast("string").alias("dsk_name")
-    ).collect()
-    return table_plans(rows)
+    )
 
 
 def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism: int = 4,
-                    max_records_per_file: int | None = None) -> list[str]:
+                    chunk_size: int = 64, max_records_per_file: int | None = None) -> list[str]:
     """PIPE-4: vault -> anonymized, masked whoever runs it, hashes kept, tags carried on."""
-    plans = anonymize_plans(spark)
-    if not plans:
-        return []
+    shared_dir(spark)
+    plan_df = anonymize_plan(spark).checkpoint()
 
     def one(tp: TablePlan) -> str:
         _ensure_db(spark, ANON, tp.schema_name, root)
@@ -224,15 +242,15 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
         _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file)
         return tp.table_name
 
-    done = _run_all(one, plans, parallelism)
-    names = spark.createDataFrame([(tp.schema_name, tp.table_name) for tp in plans],
-                                  "schema_name string, table_name string")
-    tags = store.read(spark, "column_tags").where(F.col("catalog_name") == VAULT).join(
-        names, ["schema_name", "table_name"], "left_semi"
-    ).withColumn("catalog_name", F.lit(ANON))
-    store.append(tags, "column_tags")
-    for tp in plans:
-        _record(spark, VAULT, ANON, tp)
+    done: list[str] = []
+    for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+        done += _run_all(one, chunk, parallelism)
+        names = _tables_frame(spark, VAULT, chunk)
+        tags = store.read(spark, "column_tags").join(
+            names, ["catalog_name", "schema_name", "table_name"], "left_semi"
+        ).withColumn("catalog_name", F.lit(ANON))
+        store.append(tags, "column_tags")
+        _record(spark, VAULT, ANON, chunk)
     return done
 
 
