@@ -99,3 +99,15 @@ def test_hash_name_clash_raises(spark):
 
     with pytest.raises(ValueError):
         plan_for_frame(df, {"ssn": "ssn"})
+
+
+def test_not_null_enforced_in_projection(spark):
+    import pytest
+    from veilspark.operators.protect import ColumnPlan, TablePlan, hash_projection
+
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    tp = TablePlan("landing", "s", "t", [ColumnPlan("v", nullable=False, position=1)])
+    with pytest.raises(Exception, match="NULL in NOT NULL column s.t.v"):
+        hash_projection(df, tp, None, 512).collect()
+    ok = TablePlan("landing", "s", "t", [ColumnPlan("v", nullable=True, position=1)])
+    assert hash_projection(df, ok, None, 512).count() == 2

@@ -133,13 +133,26 @@ def hash_projection(df: DataFrame, plan: TablePlan, unwrapped_keys: DataFrame,
         src = df.select("*", salts_struct(unwrapped_keys, types).alias(SALTS_COLUMN))
     out: list[Column] = []
     for c in plan.columns:
-        out.append(F.col(f"`{c.name}`"))
+        out.append(_not_null_checked(c, plan))
         if c.hashed:
             salt = F.col(SALTS_COLUMN).getField(c.sensitivity_type)
             out.append(salted_hash(F.col(f"`{c.name}`"), salt, num_bits).alias(hash_column_name(c.name)))
     return src.select(*out)
 
 
+def _not_null_checked(c: ColumnPlan, plan: TablePlan) -> Column:
+    """The column, raising inside the same scan if a NOT NULL column holds NULL.
+
+    Parquet does not enforce NOT NULL; checking in the projection costs no
+    extra pass over the data.
+    """
+    col = F.col(f"`{c.name}`")
+    if c.nullable:
+        return col
+    msg = f"NULL in NOT NULL column {plan.schema_name}.{plan.table_name}.{c.name}"
+    return F.when(col.isNull(), F.raise_error(F.lit(msg))).otherwise(col).alias(c.name)
+
+
 def mask_projection(df: DataFrame, sensitive: Mapping[str, str], member: Column | None = None) -> DataFrame:
     """Same columns, sensitive ones masked by type (STRING).
 
