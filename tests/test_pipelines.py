@@ -108,3 +108,17 @@ def test_rotation_keeps_hashes_valid(spark, estate):
     latest = store.read(spark, "kek_versions").groupBy("kek_name").agg(F.max_by("version", "created").alias("l"))
     ds = store.read(spark, "dsk_store").join(latest, "kek_name")
     assert ds.where(F.col("kek_version") != F.col("l")).count() == 0
+
+
+def test_create_and_append_landing_table(spark, sf_small):
+    from pyspark.sql import types as T
+
+    struct = T.StructType([T.StructField(n, T.StringType(), True) for n, _, _ in fx.SENSITIVE_COLUMNS])
+    name = PL.create_table(spark, "landing", "extra", "customer_records_2", struct)
+    assert spark.table(name).count() == 0
+    rows = fx.pii_customers(spark.read.parquet(f"{sf_small}/customer.parquet"))
+    PL.append_table(rows, "landing", "extra", "customer_records_2")
+    PL.append_table(rows, "landing", "extra", "customer_records_2")
+    assert spark.table(name).count() == 2 * rows.count()
+    PL.create_table(spark, "landing", "extra", "customer_records_2", struct, replace=True)
+    assert spark.table(name).count() == 0

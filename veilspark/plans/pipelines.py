@@ -254,6 +254,25 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
     return done
 
 
+# --------------------------------------------------------------------------- landing tables
+
+def create_table(spark: SparkSession, layer: str, schema: str, table: str, struct,
+                 replace: bool = False, root: str | None = None) -> str:
+    """SNK-2/SNK-7: (re)create an empty parquet table with a fixed schema in a layer."""
+    _ensure_db(spark, layer, schema, root)
+    name = f"{S.database_name(layer, schema)}.{table}"
+    if replace or not spark.catalog.tableExists(name):
+        spark.createDataFrame([], struct).write.format("parquet").mode("overwrite").saveAsTable(name)
+    return name
+
+
+def append_table(df: DataFrame, layer: str, schema: str, table: str) -> None:
+    """SNK-1: append rows to a layer table, columns matched by name."""
+    name = f"{S.database_name(layer, schema)}.{table}"
+    cols = df.sparkSession.table(name).columns
+    df.select(*cols).write.format("parquet").mode("append").insertInto(name)
+
+
 # --------------------------------------------------------------------------- masked views
 
 def register_mask_functions(spark: SparkSession, privileged_group: str = "pii_readers") -> list[str]:
