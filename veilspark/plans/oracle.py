@@ -158,7 +158,10 @@ ORACLE_SQL: dict[str, str] = {
  {_TABLE_TYPES} as full_data_type, 'YES' as is_nullable, cast(ordinal_position as integer) as ordinal_position
  from information_schema.columns
  where table_name in ('region','nation','customer','supplier','part','orders','lineitem','events',
-                      'documents','embeddings','pages','benchmark','labels','conversations')""",
+                      'documents','embeddings','pages','benchmark','labels','conversations')
+ union all select * from (""" + _estate(
+        "select 'landing', schema_name, table_name, col.c, col.dt, col.nl, cast(col.pos as integer) from pc",
+        f"pc as (select k, schema_name, table_name, unnest({_COLS_LIST}) as col from t)") + ")",
     "manifest_flatten": _estate(
         "select schema_name, table_name, column_name, tag_name, tag_value from m "
         "union all select schema_name, table_name, 'nickname', 'sensitivity_category', 'pii' from t where k%11=0 "

@@ -34,27 +34,32 @@ LANDING, VAULT, ANON = S.Layer.LANDING.value, S.Layer.VAULT.value, S.Layer.ANONY
 
 @dataclass
 class ClassifyResult:
-    mismatches: list  # rows (schema_name, table_name, column_name, reason)
-    applied: int      # number of tags written (0 if gated)
-    version: int | None
+    mismatches: DataFrame  # (schema_name, table_name, column_name, reason), frozen
+    mismatch_count: int
+    applied: int           # number of tags written (0 if gated)
+    version: int | None    # new column_tags version, if any
 
 
 def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDING) -> ClassifyResult:
-    """PIPE-1: manifest -> validation -> tags of ``catalog_name``, all or nothing."""
+    """PIPE-1: manifest -> validation -> tags of ``catalog_name``, all or nothing.
+
+    The mismatch report is returned whole as a frozen frame (checkpoint in
+    the shared folder), never collected.
+    """
+    shared_dir(spark)
     manifest = C.flatten_manifest(read_manifest(spark, manifest_path))
     cols = column_catalog(spark, [catalog_name])
-    mismatch = C.manifest_mismatch(manifest, cols, catalog_name)
-    # Mismatches are few (operator errors); limit keeps the report bounded, the gate uses all.
-    report = mismatch.limit(1000).collect()
-    if report:
-        return ClassifyResult(report, 0, None)
+    mismatch = C.manifest_mismatch(manifest, cols, catalog_name).checkpoint()
+    n_mismatch = mismatch.count()
+    if n_mismatch:
+        return ClassifyResult(mismatch, n_mismatch, 0, None)
     tags = store.read(spark, "column_tags")
     missing = C.missing_tags(manifest, tags, catalog_name).count()
     if missing == 0:
-        return ClassifyResult([], 0, None)
+        return ClassifyResult(mismatch, 0, 0, None)
     others = tags.where(F.col("catalog_name") != catalog_name)
     merged = others.unionByName(C.apply_tags(manifest, cols, tags, catalog_name))
-    return ClassifyResult([], missing, store.publish(merged, "column_tags"))
+    return ClassifyResult(mismatch, 0, missing, store.publish(merged, "column_tags"))
 
 
 # --------------------------------------------------------------------------- keys

@@ -67,9 +67,9 @@ def synthetic_pii(spark, d):
 
 
 def column_catalog(spark, d):
-    """SRC-4: one row per column of each given table (schemas only, no data read)."""
+    """SRC-4: columns of the given tables (from their schemas) and of every tenant table."""
     frames = {("landing", "testdata", t): table(spark, d, t) for t in DRIVER_TABLES}
-    return frames_column_catalog(spark, frames)
+    return frames_column_catalog(spark, frames).unionByName(fx.estate_column_catalog(_customer(spark, d)))
 
 
 # --------------------------------------------------------------------------- classify

@@ -15,6 +15,41 @@ from pyspark.sql import DataFrame, SparkSession
 from veilspark.schemas import COLUMN_CATALOG, TABLE_CATALOG, split_database
 
 
+class _RowSink:
+    """Collects metadata rows on the driver in bounded batches.
+
+    Up to ``batch_rows`` rows stay in memory; beyond that they are
+    appended to a parquet folder under the shared checkpoint folder and
+    the result is read back from there, so a catalog of any size never
+    sits whole in driver memory.
+    """
+
+    def __init__(self, spark: SparkSession, schema, name: str, batch_rows: int):
+        self.spark, self.schema, self.name, self.batch_rows = spark, schema, name, batch_rows
+        self.rows: list[tuple] = []
+        self.path: str | None = None
+
+    def add(self, rows: list[tuple]) -> None:
+        self.rows += rows
+        if len(self.rows) >= self.batch_rows:
+            self._flush()
+
+    def _flush(self) -> None:
+        from veilspark.session import scratch_path
+
+        if self.path is None:
+            self.path = scratch_path(self.spark, self.name)
+        self.spark.createDataFrame(self.rows, self.schema).write.mode("append").parquet(self.path)
+        self.rows = []
+
+    def frame(self) -> DataFrame:
+        if self.path is None:
+            return self.spark.createDataFrame(self.rows, self.schema)
+        if self.rows:
+            self._flush()
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def _layer_databases(spark: SparkSession, layers: Iterable[str] | None) -> list[tuple[str, str, str]]:
     wanted = set(layers) if layers is not None else None
     out = []
@@ -25,14 +60,14 @@ def _layer_databases(spark: SparkSession, layers: Iterable[str] | None) -> list[
     return sorted(out)
 
 
-def table_catalog(spark: SparkSession, layers: Iterable[str] | None = None) -> DataFrame:
+def table_catalog(spark: SparkSession, layers: Iterable[str] | None = None,
+                  batch_rows: int = 200_000) -> DataFrame:
     """``(catalog_name, schema_name, table_name, table_type)`` of the layers' databases."""
-    rows = []
+    sink = _RowSink(spark, TABLE_CATALOG, "table-catalog", batch_rows)
     for db, layer, schema in _layer_databases(spark, layers):
-        for t in spark.catalog.listTables(db):
-            if not t.isTemporary:
-                rows.append((layer, schema, t.name, (t.tableType or "").upper()))
-    return spark.createDataFrame(rows, TABLE_CATALOG)
+        sink.add([(layer, schema, t.name, (t.tableType or "").upper())
+                  for t in spark.catalog.listTables(db) if not t.isTemporary])
+    return sink.frame()
 
 
 def _schema_rows(catalog: str, schema: str, table: str, struct) -> list[tuple]:
@@ -43,19 +78,19 @@ def _schema_rows(catalog: str, schema: str, table: str, struct) -> list[tuple]:
 
 
 def column_catalog(spark: SparkSession, layers: Iterable[str] | None = None,
-                   nullability: DataFrame | None = None) -> DataFrame:
+                   nullability: DataFrame | None = None, batch_rows: int = 200_000) -> DataFrame:
     """One row per column of every managed table in the layers.
 
     Parquet tables report every column nullable; pass the source
     ``column_catalog`` as ``nullability`` to carry NOT NULL through.
     """
-    rows = []
+    sink = _RowSink(spark, COLUMN_CATALOG, "column-catalog", batch_rows)
     for db, layer, schema in _layer_databases(spark, layers):
         for t in spark.catalog.listTables(db):
             if t.isTemporary or (t.tableType or "").upper() != "MANAGED":
                 continue
-            rows += _schema_rows(layer, schema, t.name, spark.table(f"`{db}`.`{t.name}`").schema)
-    df = spark.createDataFrame(rows, COLUMN_CATALOG)
+            sink.add(_schema_rows(layer, schema, t.name, spark.table(f"`{db}`.`{t.name}`").schema))
+    df = sink.frame()
     if nullability is not None:
         from pyspark.sql import functions as F
 
