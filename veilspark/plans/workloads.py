@@ -156,12 +156,19 @@ def key_registry(spark, d):
     return keys.ensure_registry(existing, in_use)
 
 
+def _wall_clock(df: DataFrame, *cols: str) -> DataFrame:
+    """Timestamps as local wall-clock time (TIMESTAMP_NTZ) so results read the same in any session zone."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def kek_latest_version(spark, d):
-    return keys.latest_kek_versions(fx.estate_kek_versions(_customer(spark, d)))
+    latest = keys.latest_kek_versions(fx.estate_kek_versions(_customer(spark, d)))
+    return _wall_clock(latest, "latest_created")
 
 
 def keys_due(spark, d):
-    return keys.keys_due(fx.estate_kek_versions(_customer(spark, d)), ROTATION_AS_OF)
+    due = keys.keys_due(fx.estate_kek_versions(_customer(spark, d)), ROTATION_AS_OF)
+    return _wall_clock(due, "created", "due_at")
 
 
 def keys_ensure(spark, d):
