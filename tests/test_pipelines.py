@@ -123,3 +123,16 @@ def test_create_and_append_landing_table(spark, sf_small):
     assert spark.table(name).count() == 2 * rows.count()
     PL.create_table(spark, "landing", "extra", "customer_records_2", struct, replace=True)
     assert spark.table(name).count() == 0
+
+
+def test_no_key_material_in_plans(spark, estate):
+    from veilspark.operators.protect import hash_projection, plan_for_frame
+
+    keks = [bytes(r.kek).hex() for r in store.read(spark, "kek_versions").collect()]
+    dsks = [bytes(r.dsk).hex() for r in PL.unwrapped_keys(spark).collect()]
+    src = spark.table(f"landing__{SCHEMA}.customer_records_1")
+    out = hash_projection(src, plan_for_frame(src, fx.SENSITIVE_TYPE_OF), PL.unwrapped_keys(spark), 512)
+    out.write.format("noop").mode("overwrite").save()
+    text = out._jdf.queryExecution().toString().lower() + out._jdf.queryExecution().executedPlan().toString().lower()
+    assert keks and dsks
+    assert not any(k in text for k in keks + dsks)
