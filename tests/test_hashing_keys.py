@@ -107,3 +107,21 @@ def test_keys_due_policy(spark):
              F.lit(b"x").cast("binary").alias("kek"))
     due = K.keys_due(kv, "2024-12-01 00:00:00").collect()
     assert [r.kek_name for r in due] == ["k1"]
+
+
+def test_typed_columns_mask_and_hash_through_string_form(spark):
+    import datetime as dt
+
+    from veilspark.operators.protect import hash_projection, mask_projection, plan_for_frame
+
+    df = spark.createDataFrame([(7, dt.date(1980, 2, 3)), (8, None)], "id bigint, dob date")
+    reg, versions, store = fx.global_keys(spark)
+    u = K.unwrap_dsks(store, versions)
+    tp = plan_for_frame(df, {"id": "ssn", "dob": "dob"})
+    vault = hash_projection(df, tp, u, 512)
+    r = vault.where("id = 7").first()
+    assert r.id_hash == hashlib.sha512(b"SALT-ssn7").hexdigest()
+    assert r.dob_hash == hashlib.sha512(b"SALT-dob1980-02-03").hexdigest()
+    anon = mask_projection(vault, {"dob": "dob"})
+    assert dict(anon.dtypes)["dob"] == "string"
+    assert {x.id: x.dob for x in anon.collect()} == {7: "1980", 8: None}
