@@ -35,8 +35,8 @@ def estate(spark, sf_small, tmp_path_factory):
     o = spark.read.parquet(f"{sf_small}/orders.parquet")
     fx.pii_customers(c).write.format("parquet").mode("overwrite").saveAsTable(f"landing__{SCHEMA}.customer_records_1")
     fx.orders_pii(o).write.format("parquet").mode("overwrite").saveAsTable(f"landing__{SCHEMA}.order_records")
-    spark.read.parquet(f"{sf_small}/nation.parquet").write.format("parquet").mode("overwrite").saveAsTable(
-        f"landing__{SCHEMA}.nation")
+    spark.read.parquet(f"{sf_small}/nation.parquet").write.format("parquet").mode("overwrite").partitionBy(
+        "n_regionkey").saveAsTable(f"landing__{SCHEMA}.nation")
     return tmp_path_factory.mktemp("pipe")
 
 
@@ -136,3 +136,9 @@ def test_no_key_material_in_plans(spark, estate):
     text = out._jdf.queryExecution().toString().lower() + out._jdf.queryExecution().executedPlan().toString().lower()
     assert keks and dsks
     assert not any(k in text for k in keks + dsks)
+
+
+def test_partitioning_is_kept(spark, estate):
+    for layer in ("landing", "vault", "anonymized"):
+        assert PL.partition_columns(spark, f"{layer}__{SCHEMA}.nation") == ["n_regionkey"], layer
+    assert spark.table(f"anonymized__{SCHEMA}.nation").count() == 25

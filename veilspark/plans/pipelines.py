@@ -136,8 +136,17 @@ def _ensure_db(spark: SparkSession, layer: str, schema: str, root: str | None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{S.database_name(layer, schema)}`{loc}")
 
 
-def _write(df: DataFrame, layer: str, schema: str, table: str, max_records_per_file: int | None) -> None:
+def partition_columns(spark: SparkSession, qualified_name: str) -> list[str]:
+    """Partition columns of a catalog table, in order."""
+    return [c.name for c in spark.catalog.listColumns(qualified_name.replace("`", "")) if c.isPartition]
+
+
+def _write(df: DataFrame, layer: str, schema: str, table: str, max_records_per_file: int | None,
+           partition_by: list[str] | None = None) -> None:
+    """Overwrite the target table, keeping the source's partition columns."""
     w = df.write.format("parquet").mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.saveAsTable(f"{S.database_name(layer, schema)}.{table}")
@@ -208,9 +217,10 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
 
     def one(tp: TablePlan) -> str:
         _ensure_db(spark, VAULT, tp.schema_name, root)
-        src = spread(spark.table(S.qualified(LANDING, tp.schema_name, tp.table_name)))
+        name = S.qualified(LANDING, tp.schema_name, tp.table_name)
+        src = spread(spark.table(name))
         _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
-               max_records_per_file)
+               max_records_per_file, partition_columns(spark, name))
         return tp.table_name
 
     done: list[str] = []
@@ -243,8 +253,10 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
 
     def one(tp: TablePlan) -> str:
         _ensure_db(spark, ANON, tp.schema_name, root)
-        src = spread(spark.table(S.qualified(VAULT, tp.schema_name, tp.table_name)))
-        _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file)
+        name = S.qualified(VAULT, tp.schema_name, tp.table_name)
+        src = spread(spark.table(name))
+        _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file,
+               partition_columns(spark, name))
         return tp.table_name
 
     done: list[str] = []
