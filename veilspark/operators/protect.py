@@ -140,6 +140,22 @@ def hash_projection(df: DataFrame, plan: TablePlan, unwrapped_keys: DataFrame,
     return src.select(*out)
 
 
+def add_hashes(df: DataFrame, keep: Iterable[str], hashes: Mapping[str, tuple[str, str]],
+               unwrapped_keys: DataFrame, num_bits: int = 512) -> DataFrame:
+    """``keep`` columns plus ``{out_name: (column, sensitivity_type)}`` salted hashes.
+
+    Like :func:`hash_projection`, all salts come from one scalar subquery
+    projected once.
+    """
+    types = sorted({t for _, t in hashes.values()})
+    staged = df.select("*", salts_struct(unwrapped_keys, types).alias(SALTS_COLUMN))
+    salts = F.col(SALTS_COLUMN)
+    return staged.select(
+        *[F.col(f"`{c}`") for c in keep],
+        *[salted_hash(F.col(f"`{c}`"), salts.getField(t), num_bits).alias(out) for out, (c, t) in hashes.items()],
+    )
+
+
 def _not_null_checked(c: ColumnPlan, plan: TablePlan) -> Column:
     """The column, raising inside the same scan if a NOT NULL column holds NULL.
 

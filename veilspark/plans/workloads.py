@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from veilspark.functions import masks as M
 from veilspark.functions.crypto import unwrap, wrap
-from veilspark.functions.hashing import salted_hash
 from veilspark.operators import classify, keys, plan
-from veilspark.operators.keys import salt_for
 from veilspark.operators.joins import lookup_on_hash
 from veilspark.operators.protect import (
+    add_hashes,
     hash_projection,
     mask_projection,
     plan_for_frame,
@@ -253,16 +252,17 @@ def mask_role_gate(spark, d):
 # --------------------------------------------------------------------------- hashing
 
 def hash_column(spark, d):
-    salt = salt_for(_unwrapped_global(spark), "ssn")
-    return _pii(spark, d).select("id", "ssn", salted_hash("ssn", salt, ORACLE_BITS).alias("ssn_hash"))
+    return add_hashes(_pii(spark, d), ["id", "ssn"], {"ssn_hash": ("ssn", "ssn")},
+                      _unwrapped_global(spark), ORACLE_BITS)
 
 
 def hash_null(spark, d):
-    salt = salt_for(_unwrapped_global(spark), "ssn")
-    return _pii(spark, d).select(
+    hashed = add_hashes(_pii(spark, d), ["id", "ssn"], {"ssn_hash": ("ssn", "ssn")},
+                        _unwrapped_global(spark), ORACLE_BITS)
+    return hashed.select(
         "id",
         F.col("ssn").isNull().alias("ssn_is_null"),
-        salted_hash("ssn", salt, ORACLE_BITS).isNull().alias("hash_is_null"),
+        F.col("ssn_hash").isNull().alias("hash_is_null"),
     )
 
 
@@ -274,11 +274,9 @@ def hash_interleave(spark, d):
 def hash_join(spark, d):
     """JN-9: orders joined to anonymized customers through SSN hashes only."""
     unwrapped = _unwrapped_global(spark)
-    salt = salt_for(unwrapped, "ssn")
-    customers = _pii(spark, d).select("id", salted_hash("ssn", salt, ORACLE_BITS).alias("ssn_hash"))
-    orders = fx.orders_pii(table(spark, d, "orders")).select(
-        "o_orderkey", salted_hash("cust_ssn", salt, ORACLE_BITS).alias("cust_ssn_hash")
-    )
+    customers = add_hashes(_pii(spark, d), ["id"], {"ssn_hash": ("ssn", "ssn")}, unwrapped, ORACLE_BITS)
+    orders = add_hashes(fx.orders_pii(table(spark, d, "orders")), ["o_orderkey"],
+                        {"cust_ssn_hash": ("cust_ssn", "ssn")}, unwrapped, ORACLE_BITS)
     return lookup_on_hash(
         customers, orders, "ssn_hash", "cust_ssn_hash",
         [F.count(F.lit(1)).alias("n_orders"), F.sum("o_orderkey").alias("sum_orderkey")],
