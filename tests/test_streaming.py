@@ -17,13 +17,13 @@ def test_incremental_runs_equal_batch(spark, sf_small):
     out = scratch_path(spark, "out")
     ckpt = scratch_path(spark, "ckpt")
     schema = customers.schema
-    customers.where("c_custkey % 2 = 0").write.parquet(f"{landing}/part1")
+    customers.where("c_custkey % 2 = 0").write.parquet(landing)
     run = dict(sensitive=fx.SENSITIVE_TYPE_OF, unwrapped_keys=unwrapped, transform=fx.pii_customers,
                out_path=out, checkpoint=ckpt, num_bits=512)
-    protect_stream(spark, f"{landing}/*", schema, **run)
+    protect_stream(spark, landing, schema, **run)
     n1 = read_protected(spark, out).count()
-    customers.where("c_custkey % 2 = 1").write.parquet(f"{landing}/part2")
-    protect_stream(spark, f"{landing}/*", schema, **run)
+    customers.where("c_custkey % 2 = 1").write.mode("append").parquet(landing)
+    protect_stream(spark, landing, schema, **run)
     got = read_protected(spark, out)
     df = fx.pii_customers(customers)
     want = hash_projection(df, plan_for_frame(df, fx.SENSITIVE_TYPE_OF), unwrapped, 512)
@@ -31,5 +31,5 @@ def test_incremental_runs_equal_batch(spark, sf_small):
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # a third run with nothing new adds nothing
-    protect_stream(spark, f"{landing}/*", schema, **run)
+    protect_stream(spark, landing, schema, **run)
     assert read_protected(spark, out).count() == want.count()

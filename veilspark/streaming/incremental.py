@@ -1,12 +1,14 @@
 """STR-1: incremental protection of newly arrived landing files.
 
-A file stream over the landing folder feeds each micro-batch through the
-same hash projection as the batch vault load. Output is written per
-batch id with overwrite, so a retried batch (lost executor, restarted
-driver) replaces its own partial output instead of duplicating it, and
-the checkpoint records which files were consumed: exactly-once append.
-``trigger(availableNow=True)`` processes what has arrived and stops, so
-the job can be scheduled like a batch job.
+A file stream over the landing folder goes through the same hash
+projection as the batch vault load and into Spark's parquet file sink.
+The sink's commit log (``_spark_metadata``) and the query checkpoint
+make the append exactly-once: a batch retried after a lost executor or a
+restarted driver neither loses nor duplicates rows, and readers of the
+output folder only see committed files. The salt subquery is planned
+with each micro-batch, so the stream always uses the current wrapped
+keys. ``trigger(availableNow=True)`` processes what has arrived and
+stops, so the job can be scheduled like a batch job.
 """
 
 from __future__ import annotations
@@ -19,27 +21,13 @@ from pyspark.sql.types import StructType
 from veilspark.operators.protect import hash_projection, plan_for_frame
 from veilspark.session import scratch_path
 
-BATCH_COLUMN = "batch_id"
-
-
-def protect_batches(sensitive: Mapping[str, str], unwrapped_keys: DataFrame, out_path: str,
-                    num_bits: int = 512) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: hash the batch and write it under ``batch_id=<id>``."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        tp = plan_for_frame(batch, sensitive)
-        protected = hash_projection(batch, tp, unwrapped_keys, num_bits)
-        protected.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
-
-    return run
-
 
 def protect_stream(spark: SparkSession, source_path: str, schema: StructType, *,
                    sensitive: Mapping[str, str], unwrapped_keys: DataFrame,
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    out_path: str | None = None, checkpoint: str | None = None,
                    num_bits: int = 512, max_files_per_trigger: int | None = None,
-                   file_glob: str | None = None) -> str:
+                   file_glob: str | None = None, partition_by: list[str] | None = None) -> str:
     """Run the stream until all available files are protected; return ``out_path``.
 
     ``source_path`` is the landing folder; ``file_glob`` limits the files
@@ -56,12 +44,17 @@ def protect_stream(spark: SparkSession, source_path: str, schema: StructType, *,
     stream = reader.parquet(source_path)
     if transform is not None:
         stream = transform(stream)
-    q = (
-        stream.writeStream.foreachBatch(protect_batches(sensitive, unwrapped_keys, out_path, num_bits))
+    protected = hash_projection(stream, plan_for_frame(stream, sensitive), unwrapped_keys, num_bits)
+    writer = (
+        protected.writeStream.format("parquet")
+        .option("path", out_path)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    q = writer.start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
@@ -69,5 +62,5 @@ def protect_stream(spark: SparkSession, source_path: str, schema: StructType, *,
 
 
 def read_protected(spark: SparkSession, out_path: str) -> DataFrame:
-    """All protected rows written so far (the batch id column dropped)."""
-    return spark.read.parquet(out_path).drop(BATCH_COLUMN)
+    """All committed protected rows (the sink's commit log is honoured)."""
+    return spark.read.parquet(out_path)
