@@ -142,3 +142,10 @@ def test_partitioning_is_kept(spark, estate):
     for layer in ("landing", "vault", "anonymized"):
         assert PL.partition_columns(spark, f"{layer}__{SCHEMA}.nation") == ["n_regionkey"], layer
     assert spark.table(f"anonymized__{SCHEMA}.nation").count() == 25
+
+
+def test_tag_reads_prune_by_layer(spark, estate):
+    df = store.read(spark, "column_tags").where(F.col("catalog_name") == "vault")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(catalog_name" in plan and "= vault" in plan
+    assert df.count() > 0

@@ -28,6 +28,14 @@ VERSIONED_TABLES = {
     "column_tags": S.COLUMN_TAGS,
     "dsk_store": S.DSK_STORE,
 }
+# Tags are read per layer, so the tag table is partitioned by it (pruned scans).
+PARTITION_COLUMNS = {"column_tags": ["catalog_name"]}
+
+
+def _writer(df: DataFrame, name: str):
+    w = df.write.format("parquet")
+    parts = PARTITION_COLUMNS.get(name)
+    return w.partitionBy(*parts) if parts else w
 
 
 def core_name(name: str) -> str:
@@ -57,7 +65,7 @@ def ensure_core(spark: SparkSession, location: str | None = None) -> None:
             spark.createDataFrame([], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}")
     for name, schema in VERSIONED_TABLES.items():
         if not _versions(spark, name):
-            spark.createDataFrame([], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}__v1")
+            _writer(spark.createDataFrame([], schema), name).saveAsTable(f"{CORE}.{name}__v1")
             _point_view(spark, name, 1)
 
 
@@ -80,6 +88,6 @@ def publish(df: DataFrame, name: str) -> int:
     spark = df.sparkSession
     nxt = _versions(spark, name)[-1] + 1
     cols = [f.name for f in VERSIONED_TABLES[name].fields]
-    df.select(*cols).write.format("parquet").saveAsTable(f"{CORE}.{name}__v{nxt}")
+    _writer(df.select(*cols), name).saveAsTable(f"{CORE}.{name}__v{nxt}")
     _point_view(spark, name, nxt)
     return nxt
