@@ -227,7 +227,7 @@ ORACLE_SQL: dict[str, str] = {
         "select attribute, kek_name, dsk_name, latest_version as kek_version, (k%2<>0 and k%3<>0) as rotated, "
         "sha256('SALT-t' || cast(k as varchar) || '-' || attribute) as dsk_fingerprint from kk where k%5<>0", TENANT_KEYS),
     "aes_roundtrip": f"with p as ({PII}) select id, ssn, pan, ssn as ssn_roundtrip, pan as pan_roundtrip, "
-                     "length(ssn) + 28 as ssn_cipher_len from p",
+                     "cast(length(ssn) + 28 as integer) as ssn_cipher_len from p",
     **{
         f"mask_{t.replace('-', '_')}": f"with p as ({PII}) select id, {c}, {_mask(c)} as {c}_masked from p"
         for c, _, t in SENSITIVE_COLUMNS
