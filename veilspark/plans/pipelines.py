@@ -1,9 +1,9 @@
 """Pipelines that write: classify, keys, vault load, anonymized load, masked views.
 
 Data rows never pass through Python: each table is one
-``scan -> select -> write`` Spark job. The driver sees only metadata
-(one collect of the load plan, whose rows are columns), and table jobs
-may run concurrently from a small thread pool.
+``scan -> select -> write`` Spark job. The driver sees only metadata: the
+load plan is frozen with ``checkpoint()`` and streamed table by table.
+Table jobs run concurrently from a small thread pool, chunk by chunk.
 """
 
 from __future__ import annotations
@@ -216,7 +216,6 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
     register_mask_functions(spark, privileged_group)
 
     def one(tp: TablePlan) -> str:
-        _ensure_db(spark, VAULT, tp.schema_name, root)
         name = S.qualified(LANDING, tp.schema_name, tp.table_name)
         src = spread(spark.table(name))
         _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
@@ -225,6 +224,8 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
 
     done: list[str] = []
     for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+        for schema in sorted({tp.schema_name for tp in chunk}):  # before the concurrent writes
+            _ensure_db(spark, VAULT, schema, root)
         done += _run_all(one, chunk, parallelism)
         chunk_plan = plan_df.join(_tables_frame(spark, LANDING, chunk),
                                   ["catalog_name", "schema_name", "table_name"], "left_semi")
@@ -252,7 +253,6 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
     plan_df = anonymize_plan(spark).checkpoint()
 
     def one(tp: TablePlan) -> str:
-        _ensure_db(spark, ANON, tp.schema_name, root)
         name = S.qualified(VAULT, tp.schema_name, tp.table_name)
         src = spread(spark.table(name))
         _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file,
@@ -261,6 +261,8 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
 
     done: list[str] = []
     for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+        for schema in sorted({tp.schema_name for tp in chunk}):
+            _ensure_db(spark, ANON, schema, root)
         done += _run_all(one, chunk, parallelism)
         names = _tables_frame(spark, VAULT, chunk)
         tags = store.read(spark, "column_tags").join(
