@@ -149,3 +149,12 @@ def test_tag_reads_prune_by_layer(spark, estate):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(catalog_name" in plan and "= vault" in plan
     assert df.count() > 0
+
+
+def test_redone_chunk_adds_no_duplicate_tags(spark, estate):
+    tags = store.read(spark, "column_tags")
+    before = tags.count()
+    PL._append_new_tags(tags.where("catalog_name = 'vault'"))
+    after = store.read(spark, "column_tags")
+    assert after.count() == before
+    assert after.groupBy(*after.columns).count().where("count > 1").count() == 0

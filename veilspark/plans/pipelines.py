@@ -160,6 +160,13 @@ def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan
     store.append(rows, "loads")
 
 
+def _append_new_tags(tags: DataFrame) -> None:
+    """Append tag rows not recorded yet, so a redone chunk adds no duplicates."""
+    have = store.read(tags.sparkSession, "column_tags")
+    cols = [f.name for f in S.COLUMN_TAGS.fields]
+    store.append(tags.select(*cols).distinct().join(have.select(*cols), cols, "left_anti"), "column_tags")
+
+
 def _tables_frame(spark: SparkSession, catalog: str, plans: list[TablePlan]) -> DataFrame:
     return spark.createDataFrame(
         [(catalog, tp.schema_name, tp.table_name) for tp in plans],
@@ -229,7 +236,7 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
         done += _run_all(one, chunk, parallelism)
         chunk_plan = plan_df.join(_tables_frame(spark, LANDING, chunk),
                                   ["catalog_name", "schema_name", "table_name"], "left_semi")
-        store.append(P.propagate_tags(store.read(spark, "column_tags"), chunk_plan, VAULT), "column_tags")
+        _append_new_tags(P.propagate_tags(store.read(spark, "column_tags"), chunk_plan, VAULT))
         for tp in chunk:
             create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
         _record(spark, LANDING, VAULT, chunk)
@@ -268,7 +275,7 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
         tags = store.read(spark, "column_tags").join(
             names, ["catalog_name", "schema_name", "table_name"], "left_semi"
         ).withColumn("catalog_name", F.lit(ANON))
-        store.append(tags, "column_tags")
+        _append_new_tags(tags)
         _record(spark, VAULT, ANON, chunk)
     return done
 
