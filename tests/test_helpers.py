@@ -34,8 +34,11 @@ def test_bounded_broadcast_hints_only_small(spark):
     assert "ResolvedHint" not in j_big._jdf.queryExecution().analyzed().toString()
 
 
-def test_spread_only_when_under_split(spark):
-    one = spark.range(0, 1000, 1, 1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
+def test_spread_sized_by_input_bytes(spark, sf_small):
+    one_file = spark.read.parquet(f"{sf_small}/customer.parquet")  # one small file
+    assert one_file.rdd.getNumPartitions() == 1
+    assert spread(one_file, 4).rdd.getNumPartitions() == 1          # too small to split
+    assert spread(one_file, 4, bytes_per_partition=1024).rdd.getNumPartitions() == 4
+    assert spread(one_file, 2, bytes_per_partition=1024).rdd.getNumPartitions() == 2
     many = spark.range(0, 1000, 1, 8)
     assert spread(many, 4).rdd.getNumPartitions() == 8

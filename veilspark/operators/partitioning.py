@@ -1,23 +1,42 @@
 """Partition helpers for CPU-heavy narrow work (hashing, masking).
 
 Protect projections are narrow: each input split becomes one task. Large
-tables have far more splits than cores, so nothing is needed there; a
-small table stored as one big file (one parquet row group) would run on a
-single core, so it is spread over the cluster's cores first. The spread
-is a round-robin shuffle (deterministic on retry), used only when the
-scan has fewer partitions than the cluster has cores.
+tables have far more splits than cores, so nothing is needed there. A
+table stored as a few big files (one parquet row group each) would run on
+a few cores, so it is spread first: a round-robin shuffle (deterministic
+on retry) to about one partition per ``bytes_per_partition`` of input,
+never more partitions than the cluster has cores, so a small table does
+not turn into thousands of tiny tasks and files on a big cluster.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+# Compressed input per task for hash-heavy projections (each input byte
+# becomes roughly ten output bytes of hex hashes).
+SPREAD_BYTES_PER_PARTITION = 4 << 20
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files ``df`` reads (file lengths only, no data read)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    total = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return int(total or 0)
+
+
+def spread(df: DataFrame, max_partitions: int | None = None,
+           bytes_per_partition: int = SPREAD_BYTES_PER_PARTITION) -> DataFrame:
+    cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
+    current = df.rdd.getNumPartitions()
+    if current >= cores:
         return df
-    return df.repartition(target)
+    wanted = -(-input_bytes(df) // bytes_per_partition)
+    target = min(cores, wanted)
+    return df.repartition(target) if target > current else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
