@@ -125,3 +125,17 @@ def test_typed_columns_mask_and_hash_through_string_form(spark):
     anon = mask_projection(vault, {"dob": "dob"})
     assert dict(anon.dtypes)["dob"] == "string"
     assert {x.id: x.dob for x in anon.collect()} == {7: "1980", 8: None}
+
+
+def test_urlsafe_base64_roundtrip(spark):
+    import base64
+    import os
+
+    from veilspark.functions.crypto import from_urlsafe_base64, to_urlsafe_base64
+
+    raw = [os.urandom(n) for n in (32, 31, 30, 1, 0)]
+    texts = [base64.urlsafe_b64encode(b).decode().rstrip("=") for b in raw]
+    df = spark.createDataFrame(list(zip(texts, raw)), "t string, b binary")
+    for r in df.select("t", "b", from_urlsafe_base64(F.col("t")).alias("dec"),
+                       to_urlsafe_base64(F.col("b")).alias("enc")).collect():
+        assert bytes(r.dec) == bytes(r.b) and r.enc == r.t

@@ -49,3 +49,18 @@ def random_key(num_bytes: int = KEY_BYTES) -> Column:
     using it twice, or each use draws new keys.
     """
     return _random_bytes(F.lit(num_bytes))
+
+
+def from_urlsafe_base64(text: Column) -> Column:
+    """BINARY from URL-safe base64 text whose ``=`` padding may be stripped.
+
+    For key material that arrives as text. ``unbase64`` alone rejects the
+    URL-safe alphabet; the padding is restored from the length.
+    """
+    std = F.translate(text, "-_", "+/")
+    return F.unbase64(F.concat(std, F.repeat(F.lit("="), F.pmod(-F.length(std), F.lit(4)))))
+
+
+def to_urlsafe_base64(data: Column) -> Column:
+    """URL-safe base64 text without padding (inverse of :func:`from_urlsafe_base64`)."""
+    return F.regexp_replace(F.translate(F.base64(data), "+/", "-_"), "=+$", "")
