@@ -42,3 +42,25 @@ def test_spread_sized_by_input_bytes(spark, sf_small):
     assert spread(one_file, 2, bytes_per_partition=1024).rdd.getNumPartitions() == 2
     many = spark.range(0, 1000, 1, 8)
     assert spread(many, 4).rdd.getNumPartitions() == 8
+
+
+def test_lookup_on_hash_with_hot_key_matches_brute_force(spark):
+    from collections import Counter
+
+    from veilspark.operators.joins import lookup_on_hash
+
+    facts_rows = [("hot" if i % 3 == 0 else (None if i % 11 == 0 else f"k{i % 50}"), i) for i in range(3000)]
+    rows_rows = [(j, "hot" if j % 4 == 0 else f"k{j % 60}") for j in range(400)] + [(999, None)]
+    facts = spark.createDataFrame(facts_rows, "h string, v long")
+    rows = spark.createDataFrame(rows_rows, "id long, h string")
+    out = lookup_on_hash(rows, facts, "h", "h", [F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
+    got = {(r.id, r.n, r.s) for r in out.collect()}
+    cnt, sm = Counter(), Counter()
+    for h, v in facts_rows:
+        if h is not None:
+            cnt[h] += 1
+            sm[h] += v
+    want = {(i, cnt[h], sm[h]) for i, h in rows_rows if h is not None and h in cnt}
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
