@@ -64,3 +64,16 @@ def test_lookup_on_hash_with_hot_key_matches_brute_force(spark):
     assert got == want
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_salted_hash_join_equals_plain_join(spark):
+    from veilspark.operators.joins import join_on_hash
+
+    left = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i % 40}") for i in range(2000)] + [(-1, None)],
+                                 "id long, h string")
+    right = spark.createDataFrame([(f"k{j}", j) for j in range(30)] + [("hot", 99), ("hot", 98)], "rh string, v long")
+    for how in ("inner", "left"):
+        plain = join_on_hash(left, right, "h", "rh", how)
+        salted = join_on_hash(left, right, "h", "rh", how, salt_buckets=8)
+        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
+        assert "__veilspark_salt" not in salted.columns

@@ -18,11 +18,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SALT_COLUMN = "__veilspark_salt"
+
+
 def join_on_hash(left: DataFrame, right: DataFrame, left_hash: str, right_hash: str,
-                 how: str = "inner") -> DataFrame:
-    """Equi-join on two hash columns; NULL hashes (NULL clear values) never match."""
+                 how: str = "inner", salt_buckets: int = 0) -> DataFrame:
+    """Equi-join on two hash columns; NULL hashes (NULL clear values) never match.
+
+    ``salt_buckets > 1`` splits every key of ``left`` over that many tasks:
+    each left row gets a bucket from a hash of its own content
+    (deterministic, so a retried task puts rows in the same buckets), and
+    each right row is repeated once per bucket. Use it when one hash value
+    holds a large share of ``left``; the cost is ``salt_buckets`` copies
+    of ``right`` in the shuffle. Inner and left joins only.
+    """
     r = right.withColumnRenamed(right_hash, left_hash) if right_hash != left_hash else right
-    return left.join(r, left_hash, how)
+    if salt_buckets <= 1:
+        return left.join(r, left_hash, how)
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted join supports inner and left joins")
+    lcols = [F.col(f"`{c}`") for c in left.columns]
+    salted_left = left.withColumn(SALT_COLUMN, F.pmod(F.xxhash64(*lcols), F.lit(salt_buckets)))
+    salted_right = r.withColumn(SALT_COLUMN, F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                  F.lit(salt_buckets - 1).cast("long"))))
+    return salted_left.join(salted_right, [left_hash, SALT_COLUMN], how).drop(SALT_COLUMN)
 
 
 def lookup_on_hash(rows: DataFrame, facts: DataFrame, rows_hash: str, facts_hash: str,
