@@ -8,7 +8,7 @@ from tools.compare_oracle import compare
 def test_all_workloads_match_oracle(spark, sf_small):
     rep = compare(spark, sf_small)
     bad = {k: v for k, v in rep.items()
-           if not (v.get("hash_match") and v.get("spark_rows") == v.get("oracle_rows"))}
+           if not (v.get("hash_match") and v.get("types_match") and v.get("spark_rows") == v.get("oracle_rows"))}
     assert not bad, bad
     assert len(rep) >= 36
 
