@@ -93,16 +93,25 @@ def bootstrap_keys(spark: SparkSession, attributes: DataFrame | None = None,
     }
 
 
-def rotate_keys(spark: SparkSession, as_of: Column | str | None = None, force: bool = False) -> int:
+def rotate_keys(spark: SparkSession, as_of: Column | str | None = None, force: bool = False) -> int | None:
     """KEY-3/4: new versions for due KEKs (all KEKs if ``force``), then re-wrap the DSKs.
 
-    The re-wrapped store is published as a new version; the previous one
-    stays until the switch. Returns the new dsk_store version.
+    DSKs not on their KEK's latest version are re-wrapped (also ones left
+    behind by an earlier interrupted run). The re-wrapped store is
+    published as a new version only if something changed; the previous
+    version stays until the switch. Returns the new dsk_store version, or
+    None when nothing needed re-wrapping.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     versions = store.read(spark, "kek_versions")
     due = versions.select("kek_name").distinct() if force else K.keys_due(versions, as_of)
     store.append(K.new_kek_versions(due, versions, F.current_timestamp()), "kek_versions")
+    latest = K.latest_kek_versions(store.read(spark, "kek_versions"))
+    stale = store.read(spark, "dsk_store").join(latest, "kek_name").where(
+        F.col("kek_version") != F.col("latest_version")
+    )
+    if stale.isEmpty():
+        return None
     rotated = K.rotate_dsks(store.read(spark, "dsk_store"), store.read(spark, "kek_versions"))
     return store.publish(rotated.drop("rotated"), "dsk_store")
 
