@@ -77,3 +77,14 @@ def test_salted_hash_join_equals_plain_join(spark):
         salted = join_on_hash(left, right, "h", "rh", how, salt_buckets=8)
         assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
         assert "__veilspark_salt" not in salted.columns
+
+
+def test_local_frame_is_jvm_only(spark):
+    from veilspark.sources.local import local_frame
+
+    df = local_frame(spark, [("a", 1), ("b", None)], "k string, v int")
+    assert df.dtypes == [("k", "string"), ("v", "int")]
+    assert sorted(map(tuple, df.collect()), key=str) == [("a", 1), ("b", None)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    assert local_frame(spark, [], "k string").count() == 0

@@ -25,6 +25,7 @@ from veilspark.operators.protect import TablePlan, hash_projection, iter_table_p
 from veilspark.plans import store
 from veilspark.session import shared_dir
 from veilspark.sources.catalog import column_catalog, table_catalog
+from veilspark.sources.local import local_frame
 from veilspark.sources.manifest import read_manifest
 
 LANDING, VAULT, ANON = S.Layer.LANDING.value, S.Layer.VAULT.value, S.Layer.ANONYMIZED.value
@@ -162,7 +163,8 @@ def _write(df: DataFrame, layer: str, schema: str, table: str, max_records_per_f
 
 
 def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan]) -> None:
-    rows = spark.createDataFrame(
+    rows = local_frame(
+        spark,
         [(source, target, tp.schema_name, tp.table_name) for tp in plans],
         "source_catalog string, target_catalog string, schema_name string, table_name string",
     ).withColumn("loaded_at", F.current_timestamp())
@@ -177,7 +179,8 @@ def _append_new_tags(tags: DataFrame) -> None:
 
 
 def _tables_frame(spark: SparkSession, catalog: str, plans: list[TablePlan]) -> DataFrame:
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         [(catalog, tp.schema_name, tp.table_name) for tp in plans],
         "catalog_name string, schema_name string, table_name string",
     )

@@ -28,6 +28,7 @@ from veilspark.schemas import KEK_NAME_PREFIX, SENSITIVITY_TYPES, TAG_CATEGORY,
 from veilspark.session import shared_dir
 from veilspark.sources import fixtures as fx
 from veilspark.sources.catalog import frames_column_catalog
+from veilspark.sources.local import local_frame
 
 # Hash width of the registered workloads: DuckDB, the oracle, has SHA-256
 # but no SHA-512. The library default (and the benchmark) is 512.
@@ -289,8 +290,8 @@ def _sample_tags(spark, catalog: str, schema: str, table_name: str) -> DataFrame
     """Tags of the sample customer table: the eight sensitive columns, both tags."""
     rows = [(catalog, schema, table_name, c, n, v)
             for c, cat, typ in fx.SENSITIVE_COLUMNS for n, v in ((TAG_CATEGORY, cat), (TAG_TYPE, typ))]
-    return spark.createDataFrame(rows, "catalog_name string, schema_name string, table_name string, "
-                                       "column_name string, tag_name string, tag_value string")
+    return local_frame(spark, rows, "catalog_name string, schema_name string, table_name string, "
+                                    "column_name string, tag_name string, tag_value string")
 
 
 def vault_frame(spark, d, num_bits: int = ORACLE_BITS) -> DataFrame:
@@ -298,8 +299,8 @@ def vault_frame(spark, d, num_bits: int = ORACLE_BITS) -> DataFrame:
     landing = _pii(spark, d)
     ids = ("landing", "pci_pii_dataset", "customer_records")
     cols = frames_column_catalog(spark, {ids: landing})
-    tbls = spark.createDataFrame([(*ids, "MANAGED")], "catalog_name string, schema_name string, "
-                                                      "table_name string, table_type string")
+    tbls = local_frame(spark, [(*ids, "MANAGED")], "catalog_name string, schema_name string, "
+                                                   "table_name string, table_type string")
     registry, versions, store = fx.global_keys(spark)
     p = plan.load_plan(plan.pending_tables(tbls, "landing", "vault"), cols, _sample_tags(spark, *ids), registry)
     (tp,) = table_plans(p.collect())

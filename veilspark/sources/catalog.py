@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from veilspark.schemas import COLUMN_CATALOG, TABLE_CATALOG, split_database
+from veilspark.sources.local import local_frame
 
 
 class _RowSink:
@@ -44,7 +45,7 @@ class _RowSink:
 
     def frame(self) -> DataFrame:
         if self.path is None:
-            return self.spark.createDataFrame(self.rows, self.schema)
+            return local_frame(self.spark, self.rows, self.schema)
         if self.rows:
             self._flush()
         return self.spark.read.schema(self.schema).parquet(self.path)
@@ -107,4 +108,4 @@ def frames_column_catalog(spark: SparkSession, frames: Mapping[tuple[str, str, s
     rows = []
     for (catalog, schema, table), df in sorted(frames.items()):
         rows += _schema_rows(catalog, schema, table, df.schema)
-    return spark.createDataFrame(rows, COLUMN_CATALOG)
+    return local_frame(spark, rows, COLUMN_CATALOG)

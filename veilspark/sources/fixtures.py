@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilspark.functions.crypto import key_aad, wrap
+from veilspark.sources.local import local_frame
 from veilspark.schemas import (
     DSK_NAME_PREFIX,
     KEK_NAME_PREFIX,
@@ -127,7 +128,8 @@ def orders_pii(orders: DataFrame) -> DataFrame:
 
 def group_members(spark: SparkSession) -> DataFrame:
     """Members of the privileged group used by the role-gate queries."""
-    return spark.createDataFrame(
+    return local_frame(
+        spark,
         [(PRIVILEGED_GROUP, "alice"), (PRIVILEGED_GROUP, "carol"), ("auditors", "bob")],
         "grp string, member string",
     )
@@ -313,7 +315,7 @@ def estate_dsk_store(customer: DataFrame) -> DataFrame:
 
 def registry_seed(spark: SparkSession, attributes=SENSITIVITY_TYPES) -> DataFrame:
     """The registry rows of the given sensitivity types, named by the fixed prefixes."""
-    df = spark.createDataFrame([(a,) for a in attributes], "attribute string")
+    df = local_frame(spark, [(a,) for a in attributes], "attribute string")
     return df.select(
         F.col("attribute").alias("pci_pii_attribute_name"),
         F.concat(F.lit(KEK_NAME_PREFIX), "attribute").alias("kek_name"),
