@@ -2,21 +2,23 @@
 
 ``spark.createDataFrame(list)`` builds an RDD of pickled rows, and every
 scan of it starts Python workers. Small metadata and fixture frames
-(key names, group members, table lists of one chunk) are built instead as
-an ``inline`` of literal structs: no Python in any task. Values appear
+(key names, group members, table lists of one chunk) are built instead
+from one JSON literal (``from_json`` + ``inline``): no Python in any task
+and a single expression to build, however many rows. Values appear
 in the plan text, so this is for names and metadata only, never for key
 material. Larger row sets fall back to ``createDataFrame``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LITERAL_ROWS = 2000
+MAX_LITERAL_ROWS = 10_000
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
@@ -24,10 +26,7 @@ def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructT
         schema = T.StructType.fromDDL(schema)
     if len(rows) > MAX_LITERAL_ROWS:
         return spark.createDataFrame(list(rows), schema)
-    fields = schema.fields
-    if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields)]) for r in rows
-    ]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
+    names = [f.name for f in schema.fields]
+    payload = json.dumps([dict(zip(names, r)) for r in rows])
+    parsed = F.from_json(F.lit(payload), T.ArrayType(schema), {"mode": "FAILFAST"})
+    return spark.range(1, numPartitions=1).select(F.inline(parsed))
