@@ -159,3 +159,15 @@ def test_redone_chunk_adds_no_duplicate_tags(spark, estate):
     after = store.read(spark, "column_tags")
     assert after.count() == before
     assert after.groupBy(*after.columns).count().where("count > 1").count() == 0
+
+
+def test_catalog_listing_batches_equal_in_memory(spark, estate):
+    from veilspark.sources.catalog import column_catalog, table_catalog
+
+    small_t = table_catalog(spark, ["landing", "vault"], batch_rows=2)
+    big_t = table_catalog(spark, ["landing", "vault"])
+    assert sorted(map(tuple, small_t.collect())) == sorted(map(tuple, big_t.collect()))
+    small_c = column_catalog(spark, ["landing"], batch_rows=3)
+    big_c = column_catalog(spark, ["landing"])
+    assert sorted(map(tuple, small_c.collect())) == sorted(map(tuple, big_c.collect()))
+    assert big_c.where("table_name = 'customer_records_1'").count() == 10
