@@ -221,8 +221,9 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
 
     The load plan is frozen first (checkpoint in the shared folder), since
     the loads change the catalog it reads. Tables are then taken in
-    chunks: data writes (concurrently), tags for columns and hash columns,
-    role-gated masked views, and finally one completion record per chunk.
+    chunks: data write and role-gated masked view per table (concurrently),
+    then tags for columns and hash columns, and finally one completion
+    record per chunk.
     Raises before any write if a needed salt key is missing.
     """
     shared_dir(spark)
@@ -239,6 +240,7 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
         src = spread(spark.table(name))
         _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
                max_records_per_file, partition_columns(spark, name))
+        create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
         return tp.table_name
 
     done: list[str] = []
@@ -249,8 +251,6 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
         chunk_plan = plan_df.join(_tables_frame(spark, LANDING, chunk),
                                   ["catalog_name", "schema_name", "table_name"], "left_semi")
         _append_new_tags(P.propagate_tags(store.read(spark, "column_tags"), chunk_plan, VAULT))
-        for tp in chunk:
-            create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
         _record(spark, LANDING, VAULT, chunk)
     return done
 
