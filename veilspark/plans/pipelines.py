@@ -216,7 +216,7 @@ def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT)
 
 def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = None,
                privileged_group: str = "pii_readers", parallelism: int = 4, chunk_size: int = 64,
-               max_records_per_file: int | None = None) -> list[str]:
+               max_records_per_file: int | None = None, spread_inputs: bool = True) -> list[str]:
     """PIPE-3: every pending landing table -> vault table with salted hashes.
 
     The load plan is frozen first (checkpoint in the shared folder), since
@@ -225,6 +225,8 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
     then tags for columns and hash columns, and finally one completion
     record per chunk.
     Raises before any write if a needed salt key is missing.
+    ``spread_inputs=False`` skips the per-table size check of
+    :func:`spread` (for estates of many tiny tables).
     """
     shared_dir(spark)
     plan_df = vault_plan(spark, LANDING, VAULT).checkpoint()
@@ -237,7 +239,7 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
 
     def one(tp: TablePlan) -> str:
         name = S.qualified(LANDING, tp.schema_name, tp.table_name)
-        src = spread(spark.table(name))
+        src = spread(spark.table(name)) if spread_inputs else spark.table(name)
         _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
                max_records_per_file, partition_columns(spark, name))
         create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
@@ -266,14 +268,15 @@ def anonymize_plan(spark: SparkSession) -> DataFrame:
 
 
 def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism: int = 4,
-                    chunk_size: int = 64, max_records_per_file: int | None = None) -> list[str]:
+                    chunk_size: int = 64, max_records_per_file: int | None = None,
+                    spread_inputs: bool = True) -> list[str]:
     """PIPE-4: vault -> anonymized, masked whoever runs it, hashes kept, tags carried on."""
     shared_dir(spark)
     plan_df = anonymize_plan(spark).checkpoint()
 
     def one(tp: TablePlan) -> str:
         name = S.qualified(VAULT, tp.schema_name, tp.table_name)
-        src = spread(spark.table(name))
+        src = spread(spark.table(name)) if spread_inputs else spark.table(name)
         _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file,
                partition_columns(spark, name))
         return tp.table_name
