@@ -2,8 +2,9 @@
 
 Both are a single ``select`` of built-in expressions over the source scan:
 narrow (no shuffle), inside one whole-stage codegen stage, column-pruned
-and filter-pushable by Catalyst. Salts enter as scalar subqueries
-(:func:`veilspark.operators.keys.salt_for`), evaluated once per query.
+and filter-pushable by Catalyst. The salts of all hashed types enter as
+one scalar subquery (:func:`veilspark.operators.keys.salts_struct`),
+projected once and evaluated once per query.
 """
 
 from __future__ import annotations
