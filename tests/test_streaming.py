@@ -33,3 +33,18 @@ def test_incremental_runs_equal_batch(spark, sf_small):
     # a third run with nothing new adds nothing
     protect_stream(spark, landing, schema, **run)
     assert read_protected(spark, out).count() == want.count()
+
+
+def test_stream_partition_by(spark, sf_small):
+    _, versions, store = fx.global_keys(spark)
+    unwrapped = K.unwrap_dsks(store, versions)
+    customers = spark.read.parquet(f"{sf_small}/customer.parquet")
+    landing = scratch_path(spark, "landing-p")
+    customers.write.parquet(landing)
+    out = protect_stream(spark, landing, customers.schema, sensitive=fx.SENSITIVE_TYPE_OF,
+                         unwrapped_keys=unwrapped, transform=fx.pii_customers, num_bits=256,
+                         partition_by=["exp_date"])
+    got = read_protected(spark, out)
+    assert got.count() == customers.count()
+    assert got.select("exp_date").distinct().count() == fx.pii_customers(customers).select("exp_date").distinct().count()
+    assert "exp_date=" in " ".join(got.inputFiles())
