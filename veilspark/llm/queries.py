@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from veilspark.llm.langid import op5_language_id
 from veilspark.llm.lines import OP1_SQL, op1_line_dedup
+from veilspark.llm.mixing import OP3_SQL, op3_mixing
+from veilspark.llm.packing import op6_packing
 from veilspark.llm.simhash import op8_simhash
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_mixing": op3_mixing,
+    "op5_language_id": op5_language_id,
+    "op6_packing": op6_packing,
     "op8_simhash": op8_simhash,
 }
 
 #: Where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op3_mixing": OP3_SQL,
 }
