@@ -7,6 +7,7 @@ from veilspark.llm.lines import OP1_SQL, op1_line_dedup
 from veilspark.llm.mixing import OP3_SQL, op3_mixing
 from veilspark.llm.packing import op6_packing
 from veilspark.llm.simhash import op8_simhash
+from veilspark.llm.substrings import op9_substring_dedup
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op8_simhash": op8_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 #: Where SQL can express the operator; the others are tested against brute force in tests/llm.
