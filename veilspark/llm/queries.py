@@ -6,16 +6,20 @@ from veilspark.llm.langid import op5_language_id
 from veilspark.llm.lines import OP1_SQL, op1_line_dedup
 from veilspark.llm.mixing import OP3_SQL, op3_mixing
 from veilspark.llm.packing import op6_packing
+from veilspark.llm.secrets import op7_secret_scan
 from veilspark.llm.simhash import op8_simhash
 from veilspark.llm.substrings import op9_substring_dedup
+from veilspark.llm.urls import op10_url_filter
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_mixing": op3_mixing,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
+    "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 #: Where SQL can express the operator; the others are tested against brute force in tests/llm.
