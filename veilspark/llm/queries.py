@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from veilspark.llm.covertree import OP2_SQL, op2_embedding_links
 from veilspark.llm.langid import op5_language_id
 from veilspark.llm.lines import OP1_SQL, op1_line_dedup
 from veilspark.llm.mixing import OP3_SQL, op3_mixing
@@ -10,10 +11,13 @@ from veilspark.llm.secrets import op7_secret_scan
 from veilspark.llm.simhash import op8_simhash
 from veilspark.llm.substrings import op9_substring_dedup
 from veilspark.llm.urls import op10_url_filter
+from veilspark.llm.vafile import OP4_SQL, op4_topk_search
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_embedding_links": op2_embedding_links,
     "op3_mixing": op3_mixing,
+    "op4_topk_search": op4_topk_search,
     "op5_language_id": op5_language_id,
     "op6_packing": op6_packing,
     "op7_secret_scan": op7_secret_scan,
@@ -25,5 +29,7 @@ QUERIES = {
 #: Where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op2_embedding_links": OP2_SQL,
     "op3_mixing": OP3_SQL,
+    "op4_topk_search": OP4_SQL,
 }
