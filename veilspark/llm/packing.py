@@ -64,22 +64,16 @@ class TokenTable:
         self.spaced: dict[str, bytes] = {}  # by what follows a space; from a line feed on: by itself
         self.plain: dict[str, bytes] = {}
 
-    def _learn(self, table: dict[str, bytes], keys: set[str], chunks: list[str]) -> None:
-        if len(table) + len(keys) > MAX_CHUNKS:
-            table.clear()
-        for k, e in zip(keys, self.tokenizer.encode_batch(chunks, add_special_tokens=False), strict=True):
-            table[k] = np.array(e.ids, "<u4").tobytes()
-
-    def _join(self, table, words: list[str], chunk) -> bytes:
+    def _join(self, table: dict[str, bytes], words: list[str], chunk) -> bytes:
         try:
             return b"".join([table[w] for w in words])
         except KeyError:
-            keys = {w for w in words if w not in table}
-            before = len(table)
-            self._learn(table, keys, [chunk(k) for k in keys])
-            if len(table) < before:  # emptied
-                keys = set(words) - keys
-                self._learn(table, keys, [chunk(k) for k in keys])
+            new = {w for w in words if w not in table}
+            if len(table) + len(new) > MAX_CHUNKS:
+                table.clear()
+                new = set(words)
+            found = self.tokenizer.encode_batch([chunk(w) for w in new], add_special_tokens=False)
+            table.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
             return b"".join([table[w] for w in words])
 
     def ids(self, text: str) -> bytes:
