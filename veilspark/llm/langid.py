@@ -17,7 +17,8 @@ language is not "und" and has a posterior of at least ``MIN_POSTERIOR``.
 The text model is fitted on at most about ``TRAIN_ROWS`` declared rows of each
 language (those with the smallest hashes), whole texts; everything else covers all rows.
 
-Null, empty or letterless text: lang "und", posterior 1, not kept. A null or unknown
+Null, empty or letterless text: lang "und", posterior 1, not kept. Letters without a
+trigram of two are no text evidence; the rest decides. A null or unknown
 declared language or host is no evidence. Every input row gives one row. A corpus
 without declared rows has no language to find: all rows are "und".
 """
@@ -81,11 +82,12 @@ class TextModel:
         self.languages, self.log_p = languages, log_p  # cells x languages
 
     def scores(self, text: bytes | None) -> tuple[int, list[float]]:
-        """Number of trigrams and their mean log likelihood by language, the uniform one last."""
+        """Number of trigrams (-1: no letter) and their mean log likelihood by language, the uniform one last."""
         c = cells(text)
         uniform = -float(np.log(CELLS))
         if not len(c) or not self.languages:
-            return 0, [uniform] * (len(self.languages) + 1)
+            letters = self.languages and (text or b"").translate(_LETTERS).strip()
+            return 0 if letters else -1, [uniform] * (len(self.languages) + 1)
         counts = np.bincount(c, minlength=CELLS) if len(c) > CELLS else None
         total = counts @ self.log_p if counts is not None else self.log_p[c].sum(0)
         return len(c), [*(total / len(c)).tolist(), uniform]
@@ -115,7 +117,7 @@ def _scored(model: TextModel):
         for batch in batches:
             found = [model.scores(t) for t in batch.column("text").to_pylist()]
             kept = [x for x in batch.schema.names if x != "text"]
-            best = [int(np.argmax(s)) if n else len(model.languages) for n, s in found]
+            best = [int(np.argmax(s)) if n > 0 else len(model.languages) for n, s in found]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(x) for x in kept), pa.array([n for n, _ in found], pa.int64()),
                  pa.array([s for _, s in found], pa.list_(pa.float64())), pa.array(best, pa.int32())],
@@ -134,7 +136,7 @@ def _fused(languages: list[str], declared_p: dict[str, list[float]], whole: np.n
             lang, posterior = [], []
             for n, score, declared, suffix, at_host, at_suffix in zip(
                     *(col[x] for x in ("n", "score", "declared", "suffix", "at_host", "at_suffix")), strict=True):
-                if not n:
+                if n < 0:
                     lang.append(UND)
                     posterior.append(1.0)
                     continue
