@@ -37,13 +37,64 @@ def test_read_and_flatten_sample(spark, tmp_path):
         ("exp_date", "sensitivity_category", "pci"), ("exp_date", "sensitivity_type", "exp-date")}
 
 
-def test_inferred_struct_tags_flatten_the_same(spark, tmp_path):
-    path = write_json(tmp_path, "b.json", sample_manifest())
-    inferred = spark.read.option("multiLine", True).json(path)
-    explicit = read_manifest(spark, path)
-    a = sorted(map(tuple, C.flatten_manifest(inferred).collect()))
-    b = sorted(map(tuple, C.flatten_manifest(explicit).collect()))
-    assert a == b and len(a) == 16
+def test_null_levels_add_nothing(spark, tmp_path):
+    doc = {"schemas": [None, {"schema_name": "a", "tables": None}, {"schema_name": "b", "tables": [
+        None, {"table_name": "t", "attributes": None}, {"table_name": "u", "attributes": [
+            None, {"attribute_name": "c", "tags": {"x": "1", "y": None}}, {"attribute_name": "d", "tags": {}}]}]}]}
+    write_json(tmp_path, "n.json", doc)
+    write_json(tmp_path, "e.json", {"schemas": None})
+    assert [tuple(r) for r in C.flatten_manifest(read_manifest(spark, str(tmp_path))).collect()] == [("b", "u", "c", "x", "1")]
+
+
+def _tags(spark, rows):
+    return spark.createDataFrame(rows, "schema_name string, table_name string, column_name string, tag_name string, tag_value string")
+
+
+def test_two_values_for_one_tag_raise(spark):
+    import pytest
+
+    one = [("s", "t", "c", "k", "a"), ("s", "t", "c", "k", "a"), ("s", "t", "c", "l", "b")]
+    assert C.one_value_per_tag(_tags(spark, one)).count() == 2
+    with pytest.raises(Exception, match="two values for the tag s.t.c.k"):
+        C.one_value_per_tag(_tags(spark, one + [("s", "t", "c", "k", "z")])).collect()
+
+
+def test_ambiguous_types_and_registry_raise(spark):
+    import pytest
+
+    tags = [("l", "s", "t", "c", "sensitivity_category", "pii"), ("l", "s", "t", "c", "sensitivity_type", "ssn"),
+            ("l", "s", "t", "c", "sensitivity_type", "pan")]
+    frame = spark.createDataFrame(tags, "catalog_name string, schema_name string, table_name string, column_name string, tag_name string, tag_value string")
+    with pytest.raises(Exception, match="two sensitivity types"):
+        P.sensitive_columns(frame).collect()
+    registry = spark.createDataFrame([("ssn", "k1", "d1"), ("ssn", "k2", "d1")], "pci_pii_attribute_name string, kek_name string, dsk_name string")
+    with pytest.raises(Exception, match="several registry rows for ssn"):
+        P.unique_registry(registry).collect()
+
+
+def _scans(df) -> int:
+    import re
+
+    return len(re.findall(r"Scan parquet", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_metadata_plans_read_each_input_once(spark, sf_small):
+    from veilspark.plans.workloads import _estate_plan
+    from veilspark.session import scratch_path
+
+    c = spark.read.parquet(f"{sf_small}/customer.parquet")
+
+    def stored(df):
+        path = scratch_path(spark, "frame")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    plan, tags = stored(_estate_plan(spark, sf_small)), stored(fx.estate_column_tags(c))
+    assert _scans(P.propagate_tags(tags, plan, "vault")) == 2
+    assert _scans(P.target_schema(plan, "vault")) == 1
+    todo = stored(P.pending_tables(fx.estate_table_catalog(c), "landing", "vault"))
+    cols, registry = stored(fx.estate_column_catalog(c)), stored(fx.registry_seed(spark))
+    assert _scans(P.load_plan(todo, cols, tags, registry)) == 4
 
 
 def test_several_files_and_schemas(spark, tmp_path):

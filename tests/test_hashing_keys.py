@@ -33,9 +33,9 @@ def test_same_type_same_hash_other_type_differs(spark):
     u = K.unwrap_dsks(store, versions)
     a = spark.createDataFrame([("x",)], "v string")
     b = spark.createDataFrame([("x",)], "w string")
-    ha = a.select(salted_hash("v", K.salt_for(u, "ssn")).alias("h")).first().h
-    hb = b.select(salted_hash("w", K.salt_for(u, "ssn")).alias("h")).first().h
-    hc = b.select(salted_hash("w", K.salt_for(u, "pan")).alias("h")).first().h
+    ha = a.select(salted_hash("v", K.salts_struct(u, ["ssn"]).getField("ssn")).alias("h")).first().h
+    hb = b.select(salted_hash("w", K.salts_struct(u, ["ssn"]).getField("ssn")).alias("h")).first().h
+    hc = b.select(salted_hash("w", K.salts_struct(u, ["pan"]).getField("pan")).alias("h")).first().h
     assert ha == hb != hc
     assert ha == hashlib.sha512(b"SALT-ssnx").hexdigest()
 
@@ -57,7 +57,7 @@ def test_missing_salt_raises(spark):
     u = K.unwrap_dsks(store, versions)
     df = spark.createDataFrame([("x",)], "v string")
     with pytest.raises(Exception, match="no unique data salt key"):
-        df.select(salted_hash("v", K.salt_for(u, "iban"))).collect()
+        df.select(salted_hash("v", K.salts_struct(u, ["iban"]).getField("iban"))).collect()
     req = spark.createDataFrame([("ssn",), ("iban",)], "attribute string")
     assert [r.attribute for r in K.missing_salts(req, u).collect()] == ["iban"]
 
@@ -68,7 +68,7 @@ def test_salt_not_in_plan(spark):
     v = versions.checkpoint()
     s = store.checkpoint()
     u = K.unwrap_dsks(s, v)
-    df = spark.createDataFrame([("x",)], "v string").select(salted_hash("v", K.salt_for(u, "ssn")).alias("h"))
+    df = spark.createDataFrame([("x",)], "v string").select(salted_hash("v", K.salts_struct(u, ["ssn"]).getField("ssn")).alias("h"))
     df.collect()
     text = df._jdf.queryExecution().toString()
     assert "SALT-ssn" not in text and b"SALT-ssn".hex() not in text.lower()

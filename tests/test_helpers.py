@@ -1,47 +1,36 @@
-"""Bounded driver-side helpers: batched catalog rows, size-checked broadcast, spread."""
+"""Driver-side helpers: catalog listings in batches, literal frames, explicit spread, hash joins."""
+
+import datetime as dt
 
 from pyspark.sql import functions as F
 
-from veilspark.operators.partitioning import bounded_broadcast, spread
+from veilspark.operators.partitioning import spread
 from veilspark.schemas import TABLE_CATALOG
-from veilspark.sources.catalog import _RowSink
-
-
-def test_row_sink_flushes_to_shared_folder(spark):
-    sink = _RowSink(spark, TABLE_CATALOG, "sink-test", batch_rows=10)
-    for i in range(7):
-        sink.add([("landing", "s", f"t{i}_{j}", "MANAGED") for j in range(4)])
-    df = sink.frame()
-    assert sink.path is not None and "veilspark-scratch" in sink.path
-    assert df.count() == 28 and df.select("table_name").distinct().count() == 28
-
-
-def test_row_sink_small_stays_local(spark):
-    sink = _RowSink(spark, TABLE_CATALOG, "sink-test", batch_rows=100)
-    sink.add([("landing", "s", "t", "MANAGED")])
-    assert sink.frame().count() == 1 and sink.path is None
-
-
-def test_bounded_broadcast_hints_only_small(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    big_df = spark.range(100000).withColumnRenamed("id", "k")
-    j_small = big_df.join(bounded_broadcast(small, max_rows=100), big_df.k == F.col("id"))
-    j_big = big_df.join(bounded_broadcast(big, max_rows=100), big_df.k == F.col("id"))
-    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower() or \
-        "BroadcastHashJoin" in j_small._jdf.queryExecution().executedPlan().toString()
-    assert j_small.count() == 10 and j_big.count() == 1000
-    assert "ResolvedHint" not in j_big._jdf.queryExecution().analyzed().toString()
-
-
-def test_spread_sized_by_input_bytes(spark, sf_small):
-    one_file = spark.read.parquet(f"{sf_small}/customer.parquet")  # one small file
-    assert one_file.rdd.getNumPartitions() == 1
-    assert spread(one_file, 4).rdd.getNumPartitions() == 1          # too small to split
-    assert spread(one_file, 4, bytes_per_partition=1024).rdd.getNumPartitions() == 4
-    assert spread(one_file, 2, bytes_per_partition=1024).rdd.getNumPartitions() == 2
-    many = spark.range(0, 1000, 1, 8)
-    assert spread(many, 4).rdd.getNumPartitions() == 8
+from veilspark.sources.catalog import snapshot
+from veilspark.sources.local import local_frame
+
+
+def test_snapshot_is_the_same_for_any_batch_size(spark):
+    rows = [("landing", "s", f"t{i}", "MANAGED") for i in range(28)]
+    for size in (1, 10, 28, 1000):
+        df = snapshot(spark, iter(rows), TABLE_CATALOG, "listing", size)
+        assert sorted(map(tuple, df.collect())) == sorted(rows)
+        assert all("veilspark-scratch" in f for f in df.inputFiles())
+    assert snapshot(spark, iter(()), TABLE_CATALOG, "listing").count() == 0
+
+
+def test_literal_frame_is_one_path_for_all_sizes(spark):
+    for n in (1, 12_000):
+        rows = [(i, dt.date(2024, 1, 1 + i % 28), f"v{i}", None) for i in range(n)]
+        df = local_frame(spark, rows, "i int, d date, s string, x double")
+        assert sorted(map(tuple, df.collect())) == rows
+        assert "ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_is_explicit(spark, sf_small):
+    df = spark.read.parquet(f"{sf_small}/customer.parquet")
+    assert spread(df) is df
+    assert spread(df, 4).rdd.getNumPartitions() == 4
 
 
 def test_lookup_on_hash_with_hot_key_matches_brute_force(spark):

@@ -151,23 +151,21 @@ def sql_function_name(sensitivity_type: str) -> str:
 
 
 def register_sql_functions(spark: SparkSession, database: str, group: str,
-                           group_members_table: str, replace: bool = False) -> list[str]:
-    """Create ``<type>_mask(v STRING)`` SQL functions in ``database``.
+                           group_members_table: str) -> list[str]:
+    """Create or replace ``<type>_mask(v STRING)`` SQL functions in ``database``.
 
     Each function returns the clear value when ``session_user()`` is in
-    ``group`` (looked up in ``group_members_table``), else the mask.
-    Existing functions are kept unless ``replace``.
+    ``group`` (looked up in ``group_members_table``), else the mask. They are
+    always replaced, so a changed group takes effect at once.
     """
+    quoted = "'" + group.replace("\\", "\\\\").replace("'", "\\'") + "'"
     created = []
     for stype, body in MASK_SQL.items():
         name = f"`{database}`.{sql_function_name(stype)}"
-        if not replace and spark.catalog.functionExists(f"{database}.{sql_function_name(stype)}"):
-            created.append(name)
-            continue
         spark.sql(
             f"CREATE OR REPLACE FUNCTION {name}(v STRING) RETURNS STRING RETURN "
             f"CASE WHEN EXISTS (SELECT 1 FROM {group_members_table} g "
-            f"WHERE g.grp = '{group}' AND g.member = session_user()) THEN v ELSE {body} END"
+            f"WHERE g.grp = {quoted} AND g.member = session_user()) THEN v ELSE {body} END"
         )
         created.append(name)
     return created

@@ -13,48 +13,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from veilspark.schemas import MISMATCH_REASON
 
 COLUMN_KEYS = ["schema_name", "table_name", "column_name"]
 TAG_KEYS = COLUMN_KEYS + ["tag_name", "tag_value"]
 
-
-def _tags_as_map(tags_col: str, dtype: T.DataType):
-    """Manifest tags as MAP<STRING,STRING>, also when JSON inference made a STRUCT."""
-    if isinstance(dtype, T.MapType):
-        return F.col(tags_col)
-    if isinstance(dtype, T.StructType):
-        kv = []
-        for f in dtype.fields:
-            kv += [F.lit(f.name), F.col(f"{tags_col}.{f.name}").cast("string")]
-        return F.when(F.col(tags_col).isNotNull(), F.create_map(*kv))
-    raise TypeError(f"manifest tags must be a map or struct, got {dtype.simpleString()}")
+# All tags of one document as an array of rows, innermost first: tags of a
+# column, columns of a table, tables of a schema. A level that is NULL adds nothing.
+_DOCUMENT_TAGS = """
+flatten(transform(coalesce(schemas, array()), s ->
+  flatten(transform(coalesce(s.tables, array()), t ->
+    flatten(transform(coalesce(t.attributes, array()), a ->
+      transform(filter(coalesce(map_entries(a.tags), array()), e -> e.value IS NOT NULL), e ->
+        named_struct('schema_name', s.schema_name, 'table_name', t.table_name,
+                     'column_name', a.attribute_name, 'tag_name', e.key, 'tag_value', e.value))))))))
+"""
 
 
 def flatten_manifest(manifest: DataFrame) -> DataFrame:
     """``(schema_name, table_name, column_name, tag_name, tag_value)``.
 
-    Attributes without tags and tags with a NULL value are dropped.
-    Each document is exploded independently (a generator, no shuffle).
+    Attributes without tags and tags with a NULL value are dropped. Each
+    document becomes rows in one step (one generator, no shuffle).
     """
-    attrs = (
-        manifest.select(F.explode("schemas").alias("s"))
-        .select(F.col("s.schema_name").alias("schema_name"), F.explode("s.tables").alias("t"))
-        .select("schema_name", F.col("t.table_name").alias("table_name"), F.explode("t.attributes").alias("a"))
-        .select(
-            "schema_name",
-            "table_name",
-            F.col("a.attribute_name").alias("column_name"),
-            F.col("a.tags").alias("tags"),
-        )
-        .where(F.col("tags").isNotNull())
-    )
-    tags = _tags_as_map("tags", attrs.schema["tags"].dataType)
-    return attrs.select(
-        "schema_name", "table_name", "column_name", F.explode(tags).alias("tag_name", "tag_value")
-    ).where(F.col("tag_value").isNotNull())
+    return manifest.select(F.inline(F.expr(_DOCUMENT_TAGS)))
 
 
 def manifest_mismatch(manifest_tags: DataFrame, column_catalog: DataFrame, catalog_name: str) -> DataFrame:
@@ -74,25 +57,30 @@ def missing_tags(manifest_tags: DataFrame, column_tags: DataFrame, catalog_name:
     return manifest_tags.select(*TAG_KEYS).join(have, TAG_KEYS, "left_anti")
 
 
+def one_value_per_tag(manifest_tags: DataFrame) -> DataFrame:
+    """The manifest's tags, each once; two values for one tag of a column raise."""
+    where = F.concat_ws(".", *COLUMN_KEYS, "tag_name")
+    conflict = F.raise_error(F.concat(F.lit("the manifest has two values for the tag "), where))
+    values = manifest_tags.groupBy(*COLUMN_KEYS, "tag_name").agg(
+        F.min("tag_value").alias("_low"), F.max("tag_value").alias("_high"))
+    return values.select(*COLUMN_KEYS, "tag_name",
+                         F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(conflict).alias("tag_value"))
+
+
 def apply_tags(manifest_tags: DataFrame, column_catalog: DataFrame, column_tags: DataFrame,
                catalog_name: str) -> DataFrame:
     """Tag table of ``catalog_name`` after applying the manifest.
 
     Gate: if any manifest column is missing from the catalog, nothing is
-    applied (the gate is an uncorrelated NOT EXISTS, evaluated once, no
-    driver round trip). Otherwise every missing tag is applied; one value
-    per (column, tag_name), so a changed value replaces the old one. Tags
-    that left the manifest are kept. Tags of other catalogs are not
-    returned.
+    applied (the gate is an uncorrelated EXISTS, evaluated once, no
+    driver round trip). Otherwise a tag takes the manifest's value. Tags
+    that the manifest does not name are kept. Two manifest values for one
+    tag raise. Tags of other catalogs are not returned. One full outer join
+    on the tag keys makes the new table.
     """
-    gate = ~manifest_mismatch(manifest_tags, column_catalog, catalog_name).exists()
-    new = (
-        missing_tags(manifest_tags, column_tags, catalog_name)
-        .dropDuplicates(COLUMN_KEYS + ["tag_name"])
-        .where(gate)
-        .withColumn("catalog_name", F.lit(catalog_name))
-    )
-    current = column_tags.where(F.col("catalog_name") == catalog_name)
-    kept = current.join(new.select(*COLUMN_KEYS, "tag_name"), COLUMN_KEYS + ["tag_name"], "left_anti")
-    cols = ["catalog_name"] + TAG_KEYS
-    return kept.select(*cols).unionByName(new.select(*cols))
+    gate = manifest_mismatch(manifest_tags, column_catalog, catalog_name).exists()
+    keys = COLUMN_KEYS + ["tag_name"]
+    new = one_value_per_tag(manifest_tags).withColumnRenamed("tag_value", "_new").where(~gate)
+    now = column_tags.where(F.col("catalog_name") == catalog_name).select(*keys, F.col("tag_value").alias("_now"))
+    return now.join(new, keys, "full_outer").select(
+        F.lit(catalog_name).alias("catalog_name"), *keys, F.coalesce("_new", "_now").alias("tag_value"))

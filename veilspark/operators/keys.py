@@ -9,8 +9,7 @@ Frames (see ``veilspark.schemas``):
 A data salt key (DSK) is stored only wrapped under one KEK version; the
 ``kek_version`` column says which. Rotation re-wraps the same DSK under a
 newer KEK version, so the salted hashes stay valid. All joins here are on
-key names; the per-KEK version list that ``keyring`` gathers is bounded by
-the number of versions one KEK ever gets (one per rotation).
+key names and versions.
 """
 
 from __future__ import annotations
@@ -71,19 +70,11 @@ def latest_kek_versions(kek_versions: DataFrame) -> DataFrame:
     )
 
 
-def keyring(kek_versions: DataFrame) -> DataFrame:
-    """One row per KEK: latest version, its key, and a version -> key map."""
+def latest_keks(kek_versions: DataFrame) -> DataFrame:
+    """``(kek_name, latest_version, latest_kek)``."""
     return kek_versions.groupBy("kek_name").agg(
-        F.max_by(F.struct("version", "kek"), "created").alias("latest"),
-        F.map_from_entries(F.collect_list(F.struct("version", "kek"))).alias("keys"),
-        F.count(F.lit(1)).alias("n_versions"),
-    ).select(
-        "kek_name",
-        F.col("latest.version").alias("latest_version"),
-        F.col("latest.kek").alias("latest_kek"),
-        "keys",
-        "n_versions",
-    )
+        F.max_by(F.struct("version", "kek"), "created").alias("latest")
+    ).select("kek_name", F.col("latest.version").alias("latest_version"), F.col("latest.kek").alias("latest_kek"))
 
 
 def keys_due(kek_versions: DataFrame, as_of: Column | str,
@@ -150,7 +141,8 @@ def ensure_dsks(registry: DataFrame, dsk_store: DataFrame, kek_versions: DataFra
     before using it.
     """
     missing = registry.join(dsk_store.select("dsk_name"), "dsk_name", "left_anti")
-    ring = keyring(kek_versions).select("kek_name", "latest_version", "latest_kek")
+    needed = kek_versions.join(missing.select("kek_name"), "kek_name", "left_semi")  # only KEKs that wrap a new key
+    ring = latest_keks(needed)
     attr = F.col("pci_pii_attribute_name")
     return (
         missing.join(ring, "kek_name", "inner")
@@ -191,13 +183,13 @@ def rotate_dsks(dsk_store: DataFrame, kek_versions: DataFrame) -> DataFrame:
     cannot be unwrapped raises instead of being dropped or rewritten.
     Adds a boolean ``rotated`` column.
     """
-    ring = keyring(kek_versions)
+    ring = latest_keks(kek_versions)
+    held = kek_versions.select("kek_name", F.col("version").alias("kek_version"), F.col("kek").alias("old_kek"))
     attr = F.col("attribute")
-    old_kek = F.element_at(F.col("keys"), F.col("kek_version"))
-    dsk = unwrap(F.col("wrapped_dsk"), old_kek, key_aad(attr, F.col("kek_version")))
+    dsk = unwrap(F.col("wrapped_dsk"), F.col("old_kek"), key_aad(attr, F.col("kek_version")))
     stale = F.col("kek_version") != F.col("latest_version")
     checked = F.when(dsk.isNull(), F.raise_error(F.concat(F.lit("cannot unwrap DSK "), F.col("dsk_name")))).otherwise(dsk)
-    return dsk_store.join(ring, "kek_name", "left").select(
+    return dsk_store.join(ring, "kek_name", "left").join(held, ["kek_name", "kek_version"], "left").select(
         "attribute",
         "kek_name",
         "dsk_name",
@@ -220,21 +212,6 @@ def missing_salts(required_attributes: DataFrame, unwrapped: DataFrame,
     )
 
 
-def salt_for(unwrapped: DataFrame, attribute: str) -> Column:
-    """Scalar subquery: the DSK of ``attribute``, evaluated once per query.
-
-    The unwrap runs inside the subquery, so it happens once and not per
-    row, and the key bytes never appear in the plan text. Raises at run
-    time if there is not exactly one usable DSK for the attribute.
-    """
-    one = unwrapped.where((F.col("attribute") == F.lit(attribute)) & F.col("dsk").isNotNull())
-    return one.select(
-        F.when(F.count(F.lit(1)) == 1, F.max("dsk"))
-        .otherwise(F.raise_error(F.lit(f"no unique data salt key for attribute {attribute!r}")))
-        .alias("dsk")
-    ).scalar()
-
-
 def salts_struct(unwrapped: DataFrame, attributes) -> Column:
     """DSKs of several attributes as one STRUCT from a single scalar subquery.
 

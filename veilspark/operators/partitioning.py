@@ -1,52 +1,15 @@
-"""Partition helpers for CPU-heavy narrow work (hashing, masking).
+"""Partition helper for CPU-heavy narrow work (hashing, masking).
 
-Protect projections are narrow: each input split becomes one task. Large
-tables have far more splits than cores, so nothing is needed there. A
-table stored as a few big files (one parquet row group each) would run on
-a few cores, so it is spread first: a round-robin shuffle (deterministic
-on retry) to about one partition per ``bytes_per_partition`` of input,
-never more partitions than the cluster has cores, so a small table does
-not turn into thousands of tiny tasks and files on a big cluster.
+Protect projections are narrow: each input split becomes one task. A table
+stored as a few big files can be dealt to more tasks first; that is the
+caller's decision, since it puts a shuffle of clear data before the write.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Compressed input per task for hash-heavy projections (each input byte
-# becomes roughly ten output bytes of hex hashes).
-SPREAD_BYTES_PER_PARTITION = 4 << 20
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files ``df`` reads (file lengths only, no data read)."""
-    files = df.inputFiles()
-    if not files:
-        return 0
-    total = df.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return int(total or 0)
-
-
-def spread(df: DataFrame, max_partitions: int | None = None,
-           bytes_per_partition: int = SPREAD_BYTES_PER_PARTITION) -> DataFrame:
-    cores = max_partitions or df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
-    if current >= cores:
-        return df
-    wanted = -(-input_bytes(df) // bytes_per_partition)
-    target = min(cores, wanted)
-    return df.repartition(target) if target > current else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    join stays a shuffle join, where AQE splits skewed partitions.
-    """
-    from pyspark.sql import functions as F
-
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` over ``partitions`` tasks (round robin); unchanged without a number."""
+    return df.repartition(partitions) if partitions else df

@@ -76,7 +76,6 @@ def table_plans(rows: Iterable) -> list[TablePlan]:
         )
     for tp in plans.values():
         tp.columns.sort(key=lambda c: c.position)
-        tp.check_names()
     return sorted(plans.values(), key=lambda p: (p.catalog_name, p.schema_name, p.table_name))
 
 
@@ -128,6 +127,7 @@ def hash_projection(df: DataFrame, plan: TablePlan, unwrapped_keys: DataFrame,
     The salts of all hashed types come from one scalar subquery, projected
     once as a struct column and read field by field.
     """
+    plan.check_names()
     types = sorted(set(plan.hashed.values()))
     src = df
     if types:

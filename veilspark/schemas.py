@@ -80,8 +80,6 @@ COLUMN_TAGS = T.StructType(
     _s("catalog_name", "schema_name", "table_name", "column_name", "tag_name", "tag_value")
 )
 
-MANIFEST_TAGS = T.StructType(_s("schema_name", "table_name", "column_name", "tag_name", "tag_value"))
-
 KEY_REGISTRY = T.StructType(_s("pci_pii_attribute_name", "kek_name", "dsk_name"))
 
 KEK_VERSIONS = T.StructType(
@@ -99,11 +97,15 @@ DSK_STORE = T.StructType(
 
 GROUP_MEMBERS = T.StructType(_s("grp", "member"))
 
+# status: "started" before a table's first write, "done" after data, view and tags.
 LOADS = T.StructType(
-    _s("source_catalog", "target_catalog", "schema_name", "table_name")
+    _s("source_catalog", "target_catalog", "schema_name", "table_name", "status")
     + [T.StructField("loaded_at", T.TimestampType(), True)]
 )
 
+# Columns that may not hold NULL (parquet tables don't keep that).
+NOT_NULL = T.StructType(_s("catalog_name", "schema_name", "table_name", "column_name"))
+
 _ATTRIBUTE = T.StructType(
     [
         T.StructField("attribute_name", T.StringType(), True),

@@ -35,7 +35,9 @@ def build_session(master: str | None = None, app: str = "veilspark",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process, so that a folder of this machine is everyone's folder; local-cluster is a cluster."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def shared_dir(spark: SparkSession) -> str:

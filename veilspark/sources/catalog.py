@@ -2,73 +2,60 @@
 
 Layers live in the session catalog as databases ``<layer>__<schema>``.
 Listing tables and schemas is catalog metadata work on the driver (one
-row per table or column, never per data row); everything downstream is
-DataFrame joins.
+row per table or column, never per data row). Listings are always written
+to the shared folder in batches and read back: one frame that does not
+change while a load changes the catalog, and no estate sits whole in driver
+memory. Everything downstream is DataFrame joins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from veilspark.schemas import COLUMN_CATALOG, TABLE_CATALOG, split_database
+from veilspark.schemas import COLUMN_CATALOG, TABLE_CATALOG, database_name, split_database
+from veilspark.session import scratch_path
 from veilspark.sources.local import local_frame
 
+BATCH_ROWS = 20_000  # rows of a listing that the driver holds at once
+LOOKUPS = 8          # concurrent schema lookups
 
-class _RowSink:
-    """Collects metadata rows on the driver in bounded batches.
 
-    Up to ``batch_rows`` rows stay in memory; beyond that they are
-    appended to a parquet folder under the shared checkpoint folder and
-    the result is read back from there, so a catalog of any size never
-    sits whole in driver memory.
-    """
-
-    def __init__(self, spark: SparkSession, schema, name: str, batch_rows: int):
-        self.spark, self.schema, self.name, self.batch_rows = spark, schema, name, batch_rows
-        self.rows: list[tuple] = []
-        self.path: str | None = None
-
-    def add(self, rows: list[tuple]) -> None:
-        self.rows += rows
-        if len(self.rows) >= self.batch_rows:
-            self._flush()
-
-    def _flush(self) -> None:
-        from veilspark.session import scratch_path
-
-        if self.path is None:
-            self.path = scratch_path(self.spark, self.name)
-        self.spark.createDataFrame(self.rows, self.schema).write.mode("append").parquet(self.path)
-        self.rows = []
-
-    def frame(self) -> DataFrame:
-        if self.path is None:
-            return local_frame(self.spark, self.rows, self.schema)
-        if self.rows:
-            self._flush()
-        return self.spark.read.schema(self.schema).parquet(self.path)
+def snapshot(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType, name: str,
+             batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """The rows as a parquet frame in the shared folder, written a batch at a time."""
+    path, it = scratch_path(spark, name), iter(rows)
+    local_frame(spark, [], schema).write.parquet(path)
+    while batch := list(islice(it, batch_rows)):
+        local_frame(spark, batch, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
-def _layer_databases(spark: SparkSession, layers: Iterable[str] | None) -> list[tuple[str, str, str]]:
+def _layer_databases(spark: SparkSession, layers: Iterable[str] | None,
+                     schemas: Iterable[str] | None = None) -> list[tuple[str, str, str]]:
     wanted = set(layers) if layers is not None else None
+    names = set(schemas) if schemas is not None else None
     out = []
     for db in spark.catalog.listDatabases():
         parts = split_database(db.name)
-        if parts and (wanted is None or parts[0] in wanted):
+        if parts and (wanted is None or parts[0] in wanted) and (names is None or parts[1] in names):
             out.append((db.name, parts[0], parts[1]))
     return sorted(out)
 
 
 def table_catalog(spark: SparkSession, layers: Iterable[str] | None = None,
-                  batch_rows: int = 200_000) -> DataFrame:
+                  schemas: Iterable[str] | None = None, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """``(catalog_name, schema_name, table_name, table_type)`` of the layers' databases."""
-    sink = _RowSink(spark, TABLE_CATALOG, "table-catalog", batch_rows)
-    for db, layer, schema in _layer_databases(spark, layers):
-        sink.add([(layer, schema, t.name, (t.tableType or "").upper())
-                  for t in spark.catalog.listTables(db) if not t.isTemporary])
-    return sink.frame()
+    def rows() -> Iterator[tuple]:
+        for db, layer, schema in _layer_databases(spark, layers, schemas):
+            for t in spark.catalog.listTables(db):
+                if not t.isTemporary:
+                    yield layer, schema, t.name, (t.tableType or "").upper()
+    return snapshot(spark, rows(), TABLE_CATALOG, "table-catalog", batch_rows)
 
 
 def _schema_rows(catalog: str, schema: str, table: str, struct) -> list[tuple]:
@@ -78,29 +65,34 @@ def _schema_rows(catalog: str, schema: str, table: str, struct) -> list[tuple]:
     ]
 
 
-def column_catalog(spark: SparkSession, layers: Iterable[str] | None = None,
-                   nullability: DataFrame | None = None, batch_rows: int = 200_000) -> DataFrame:
-    """One row per column of every managed table in the layers.
+def column_catalog(spark: SparkSession, tables: DataFrame, not_null: DataFrame | None = None,
+                   batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """One row per column of the given ``(catalog_name, schema_name, table_name)`` tables.
 
-    Parquet tables report every column nullable; pass the source
-    ``column_catalog`` as ``nullability`` to carry NOT NULL through.
+    Only their schemas are looked up, several at a time. Parquet tables
+    report every column nullable; columns listed in ``not_null`` are NO.
     """
-    sink = _RowSink(spark, COLUMN_CATALOG, "column-catalog", batch_rows)
-    for db, layer, schema in _layer_databases(spark, layers):
-        for t in spark.catalog.listTables(db):
-            if t.isTemporary or (t.tableType or "").upper() != "MANAGED":
-                continue
-            sink.add(_schema_rows(layer, schema, t.name, spark.table(f"`{db}`.`{t.name}`").schema))
-    df = sink.frame()
-    if nullability is not None:
-        from pyspark.sql import functions as F
-
-        keys = ["schema_name", "table_name", "column_name"]
-        n = nullability.select(*keys, F.col("is_nullable").alias("_n"))
-        df = df.join(n, keys, "left").select(
-            *[F.coalesce("_n", "is_nullable").alias(c) if c == "is_nullable" else c for c in df.columns]
-        )
-    return df
+    def looked_up(r) -> list[tuple]:
+        name = f"`{database_name(r.catalog_name, r.schema_name)}`.`{r.table_name}`"
+        return _schema_rows(r.catalog_name, r.schema_name, r.table_name, spark.table(name).schema)
+
+    def rows() -> Iterator[tuple]:
+        listed = tables.select("catalog_name", "schema_name", "table_name").toLocalIterator()
+        with ThreadPoolExecutor(max_workers=LOOKUPS) as pool:
+            while some := list(islice(listed, 64 * LOOKUPS)):
+                for found in pool.map(looked_up, some):
+                    yield from found
+
+    df = snapshot(spark, rows(), COLUMN_CATALOG, "column-catalog", batch_rows)
+    if not_null is None:
+        return df
+    from pyspark.sql import functions as F
+
+    keys = ["catalog_name", "schema_name", "table_name", "column_name"]
+    marked = not_null.select(*keys, F.lit("NO").alias("_n")).distinct()
+    return df.join(marked, keys, "left").select(
+        *[F.coalesce("_n", "is_nullable").alias(c) if c == "is_nullable" else c for c in df.columns]
+    )
 
 
 def frames_column_catalog(spark: SparkSession, frames: Mapping[tuple[str, str, str], DataFrame]) -> DataFrame:

@@ -3,14 +3,15 @@
 ``spark.createDataFrame(list)`` builds an RDD of pickled rows, and every
 scan of it starts Python workers. Small metadata and fixture frames
 (key names, group members, table lists of one chunk) are built instead
-from one JSON literal (``from_json`` + ``inline``): no Python in any task
-and a single expression to build, however many rows. Values appear
+from one JSON literal (``from_json`` + ``inline``), whatever their size: no
+Python in any task and a single expression to build. Values appear
 in the plan text, so this is for names and metadata only, never for key
-material. Larger row sets fall back to ``createDataFrame``.
+material.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 
@@ -18,15 +19,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LITERAL_ROWS = 10_000
+
+def _plain(v):
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat()
+    raise TypeError(f"no literal for {type(v).__name__} values")
 
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if len(rows) > MAX_LITERAL_ROWS:
-        return spark.createDataFrame(list(rows), schema)
     names = [f.name for f in schema.fields]
-    payload = json.dumps([dict(zip(names, r)) for r in rows])
+    payload = json.dumps([dict(zip(names, r, strict=True)) for r in rows], default=_plain)
     parsed = F.from_json(F.lit(payload), T.ArrayType(schema), {"mode": "FAILFAST"})
     return spark.range(1, numPartitions=1).select(F.inline(parsed))
