@@ -94,7 +94,7 @@ def test_anonymized_has_no_clear_values(spark, estate):
     assert j.where(F.col("a.ssn") == F.col("v.ssn")).count() == 0
     assert j.where(F.col("a.ssn_hash") != F.col("v.ssn_hash")).count() == 0
     assert j.where(F.col("a.bank_name") != F.col("v.bank_name")).count() == 0
-    tags = store.read(spark, "column_tags").where("catalog_name = 'anonymized'")
+    tags = store.read(spark, store.tags_of("anonymized"))
     assert tags.where("column_name = 'ssn_hash' and tag_name = 'derived'").count() == 1
     assert PL.load_anonymized(spark) == []
 
@@ -145,29 +145,194 @@ def test_partitioning_is_kept(spark, estate):
     assert spark.table(f"anonymized__{SCHEMA}.nation").count() == 25
 
 
-def test_tag_reads_prune_by_layer(spark, estate):
-    df = store.read(spark, "column_tags").where(F.col("catalog_name") == "vault")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(catalog_name" in plan and "= vault" in plan
-    assert df.count() > 0
+def test_layer_tags_are_tables_of_their_own(spark, estate):
+    assert {r.catalog_name for r in store.read(spark, store.tags_of("vault")).collect()} == {"vault"}
+    plan = store.read(spark, store.tags_of("vault"))._jdf.queryExecution().executedPlan().toString()
+    assert "column_tags__landing" not in plan
+    whole = store.read(spark, "column_tags")
+    assert whole.count() == sum(store.read(spark, store.tags_of(x)).count() for x in store.TAG_LAYERS)
 
 
-def test_redone_chunk_adds_no_duplicate_tags(spark, estate):
-    tags = store.read(spark, "column_tags")
-    before = tags.count()
-    PL._append_new_tags(tags.where("catalog_name = 'vault'"))
-    after = store.read(spark, "column_tags")
-    assert after.count() == before
-    assert after.groupBy(*after.columns).count().where("count > 1").count() == 0
+def test_published_tags_replace_those_of_the_same_column_and_name(spark, estate):
+    tags = store.read(spark, store.tags_of("vault"))
+    before = sorted(map(tuple, tags.collect()))
+    PL._publish_tags(tags, "vault")
+    assert sorted(map(tuple, store.read(spark, store.tags_of("vault")).collect())) == before
+    changed = tags.where("column_name = 'ssn' and tag_name = 'sensitivity_category'").withColumn("tag_value", F.lit("pci"))
+    PL._publish_tags(changed, "vault")
+    after = store.read(spark, store.tags_of("vault"))
+    assert after.count() == len(before)
+    assert after.groupBy(*after.columns[:-1]).count().where("count > 1").count() == 0
+    PL._publish_tags(spark.createDataFrame(before, after.schema), "vault")
 
 
-def test_catalog_listing_batches_equal_in_memory(spark, estate):
+def test_catalog_listings(spark, estate):
     from veilspark.sources.catalog import column_catalog, table_catalog
 
-    small_t = table_catalog(spark, ["landing", "vault"], batch_rows=2)
-    big_t = table_catalog(spark, ["landing", "vault"])
-    assert sorted(map(tuple, small_t.collect())) == sorted(map(tuple, big_t.collect()))
-    small_c = column_catalog(spark, ["landing"], batch_rows=3)
-    big_c = column_catalog(spark, ["landing"])
-    assert sorted(map(tuple, small_c.collect())) == sorted(map(tuple, big_c.collect()))
-    assert big_c.where("table_name = 'customer_records_1'").count() == 10
+    small = table_catalog(spark, ["landing", "vault"], batch_rows=2)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, table_catalog(spark, ["landing", "vault"]).collect()))
+    one = table_catalog(spark, ["landing"]).where("table_name = 'customer_records_1'")
+    cols = column_catalog(spark, one, batch_rows=3)
+    assert cols.count() == 10 and {r.table_name for r in cols.collect()} == {"customer_records_1"}
+
+
+# --------------------------------------------------------------------------- failures
+
+TAG = "catalog_name string, schema_name string, table_name string, column_name string, tag_name string, tag_value string"
+
+
+def _landing(spark, schema, table, rows, struct, tags, **options):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS landing__{schema}")
+    w = spark.createDataFrame(rows, struct).write.format("parquet").mode("overwrite")
+    w = w.partitionBy(*options["partition_by"]) if "partition_by" in options else w
+    w.saveAsTable(f"landing__{schema}.{table}")
+    if tags:
+        store.append(spark.createDataFrame(
+            [("landing", schema, table, c, n, v) for c, t in tags.items()
+             for n, v in (("sensitivity_category", "pii"), ("sensitivity_type", t))], TAG), store.tags_of("landing"))
+
+
+def _vault(spark, schema):
+    return [t.name for t in spark.catalog.listTables(f"vault__{schema}")] if spark.catalog.databaseExists(f"vault__{schema}") else []
+
+
+@pytest.mark.parametrize("kind,message", [
+    ("unkeyed", "no registered salt key for bad_unkeyed.t.c"), ("clash", "'c_hash' already exists"),
+    ("partitioned", "partitioned by sensitive columns: c"), ("foreign", "no load has made: bad_foreign.t")])
+def test_refused_before_anything_is_written(spark, estate, kind, message):
+    schema = f"bad_{kind}"
+    column = "iban" if kind == "unkeyed" else "ssn"
+    struct = "id int, c string, c_hash string" if kind == "clash" else "id int, c string"
+    row = (1, "v", "w") if kind == "clash" else (1, "v")
+    _landing(spark, schema, "t", [row], struct, {"c": column}, **({"partition_by": ["c"]} if kind == "partitioned" else {}))
+    _landing(spark, schema, "good", [(1, "v")], "id int, s string", {"s": "ssn"})
+    if kind == "foreign":
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS vault__{schema}")
+        spark.range(3).write.format("parquet").saveAsTable(f"vault__{schema}.t")
+    before = _vault(spark, schema)
+    with pytest.raises(RuntimeError, match=message.replace(".", r"\.")):
+        PL.load_vault(spark, schemas=[schema])
+    assert _vault(spark, schema) == before
+    if kind == "foreign":
+        assert spark.table(f"vault__{schema}.t").columns == ["id"]
+
+
+def test_failed_table_stops_no_other_and_is_redone(spark, estate):
+    from pyspark.sql import types as T
+
+    struct = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructField("s", T.StringType(), True)])
+    PL.create_table(spark, "landing", "half", "broken", struct)
+    spark.createDataFrame([(None, "a"), (2, "b")], "id int, s string").write.format("parquet").mode("append").insertInto("landing__half.broken")
+    store.append(spark.createDataFrame([("landing", "half", "broken", "s", n, v) for n, v in (
+        ("sensitivity_category", "pii"), ("sensitivity_type", "ssn"))], TAG), store.tags_of("landing"))
+    _landing(spark, "half", "fine", [(1, "123-45-6789")], "id int, s string", {"s": "ssn"})
+    with pytest.raises(PL.LoadError) as e:
+        PL.load_vault(spark, schemas=["half"])
+    assert e.value.loaded == ["fine"] and list(e.value.failed) == ["half.broken"]
+    assert "NOT NULL" in e.value.failed["half.broken"]
+    assert spark.table("vault__half.broken").count() == 0 and "broken__masked" in _vault(spark, "half")
+    assert store.read(spark, store.tags_of("vault")).where("schema_name = 'half' and table_name = 'broken'").count() == 0
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string").write.format("parquet").mode("overwrite").insertInto("landing__half.broken")
+    assert PL.load_vault(spark, schemas=["half"]) == ["broken"]
+    assert spark.table("vault__half.broken").count() == 2
+    strict = store.read(spark, "not_null").where("schema_name = 'half'")
+    assert sorted(r.catalog_name for r in strict.collect()) == ["landing", "vault"]
+    assert sorted(PL.load_anonymized(spark, schemas=["half"])) == ["broken", "fine"]
+
+
+def test_interrupted_load_is_redone(spark, estate, monkeypatch):
+    _landing(spark, "cut", "t", [(i, f"123-45-{i:04}") for i in range(50)], "id int, s string", {"s": "ssn"})
+    for step in ("_create_target", "create_masked_view", "_fill", "_publish_tags", "_finish"):
+        real = getattr(PL, step)
+
+        def crash(*a, real=real, **k):
+            if real.__name__ == "_fill":
+                real(*a, **k)  # data written, nothing recorded
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(PL, step, crash)
+        with pytest.raises(KeyboardInterrupt):
+            PL.load_vault(spark, schemas=["cut"], parallelism=1)
+        monkeypatch.setattr(PL, step, real)
+        if spark.catalog.databaseExists("vault__cut") and spark.catalog.tableExists("vault__cut.t") and spark.table("vault__cut.t").count():
+            assert "t__masked" in _vault(spark, "cut")
+    assert PL.load_vault(spark, schemas=["cut"]) == ["t"]
+    assert spark.table("vault__cut.t").count() == 50
+    tags = store.read(spark, store.tags_of("vault")).where("schema_name = 'cut'")
+    assert tags.count() == 5 and tags.distinct().count() == 5
+    assert PL.load_vault(spark, schemas=["cut"]) == []
+
+
+def test_scans_do_not_grow_with_chunks(spark, estate, monkeypatch):
+    """Plan, listing and tags are read a fixed number of times, however many chunks there are."""
+    for i in range(6):
+        _landing(spark, f"chunks", f"t{i}", [(1, "x")], "id int, s string", {"s": "ssn"})
+    reads = []
+    real = store.read
+    monkeypatch.setattr(store, "read", lambda spark, name: reads.append(name) or real(spark, name))
+    assert len(PL.load_vault(spark, schemas=["chunks"], chunk_size=1)) == 6
+    by_one = sorted(x for x in reads)
+    for i in range(6):
+        _landing(spark, f"chunks2", f"t{i}", [(1, "x")], "id int, s string", {"s": "ssn"})
+    reads.clear()
+    assert len(PL.load_vault(spark, schemas=["chunks2"], chunk_size=64)) == 6
+    assert sorted(x for x in reads) == by_one
+
+
+def test_changed_group_takes_effect(spark, estate):
+    me = spark.sql("select session_user() u").first().u
+    store.append(spark.createDataFrame([("o'brien\\s", me)], "grp string, member string"), "group_members")
+    PL.register_mask_functions(spark, "nobody")
+    assert spark.sql("select core.ssn_mask('123-45-6789') v").first().v == "***-**-6789"
+    PL.register_mask_functions(spark, "o'brien\\s")
+    assert spark.sql("select core.ssn_mask('123-45-6789') v").first().v == "123-45-6789"
+    PL.register_mask_functions(spark)
+
+
+@pytest.mark.parametrize("step", ["_write_version", "_point_view", "after write"])
+def test_publish_survives_a_crash_at_each_step(spark, estate, monkeypatch, step):
+    name = "dsk_store"
+    before = sorted(map(str, store.read(spark, name).collect()))
+    real_write, real_point = store._write_version, store._point_view
+
+    def crash(*a):
+        if step == "after write":
+            real_write(*a)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_point_view" if step == "_point_view" else "_write_version", crash)
+    with pytest.raises(KeyboardInterrupt):
+        store.publish(store.read(spark, name).limit(0), name)
+    monkeypatch.setattr(store, "_write_version", real_write)
+    monkeypatch.setattr(store, "_point_view", real_point)
+    assert sorted(map(str, store.read(spark, name).collect())) == before
+    counts = PL.bootstrap_keys(spark)
+    assert PL.bootstrap_keys(spark) == counts  # keys written after the crash are the ones that are read
+    assert counts["dsks"] == store.read(spark, name).count()
+    store.publish(store.read(spark, name), name)
+    assert store.read(spark, name).count() == counts["dsks"]
+    assert len(store._versions(spark, name)) == 2  # the abandoned version is gone
+
+
+def test_two_writers(spark, estate, monkeypatch):
+    real = store._write_version
+
+    def slow(df, name, number):
+        version = real(df, name, number)
+        monkeypatch.setattr(store, "_write_version", real)
+        store.publish(store.read(spark, name), name)  # the other writer
+        return version
+
+    monkeypatch.setattr(store, "_write_version", slow)
+    with pytest.raises(store.ConcurrentPublish):
+        store.publish(store.read(spark, "dsk_store").limit(0), "dsk_store")
+    assert store.read(spark, "dsk_store").count() > 0
+
+
+def test_classify_settles_and_refuses_conflicts(spark, estate):
+    good = _manifest(estate)
+    assert PL.classify(spark, good).applied == 0
+    both = _manifest(estate, {"table_name": "customer_records_1", "attributes": [
+        {"attribute_name": "ssn", "tags": {"sensitivity_type": "pan"}}]})
+    with pytest.raises(Exception, match="two values for the tag"):
+        PL.classify(spark, both)

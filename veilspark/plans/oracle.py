@@ -153,7 +153,7 @@ _TABLE_TYPES = """case
  else lower(data_type) end"""
 
 ORACLE_SQL: dict[str, str] = {
-    "synthetic_pii": _pii_sql("range", "range((select count(*) from orders))"),
+    "synthetic_pii": _pii_sql("o_orderkey", "orders"),
     "column_catalog": f"""select 'landing' as catalog_name, 'testdata' as schema_name, table_name, column_name,
  {_TABLE_TYPES} as full_data_type, 'YES' as is_nullable, cast(ordinal_position as integer) as ordinal_position
  from information_schema.columns
@@ -245,6 +245,17 @@ ORACLE_SQL: dict[str, str] = {
  agg as (select cust_ssn, count(*) as n_orders, cast(sum(o_orderkey) as bigint) as sum_orderkey
          from o where cust_ssn is not null group by cust_ssn)
  select p.id, {_hash('ssn')} as ssn_hash, agg.n_orders, agg.sum_orderkey from p join agg on p.ssn = agg.cust_ssn""",
+    "hash_join_rows": f"""with p as ({PII})
+ select o_orderkey, {_hash('ssn')} as cust_ssn_hash, id
+ from (select o_orderkey, {_ssn_sql('o_custkey')} as cust_ssn from orders) o join p on p.ssn = o.cust_ssn where p.ssn <> '12'""",
+    "vault_tags": "with s(c, cat, typ) as (values " + ", ".join(
+        f"({_q(c)}, {_q(cat)}, {_q(t)})" for c, cat, t in SENSITIVE_COLUMNS) + """),
+ src as (select 'customer_records' as table_name, * from s union all select 'order_records', 'cust_ssn', 'pii', 'ssn'),
+ h as (select table_name, c as column_name, cat, typ, false as h from src
+       union all select table_name, c || '_hash', cat, typ, true from src)
+ select table_name, column_name, 'sensitivity_category' as tag_name, cat as tag_value from h
+ union all select table_name, column_name, 'sensitivity_type', typ from h
+ union all select table_name, column_name, 'derived', 'hash' from h where h""",
     "masked_view": ANONYMIZED,
     "vault_load": VAULT,
     "anonymized_load": ANONYMIZED,

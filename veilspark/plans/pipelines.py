@@ -3,7 +3,8 @@
 Data rows never pass through Python: each table is one
 ``scan -> select -> write`` Spark job. The driver sees only metadata: the
 load plan is frozen with ``checkpoint()`` and streamed table by table.
-Table jobs run concurrently from a small thread pool, chunk by chunk.
+Table jobs run concurrently from a small thread pool; tags and plan are read
+a fixed number of times a run, however many tables there are.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark import schemas as S
-from veilspark.functions.masks import register_sql_functions, sql_function_name
+from veilspark.functions.masks import MASK_SQL, register_sql_functions, sql_function_name
 from veilspark.operators import classify as C
 from veilspark.operators import keys as K
 from veilspark.operators import plan as P
@@ -41,26 +42,30 @@ class ClassifyResult:
     version: int | None    # new column_tags version, if any
 
 
-def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDING) -> ClassifyResult:
+def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDING,
+             schemas: list[str] | None = None) -> ClassifyResult:
     """PIPE-1: manifest -> validation -> tags of ``catalog_name``, all or nothing.
 
-    The mismatch report is returned whole as a frozen frame (checkpoint in
-    the shared folder), never collected.
+    The manifest is read once and frozen. The mismatch report is returned
+    whole as a frozen frame (checkpoint in the shared folder), never
+    collected. A new version of the layer's tags is published only if a tag
+    changes, so a repeated run applies 0. Two values for one tag raise.
     """
     shared_dir(spark)
-    manifest = C.flatten_manifest(read_manifest(spark, manifest_path))
-    cols = column_catalog(spark, [catalog_name])
+    manifest = C.one_value_per_tag(C.flatten_manifest(read_manifest(spark, manifest_path))).checkpoint()
+    tables = table_catalog(spark, [catalog_name], schemas).where("table_type = 'MANAGED'")
+    named = tables.join(manifest.select("schema_name", "table_name").distinct(), ["schema_name", "table_name"], "left_semi")
+    cols = column_catalog(spark, named)
     mismatch = C.manifest_mismatch(manifest, cols, catalog_name).checkpoint()
     n_mismatch = mismatch.count()
     if n_mismatch:
         return ClassifyResult(mismatch, n_mismatch, 0, None)
-    tags = store.read(spark, "column_tags")
+    tags = store.read(spark, store.tags_of(catalog_name))
     missing = C.missing_tags(manifest, tags, catalog_name).count()
     if missing == 0:
         return ClassifyResult(mismatch, 0, 0, None)
-    others = tags.where(F.col("catalog_name") != catalog_name)
-    merged = others.unionByName(C.apply_tags(manifest, cols, tags, catalog_name))
-    return ClassifyResult(mismatch, 0, missing, store.publish(merged, "column_tags"))
+    merged = C.apply_tags(manifest, cols, tags, catalog_name)
+    return ClassifyResult(mismatch, 0, missing, store.publish(merged, store.tags_of(catalog_name)))
 
 
 # --------------------------------------------------------------------------- keys
@@ -69,13 +74,13 @@ def bootstrap_keys(spark: SparkSession, attributes: DataFrame | None = None,
                    created: Column | None = None) -> dict:
     """KEY-1 + SNK-8: registry rows, KEKs and wrapped DSKs for every attribute in use.
 
-    ``attributes`` defaults to the sensitivity types tagged anywhere.
+    ``attributes`` defaults to the sensitivity types tagged in the landing layer.
     Each generation step is written before the next one reads it, so
     random keys are drawn exactly once. Idempotent.
     """
     created = F.current_timestamp() if created is None else created
     if attributes is None:
-        attributes = P.sensitive_columns(store.read(spark, "column_tags")).select(
+        attributes = P.sensitive_columns(store.read(spark, store.tags_of(LANDING))).select(
             F.col("tag_value").alias("attribute")
         )
     registry_now = store.read(spark, "key_registry")
@@ -123,22 +128,29 @@ def unwrapped_keys(spark: SparkSession) -> DataFrame:
 
 # --------------------------------------------------------------------------- layers
 
-def _loaded_as_catalog(spark: SparkSession, source: str, target: str) -> DataFrame:
+class LoadError(RuntimeError):
+    """Some tables were not loaded; ``loaded`` were. ``failed``: table -> reason."""
+
+    def __init__(self, loaded: list[str], failed: dict[str, str]):
+        super().__init__("; ".join(f"{t}: {why}" for t, why in sorted(failed.items())))
+        self.loaded, self.failed = loaded, failed
+
+
+def _loads(spark: SparkSession, source: str, target: str, status: str) -> DataFrame:
     return store.read(spark, "loads").where(
-        (F.col("source_catalog") == source) & (F.col("target_catalog") == target)
-    ).select(
-        F.lit(target).alias("catalog_name"), "schema_name", "table_name", F.lit("MANAGED").alias("table_type")
-    )
+        (F.col("source_catalog") == source) & (F.col("target_catalog") == target) & (F.col("status") == status)
+    ).select("schema_name", "table_name").distinct()
 
 
-def pending(spark: SparkSession, source: str, target: str) -> DataFrame:
+def pending(spark: SparkSession, source: str, target: str, schemas: list[str] | None = None) -> DataFrame:
     """Managed ``source`` tables without a completed load into ``target``.
 
     Completion is read from ``core.loads``, written after the data, view
     and tags, so a load that crashed half way is redone.
     """
-    cat = table_catalog(spark, [source]).unionByName(_loaded_as_catalog(spark, source, target))
-    return P.pending_tables(cat, source, target)
+    done = _loads(spark, source, target, "done").select(
+        F.lit(target).alias("catalog_name"), "schema_name", "table_name", F.lit("MANAGED").alias("table_type"))
+    return P.pending_tables(table_catalog(spark, [source], schemas).unionByName(done), source, target)
 
 
 def _ensure_db(spark: SparkSession, layer: str, schema: str, root: str | None) -> None:
@@ -151,46 +163,43 @@ def partition_columns(spark: SparkSession, qualified_name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(qualified_name.replace("`", "")) if c.isPartition]
 
 
-def _write(df: DataFrame, layer: str, schema: str, table: str, max_records_per_file: int | None,
-           partition_by: list[str] | None = None) -> None:
-    """Overwrite the target table, keeping the source's partition columns."""
-    w = df.write.format("parquet").mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+def _create_target(df: DataFrame, layer: str, schema: str, table: str, partition_by: list[str]) -> str:
+    """SNK-3: the empty target table with the layout of ``df``, if absent."""
+    name = S.qualified(layer, schema, table)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts}")
+    return name
+
+
+def _fill(df: DataFrame, name: str, max_records_per_file: int | None) -> None:
+    """SNK-4: insert-select. What an unfinished earlier load left in the table is replaced."""
+    spark = df.sparkSession
+    w = df.select(*[f"`{c}`" for c in spark.table(name).columns]).write
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.saveAsTable(f"{S.database_name(layer, schema)}.{table}")
+    w.insertInto(name.replace("`", ""), overwrite=True)
 
 
-def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan]) -> None:
+def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan], status: str) -> None:
+    if not plans:
+        return
     rows = local_frame(
         spark,
-        [(source, target, tp.schema_name, tp.table_name) for tp in plans],
-        "source_catalog string, target_catalog string, schema_name string, table_name string",
+        [(source, target, tp.schema_name, tp.table_name, status) for tp in plans],
+        "source_catalog string, target_catalog string, schema_name string, table_name string, status string",
     ).withColumn("loaded_at", F.current_timestamp())
     store.append(rows, "loads")
 
 
-def _append_new_tags(tags: DataFrame) -> None:
-    """Append tag rows not recorded yet, so a redone chunk adds no duplicates."""
-    have = store.read(tags.sparkSession, "column_tags")
+def _publish_tags(tags: DataFrame, layer: str) -> None:
+    """The layer's tags, those of ``tags`` in place of older ones of the same column and name."""
+    spark = tags.sparkSession
     cols = [f.name for f in S.COLUMN_TAGS.fields]
-    store.append(tags.select(*cols).distinct().join(have.select(*cols), cols, "left_anti"), "column_tags")
-
-
-def _tables_frame(spark: SparkSession, catalog: str, plans: list[TablePlan]) -> DataFrame:
-    return local_frame(
-        spark,
-        [(catalog, tp.schema_name, tp.table_name) for tp in plans],
-        "catalog_name string, schema_name string, table_name string",
-    )
-
-
-def _run_all(fn, plans: list[TablePlan], parallelism: int) -> list:
-    if parallelism <= 1 or len(plans) <= 1:
-        return [fn(tp) for tp in plans]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(fn, plans))
+    keys = cols[:-1]
+    new = tags.select(*cols).distinct()
+    kept = store.read(spark, store.tags_of(layer)).join(new.select(*keys).distinct(), keys, "left_anti")
+    store.publish(kept.select(*cols).unionByName(new), store.tags_of(layer))
 
 
 def _chunks(it: Iterator[TablePlan], size: int) -> Iterator[list[TablePlan]]:
@@ -204,64 +213,144 @@ def _chunks(it: Iterator[TablePlan], size: int) -> Iterator[list[TablePlan]]:
         yield chunk
 
 
-def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT) -> DataFrame:
-    """PIPE-2 over the live catalog."""
+def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT,
+               schemas: list[str] | None = None) -> DataFrame:
+    """PIPE-2 over the live catalog: schemas are looked up for pending tables only."""
+    todo = pending(spark, source, target, schemas).checkpoint()
     return P.load_plan(
-        pending(spark, source, target),
-        column_catalog(spark, [source]),
-        store.read(spark, "column_tags"),
+        todo,
+        column_catalog(spark, todo, store.read(spark, "not_null")),
+        store.read(spark, store.tags_of(source)),
         store.read(spark, "key_registry"),
     )
 
 
+def _refuse(plan_df: DataFrame, source: str, target: str, schemas: list[str] | None,
+            hashes: bool) -> None:
+    """Validation of the whole plan: raises before anything is written. ``hashes``: the load adds them."""
+    spark = plan_df.sparkSession
+    problems = []
+    unkeyed = P.unkeyed_columns(plan_df).limit(20).collect() if hashes else []
+    if unkeyed:
+        problems.append("no registered salt key for " + ", ".join(
+            sorted(f"{r.schema_name}.{r.table_name}.{r.column_name} ({r.tag_value})" for r in unkeyed)))
+    unmasked = plan_df.where(F.col("tag_value").isNotNull() & ~F.col("tag_value").isin(*MASK_SQL)).select(
+        "tag_value").distinct().limit(20).collect()
+    if unmasked:
+        problems.append("no mask for sensitivity type " + ", ".join(sorted(r.tag_value for r in unmasked)))
+    started = _loads(spark, source, target, "started")
+    there = table_catalog(spark, [target], schemas).select("schema_name", "table_name")
+    foreign = P.tables_to_load(plan_df).join(there, ["schema_name", "table_name"], "left_semi").join(
+        started, ["schema_name", "table_name"], "left_anti").limit(20).collect()
+    if foreign:
+        problems.append(f"there are {target} tables that no load has made: " + ", ".join(
+            sorted(f"{r.schema_name}.{r.table_name}" for r in foreign)))
+    for tp in iter_table_plans(plan_df):
+        try:
+            if hashes:
+                tp.check_names()
+        except ValueError as e:
+            problems.append(str(e))
+        if tp.sensitive:
+            parts = partition_columns(spark, S.qualified(source, tp.schema_name, tp.table_name))
+            clear = [c for c in parts if c in tp.sensitive]
+            if clear:
+                problems.append(f"{tp.schema_name}.{tp.table_name} is partitioned by sensitive columns: {', '.join(clear)}")
+    if problems:
+        raise RuntimeError("; ".join(problems))
+
+
+def _load_tables(spark: SparkSession, plan_df: DataFrame, source: str, target: str, one, *, root: str | None,
+                 parallelism: int, chunk_size: int) -> tuple[list[TablePlan], dict[str, str]]:
+    """Run ``one(table plan)`` for every table. A table that fails stops no other."""
+    done: list[TablePlan] = []
+    failed: dict[str, str] = {}
+
+    def attempt(tp: TablePlan):
+        try:
+            one(tp)
+            return tp, None
+        except Exception as e:  # noqa: BLE001 - reported with all others at the end
+            return tp, f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+            for schema in sorted({tp.schema_name for tp in chunk}):  # before the concurrent writes
+                _ensure_db(spark, target, schema, root)
+            _record(spark, source, target, chunk, "started")
+            for tp, why in pool.map(attempt, chunk):
+                if why is None:
+                    done.append(tp)
+                else:
+                    failed[f"{tp.schema_name}.{tp.table_name}"] = why
+    return done, failed
+
+
+def _only(plan_df: DataFrame, failed: dict[str, str]) -> DataFrame:
+    """The plan without the tables that failed."""
+    if not failed:
+        return plan_df
+    names = local_frame(plan_df.sparkSession, [tuple(t.split(".", 1)) for t in failed], "schema_name string, table_name string")
+    return plan_df.join(names, ["schema_name", "table_name"], "left_anti")
+
+
 def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = None,
                privileged_group: str = "pii_readers", parallelism: int = 4, chunk_size: int = 64,
-               max_records_per_file: int | None = None, spread_inputs: bool = True) -> list[str]:
+               max_records_per_file: int | None = None, partitions: int | None = None,
+               schemas: list[str] | None = None, keys: DataFrame | None = None) -> list[str]:
     """PIPE-3: every pending landing table -> vault table with salted hashes.
 
     The load plan is frozen first (checkpoint in the shared folder), since
-    the loads change the catalog it reads. Tables are then taken in
-    chunks: data write and role-gated masked view per table (concurrently),
-    then tags for columns and hash columns, and finally one completion
-    record per chunk.
-    Raises before any write if a needed salt key is missing.
-    ``spread_inputs=False`` skips the per-table size check of
-    :func:`spread` (for estates of many tiny tables).
+    the loads change the catalog it reads, and validated as a whole: a
+    sensitive column without a usable key or mask, a clash of names, a
+    sensitive partition column or a target that no load made raise before
+    any write. Then, table by table (several at once): the empty target, its
+    role-gated masked view, the data. So clear rows never stand without a
+    view. Tags follow in one pass over the plan, then the completion records.
+    Tables that fail stop no others; :class:`LoadError` names them at the end.
+    ``partitions`` deals each table's rows to so many tasks first. ``schemas``
+    limits the load. ``keys``: unwrapped keys, by default those of the store.
     """
     shared_dir(spark)
-    plan_df = vault_plan(spark, LANDING, VAULT).checkpoint()
-    keys_df = unwrapped_keys(spark)
-    required = plan_df.where(F.col("dsk_name").isNotNull()).select(F.col("tag_value").alias("attribute"))
+    plan_df = vault_plan(spark, LANDING, VAULT, schemas).checkpoint()
+    keys_df = unwrapped_keys(spark) if keys is None else keys
+    _refuse(plan_df, LANDING, VAULT, schemas, hashes=True)
+    required = plan_df.where(F.col("tag_value").isNotNull()).select(F.col("tag_value").alias("attribute"))
     missing = [r.attribute for r in K.missing_salts(required, keys_df).collect()]
     if missing:
         raise RuntimeError(f"no usable data salt key for: {', '.join(sorted(missing))}")
     register_mask_functions(spark, privileged_group)
 
-    def one(tp: TablePlan) -> str:
-        name = S.qualified(LANDING, tp.schema_name, tp.table_name)
-        src = spread(spark.table(name)) if spread_inputs else spark.table(name)
-        _write(hash_projection(src, tp, keys_df, num_bits), VAULT, tp.schema_name, tp.table_name,
-               max_records_per_file, partition_columns(spark, name))
+    def one(tp: TablePlan) -> None:
+        source = S.qualified(LANDING, tp.schema_name, tp.table_name)
+        rows = hash_projection(spread(spark.table(source), partitions), tp, keys_df, num_bits)
+        name = _create_target(rows, VAULT, tp.schema_name, tp.table_name, partition_columns(spark, source))
         create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
-        return tp.table_name
+        _fill(rows, name, max_records_per_file)
 
-    done: list[str] = []
-    for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
-        for schema in sorted({tp.schema_name for tp in chunk}):  # before the concurrent writes
-            _ensure_db(spark, VAULT, schema, root)
-        done += _run_all(one, chunk, parallelism)
-        chunk_plan = plan_df.join(_tables_frame(spark, LANDING, chunk),
-                                  ["catalog_name", "schema_name", "table_name"], "left_semi")
-        _append_new_tags(P.propagate_tags(store.read(spark, "column_tags"), chunk_plan, VAULT))
-        _record(spark, LANDING, VAULT, chunk)
-    return done
+    done, failed = _load_tables(spark, plan_df, LANDING, VAULT, one, root=root, parallelism=parallelism, chunk_size=chunk_size)
+    loaded = _only(plan_df, failed)
+    if done:
+        _publish_tags(P.propagate_tags(store.read(spark, store.tags_of(LANDING)), loaded, VAULT), VAULT)
+        strict = loaded.where("is_nullable = 'NO'").select(F.lit(VAULT).alias("catalog_name"), "schema_name", "table_name", "column_name")
+        store.append(strict, "not_null")
+    return _finish(spark, LANDING, VAULT, done, failed)
 
 
-def anonymize_plan(spark: SparkSession) -> DataFrame:
+def _finish(spark: SparkSession, source: str, target: str, done: list[TablePlan], failed: dict[str, str]) -> list[str]:
+    _record(spark, source, target, done, "done")
+    names = [tp.table_name for tp in done]
+    if failed:
+        raise LoadError(names, failed)
+    return names
+
+
+def anonymize_plan(spark: SparkSession, schemas: list[str] | None = None) -> DataFrame:
     """Vault tables not yet anonymized, one row per column, type tag where masked."""
-    todo = pending(spark, VAULT, ANON)
-    cols = column_catalog(spark, [VAULT]).join(todo, ["catalog_name", "schema_name", "table_name"], "left_semi")
-    sens = P.sensitive_columns(store.read(spark, "column_tags"))
+    todo = pending(spark, VAULT, ANON, schemas).checkpoint()
+    loaded = _loads(spark, LANDING, VAULT, "done")  # not what a vault load is still writing
+    cols = column_catalog(spark, todo.join(loaded, ["schema_name", "table_name"], "left_semi"), store.read(spark, "not_null"))
+    sens = P.sensitive_columns(store.read(spark, store.tags_of(VAULT)))
     return cols.join(sens, ["catalog_name", "schema_name", "table_name", "column_name"], "left").select(
         *P.PLAN_COLUMNS[:9], F.lit(None).cast("string").alias("kek_name"), F.lit(None).cast("string").alias("dsk_name")
     )
@@ -269,41 +358,44 @@ def anonymize_plan(spark: SparkSession) -> DataFrame:
 
 def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism: int = 4,
                     chunk_size: int = 64, max_records_per_file: int | None = None,
-                    spread_inputs: bool = True) -> list[str]:
-    """PIPE-4: vault -> anonymized, masked whoever runs it, hashes kept, tags carried on."""
+                    partitions: int | None = None, schemas: list[str] | None = None) -> list[str]:
+    """PIPE-4: vault -> anonymized, masked whoever runs it, hashes kept, tags carried on.
+
+    Validation, order and errors as in :func:`load_vault`.
+    """
     shared_dir(spark)
-    plan_df = anonymize_plan(spark).checkpoint()
-
-    def one(tp: TablePlan) -> str:
-        name = S.qualified(VAULT, tp.schema_name, tp.table_name)
-        src = spread(spark.table(name)) if spread_inputs else spark.table(name)
-        _write(mask_projection(src, tp.sensitive), ANON, tp.schema_name, tp.table_name, max_records_per_file,
-               partition_columns(spark, name))
-        return tp.table_name
-
-    done: list[str] = []
-    for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
-        for schema in sorted({tp.schema_name for tp in chunk}):
-            _ensure_db(spark, ANON, schema, root)
-        done += _run_all(one, chunk, parallelism)
-        names = _tables_frame(spark, VAULT, chunk)
-        tags = store.read(spark, "column_tags").join(
-            names, ["catalog_name", "schema_name", "table_name"], "left_semi"
-        ).withColumn("catalog_name", F.lit(ANON))
-        _append_new_tags(tags)
-        _record(spark, VAULT, ANON, chunk)
-    return done
+    plan_df = anonymize_plan(spark, schemas).checkpoint()
+    _refuse(plan_df, VAULT, ANON, schemas, hashes=False)
+
+    def one(tp: TablePlan) -> None:
+        source = S.qualified(VAULT, tp.schema_name, tp.table_name)
+        rows = mask_projection(spread(spark.table(source), partitions), tp.sensitive)
+        name = _create_target(rows, ANON, tp.schema_name, tp.table_name, partition_columns(spark, source))
+        _fill(rows, name, max_records_per_file)
+
+    done, failed = _load_tables(spark, plan_df, VAULT, ANON, one, root=root, parallelism=parallelism, chunk_size=chunk_size)
+    if done:
+        tables = P.tables_to_load(_only(plan_df, failed))
+        tags = store.read(spark, store.tags_of(VAULT)).join(tables, P.TABLE_KEYS, "left_semi")
+        _publish_tags(tags.withColumn("catalog_name", F.lit(ANON)), ANON)
+    return _finish(spark, VAULT, ANON, done, failed)
 
 
 # --------------------------------------------------------------------------- landing tables
 
 def create_table(spark: SparkSession, layer: str, schema: str, table: str, struct,
                  replace: bool = False, root: str | None = None) -> str:
-    """SNK-2/SNK-7: (re)create an empty parquet table with a fixed schema in a layer."""
+    """SNK-2/SNK-7: (re)create an empty parquet table with a fixed schema in a layer.
+
+    Its NOT NULL columns are recorded in ``core.not_null`` and checked by the loads.
+    """
     _ensure_db(spark, layer, schema, root)
     name = f"{S.database_name(layer, schema)}.{table}"
     if replace or not spark.catalog.tableExists(name):
         spark.createDataFrame([], struct).write.format("parquet").mode("overwrite").saveAsTable(name)
+        strict = [(layer, schema, table, f.name) for f in struct.fields if not f.nullable]
+        if strict:
+            store.append(local_frame(spark, strict, S.NOT_NULL), "not_null")
     return name
 
 

@@ -1,16 +1,23 @@
 """Core tables of the engine in the session catalog (parquet).
 
-* append-only: ``key_registry``, ``kek_versions``, ``group_members``, ``loads``
-* replaced as a whole: ``column_tags``, ``dsk_store``: each version is a
-  table ``<name>__v<N>`` and ``<name>`` is a view on the current one. A new
-  version is written completely before the view switches, so a crash
-  leaves the previous version in place (parquet has no row update, and a
-  table cannot be overwritten while it is being read).
+* append-only: ``key_registry``, ``kek_versions``, ``group_members``,
+  ``not_null``, ``loads``
+* replaced as a whole: ``dsk_store`` and, one per layer, the column tags
+  (``column_tags__landing`` and so on; ``column_tags`` shows all layers).
+
+A replaced table is a view on its current version, ``<name>__v<N>_<id>``.
+The view is the only record of which version is current: ``read``, ``append``
+and ``publish`` all ask it. A new version is written completely before the
+view switches, so a crash at any step leaves the previous version in place;
+what it left behind has a name of its own, blocks nothing and goes with the
+next ``publish`` (parquet has no row update, and a table cannot be overwritten
+while it is being read).
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,38 +29,54 @@ APPEND_TABLES = {
     "key_registry": S.KEY_REGISTRY,
     "kek_versions": S.KEK_VERSIONS,
     "group_members": S.GROUP_MEMBERS,
+    "not_null": S.NOT_NULL,
     "loads": S.LOADS,
 }
-VERSIONED_TABLES = {
-    "column_tags": S.COLUMN_TAGS,
-    "dsk_store": S.DSK_STORE,
-}
-# Tags are read per layer, so the tag table is partitioned by it (pruned scans).
-PARTITION_COLUMNS = {"column_tags": ["catalog_name"]}
+TAGS = "column_tags"
+TAG_LAYERS = (S.Layer.LANDING.value, S.Layer.VAULT.value, S.Layer.ANONYMIZED.value)
+VERSIONED_TABLES = {f"{TAGS}__{layer}": S.COLUMN_TAGS for layer in TAG_LAYERS} | {"dsk_store": S.DSK_STORE}
 
 
-def _writer(df: DataFrame, name: str):
-    w = df.write.format("parquet")
-    parts = PARTITION_COLUMNS.get(name)
-    return w.partitionBy(*parts) if parts else w
+class ConcurrentPublish(RuntimeError):
+    """Another writer switched the table's version in the meantime."""
 
 
 def core_name(name: str) -> str:
     return f"`{CORE}`.`{name}`"
 
 
-def _versions(spark: SparkSession, name: str) -> list[int]:
-    pat = re.compile(rf"^{re.escape(name)}__v(\d+)$")
-    out = []
-    for t in spark.catalog.listTables(CORE):
-        m = pat.match(t.name)
-        if m:
-            out.append(int(m.group(1)))
-    return sorted(out)
+def tags_of(layer: str) -> str:
+    """The core table with the column tags of a layer."""
+    return f"{TAGS}__{layer}"
+
+
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """Tables of this name's versions, published or not."""
+    pattern = re.compile(rf"^{re.escape(name)}__v\d+_[0-9a-f]+$")
+    return sorted(t.name for t in spark.catalog.listTables(CORE) if pattern.match(t.name))
+
+
+def current(spark: SparkSession, name: str) -> str:
+    """The table that the view ``name`` stands for."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {core_name(name)}").where("col_name = 'View Text'").collect()
+    found = re.search(rf"`({re.escape(name)}__v\d+_[0-9a-f]+)`", rows[0]["data_type"]) if rows else None
+    if not found:
+        raise RuntimeError(f"core table {name} has no current version; call ensure_core first")
+    return found[1]
+
 
+def _number(version: str) -> int:
+    return int(re.search(r"__v(\d+)_[0-9a-f]+$", version)[1])
 
-def _point_view(spark: SparkSession, name: str, version: int) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {core_name(name)} AS SELECT * FROM {core_name(f'{name}__v{version}')}")
+
+def _write_version(df: DataFrame, name: str, number: int) -> str:
+    version = f"{name}__v{number}_{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").saveAsTable(f"{CORE}.{version}")
+    return version
+
+
+def _point_view(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {core_name(name)} AS SELECT * FROM {core_name(version)}")
 
 
 def ensure_core(spark: SparkSession, location: str | None = None) -> None:
@@ -64,9 +87,11 @@ def ensure_core(spark: SparkSession, location: str | None = None) -> None:
         if not spark.catalog.tableExists(f"{CORE}.{name}"):
             spark.createDataFrame([], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}")
     for name, schema in VERSIONED_TABLES.items():
-        if not _versions(spark, name):
-            _writer(spark.createDataFrame([], schema), name).saveAsTable(f"{CORE}.{name}__v1")
-            _point_view(spark, name, 1)
+        if not spark.catalog.tableExists(f"{CORE}.{name}"):
+            _point_view(spark, name, _write_version(spark.createDataFrame([], schema), name, 1))
+    if not spark.catalog.tableExists(f"{CORE}.{TAGS}"):
+        union = " UNION ALL ".join(f"SELECT * FROM {core_name(tags_of(x))}" for x in TAG_LAYERS)
+        spark.sql(f"CREATE OR REPLACE VIEW {core_name(TAGS)} AS {union}")
 
 
 def read(spark: SparkSession, name: str) -> DataFrame:
@@ -76,18 +101,26 @@ def read(spark: SparkSession, name: str) -> DataFrame:
 def append(df: DataFrame, name: str) -> None:
     """Append to an append-only table, or to the current version of a versioned one."""
     spark = df.sparkSession
-    target = name
-    if name in VERSIONED_TABLES:
-        target = f"{name}__v{_versions(spark, name)[-1]}"
+    target = current(spark, name) if name in VERSIONED_TABLES else name
     cols = spark.table(core_name(target)).columns
     df.select(*cols).write.format("parquet").mode("append").insertInto(f"{CORE}.{target}")
 
 
 def publish(df: DataFrame, name: str) -> int:
-    """Write ``df`` as the next version of ``name`` and switch the view to it."""
+    """Write ``df`` as the next version of ``name`` and switch the view to it.
+
+    Raises :class:`ConcurrentPublish` if the view moved while ``df`` was
+    written. The version before stays (running readers may hold it); older
+    and abandoned ones are dropped.
+    """
     spark = df.sparkSession
-    nxt = _versions(spark, name)[-1] + 1
-    cols = [f.name for f in VERSIONED_TABLES[name].fields]
-    _writer(df.select(*cols), name).saveAsTable(f"{CORE}.{name}__v{nxt}")
-    _point_view(spark, name, nxt)
-    return nxt
+    before = current(spark, name)
+    version = _write_version(df.select(*[f.name for f in VERSIONED_TABLES[name].fields]), name, _number(before) + 1)
+    if current(spark, name) != before:
+        spark.sql(f"DROP TABLE IF EXISTS {core_name(version)}")
+        raise ConcurrentPublish(f"{name} is no longer at {before}")
+    _point_view(spark, name, version)
+    for old in _versions(spark, name):
+        if old not in (before, version):
+            spark.sql(f"DROP TABLE IF EXISTS {core_name(old)}")
+    return _number(version)

@@ -8,6 +8,7 @@ equivalent DuckDB SQL for each.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from veilspark.functions import masks as M
 from veilspark.functions.crypto import unwrap, wrap
 from veilspark.operators import classify, keys, plan
-from veilspark.operators.joins import lookup_on_hash
+from veilspark.operators.joins import join_on_hash, lookup_on_hash
 from veilspark.operators.protect import (
     add_hashes,
     hash_projection,
@@ -24,21 +25,19 @@ from veilspark.operators.protect import (
     plan_for_frame,
     table_plans,
 )
-from veilspark.schemas import KEK_NAME_PREFIX, SENSITIVITY_TYPES, TAG_CATEGORY, TAG_TYPE
-from veilspark.session import shared_dir
+from veilspark.plans import pipelines, store
+from veilspark.schemas import COLUMN_TAGS, KEK_NAME_PREFIX, SENSITIVITY_TYPES, TAG_CATEGORY, TAG_TYPE
+from veilspark.session import scratch_path, shared_dir
 from veilspark.sources import fixtures as fx
 from veilspark.sources.catalog import frames_column_catalog
 from veilspark.sources.local import local_frame
+from veilspark.sources.manifest import read_manifest
 
 # Hash width of the registered workloads: DuckDB, the oracle, has SHA-256
 # but no SHA-512. The library default (and the benchmark) is 512.
 ORACLE_BITS = 256
 ROTATION_AS_OF = "2025-06-01 00:00:00"
 KEY_CREATED_AT = "2026-01-01 00:00:00"
-DRIVER_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,21 +53,27 @@ def _pii(spark, d):
 
 
 def _unwrapped_global(spark):
-    _, versions, store = fx.global_keys(spark)
-    return keys.unwrap_dsks(store, versions)
+    _, versions, wrapped = fx.global_keys(spark)
+    return keys.unwrap_dsks(wrapped, versions)
 
 
 # --------------------------------------------------------------------------- sources
 
 def synthetic_pii(spark, d):
-    """SRC-1: as many synthetic customers as ``orders`` has rows, from ``spark.range``."""
-    n = table(spark, d, "orders").count()
-    return fx.synthetic_pii(spark, n)
+    """SRC-1: a synthetic customer for each key of ``orders``, generated by the tasks that read it."""
+    return fx.pii_rows(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
+
+
+def _tables_in(spark, d) -> list[str]:
+    """Names of the ``<table>.parquet`` files and folders in a folder (contents aren't read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(d.rstrip("/"))
+             .select(F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1).alias("t")).where("t <> ''").distinct())
+    return sorted(r.t for r in files.collect())
 
 
 def column_catalog(spark, d):
-    """SRC-4: columns of the given tables (from their schemas) and of every tenant table."""
-    frames = {("landing", "testdata", t): table(spark, d, t) for t in DRIVER_TABLES}
+    """SRC-4: columns of the tables in the folder (from their schemas) and of every tenant table."""
+    frames = {("landing", "testdata", t): table(spark, d, t) for t in _tables_in(spark, d)}
     return frames_column_catalog(spark, frames).unionByName(fx.estate_column_catalog(_customer(spark, d)))
 
 
@@ -79,7 +84,17 @@ def _manifest_tags(spark, d, unknown_columns=True):
 
 
 def manifest_flatten(spark, d):
-    return _manifest_tags(spark, d)
+    """SRC-2: the tenants' manifests as JSON files, read back and flattened."""
+    path = scratch_path(spark, "manifests")
+    docs = fx.estate_manifest(_customer(spark, d)).select(F.to_json(F.struct("schemas")).alias("doc"))
+    some = docs.groupBy(F.pmod(F.xxhash64("doc"), F.lit(shuffle_files(spark))).alias("file")).agg(F.collect_list("doc").alias("docs"))
+    some.select(F.concat(F.lit("["), F.array_join("docs", ",\n"), F.lit("]")).alias("value")).repartition("value").write.option(
+        "maxRecordsPerFile", 1).text(path)  # a file is one multi-line document, here an array of them
+    return classify.flatten_manifest(read_manifest(spark, path))
+
+
+def shuffle_files(spark) -> int:
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def manifest_mismatch(spark, d):
@@ -273,17 +288,24 @@ def hash_interleave(spark, d):
 
 
 def hash_join(spark, d):
-    """JN-9: orders joined to anonymized customers through SSN hashes only."""
-    unwrapped = _unwrapped_global(spark)
-    customers = add_hashes(_pii(spark, d), ["id"], {"ssn_hash": ("ssn", "ssn")}, unwrapped, ORACLE_BITS)
-    orders = add_hashes(fx.orders_pii(table(spark, d, "orders")), ["o_orderkey"],
-                        {"cust_ssn_hash": ("cust_ssn", "ssn")}, unwrapped, ORACLE_BITS)
+    """JN-9: vault orders joined to vault customers through the stored SSN hashes."""
+    schema = _loaded_estate(spark, d)
+    customers = spark.table(f"vault__{schema}.customer_records").select("id", "ssn_hash")
+    orders = spark.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
     return lookup_on_hash(
         customers, orders, "ssn_hash", "cust_ssn_hash",
         [F.count(F.lit(1)).alias("n_orders"), F.sum("o_orderkey").alias("sum_orderkey")],
     )
 
 
+def hash_join_rows(spark, d):
+    """JN-9 as pairs: every vault order with the customers of the same SSN hash, hot hashes salted."""
+    schema = _loaded_estate(spark, d)
+    orders = spark.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
+    customers = spark.table(f"vault__{schema}.customer_records").where("ssn <> '12'").select("id", "ssn_hash")
+    return join_on_hash(orders, customers, "cust_ssn_hash", "ssn_hash", salt_buckets=8)
+
+
 # --------------------------------------------------------------------------- layers
 
 def _sample_tags(spark, catalog: str, schema: str, table_name: str) -> DataFrame:
@@ -301,43 +323,71 @@ def vault_frame(spark, d, num_bits: int = ORACLE_BITS) -> DataFrame:
     cols = frames_column_catalog(spark, {ids: landing})
     tbls = local_frame(spark, [(*ids, "MANAGED")], "catalog_name string, schema_name string, "
                                                    "table_name string, table_type string")
-    registry, versions, store = fx.global_keys(spark)
+    registry, versions, wrapped = fx.global_keys(spark)
     p = plan.load_plan(plan.pending_tables(tbls, "landing", "vault"), cols, _sample_tags(spark, *ids), registry)
     (tp,) = table_plans(p.collect())
-    return hash_projection(landing, tp, keys.unwrap_dsks(store, versions), num_bits)
+    return hash_projection(landing, tp, keys.unwrap_dsks(wrapped, versions), num_bits)
 
 
-def vault_load(spark, d):
-    return vault_frame(spark, d)
+def _landed_estate(spark, d) -> tuple[str, str]:
+    """A landing schema of its own with customers and orders, tagged and registered: (schema, root folder)."""
+    root = scratch_path(spark, "estate")
+    schema = f"q{uuid.uuid4().hex[:12]}"
+    store.ensure_core(spark, f"{root}/core")
+    spark.sql(f"CREATE DATABASE `landing__{schema}` LOCATION '{root}/landing'")
+    _pii(spark, d).write.format("parquet").saveAsTable(f"landing__{schema}.customer_records")
+    fx.orders_pii(table(spark, d, "orders")).write.format("parquet").saveAsTable(f"landing__{schema}.order_records")
+    ssn = [("landing", schema, "order_records", "cust_ssn", n, v) for n, v in ((TAG_CATEGORY, "pii"), (TAG_TYPE, "ssn"))]
+    store.append(_sample_tags(spark, "landing", schema, "customer_records").unionByName(
+        local_frame(spark, ssn, COLUMN_TAGS)), store.tags_of("landing"))
+    registered = store.read(spark, "key_registry").select("pci_pii_attribute_name")
+    store.append(fx.registry_seed(spark).join(registered, "pci_pii_attribute_name", "left_anti"), "key_registry")
+    return schema, root
+
 
+def _loaded_estate(spark, d) -> str:
+    """The schema after the vault load with the fixture's keys."""
+    schema, root = _landed_estate(spark, d)
+    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
+    return schema
 
-def anonymized_frame(vault: DataFrame, member=None) -> DataFrame:
-    """PIPE-4: every sensitive source column masked, hashes kept as they are."""
-    return mask_projection(vault, fx.SENSITIVE_TYPE_OF, member)
+
+def vault_load(spark, d):
+    """PIPE-3: landing tables through the load into vault tables, read back."""
+    return spark.table(f"vault__{_loaded_estate(spark, d)}.customer_records")
 
 
 def anonymized_load(spark, d):
-    # Run as a member of the privileged group: the anonymized layer is masked anyway.
-    return anonymized_frame(vault_frame(spark, d))
+    """PIPE-4: vault tables through the load into anonymized tables, read back."""
+    schema, root = _landed_estate(spark, d)
+    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
+    pipelines.load_anonymized(spark, root=root, schemas=[schema])
+    return spark.table(f"anonymized__{schema}.customer_records")
 
 
 def masked_view(spark, d):
-    members = fx.group_members(spark)
-    as_bob = M.is_member(members, fx.PRIVILEGED_GROUP, F.lit("bob"))
-    return anonymized_frame(vault_frame(spark, d), member=as_bob)
+    """GOV-6: the view that the vault load made, through the SQL mask functions, as a user outside the group."""
+    return spark.table(f"vault__{_loaded_estate(spark, d)}.{pipelines.masked_view_name('customer_records')}")
+
+
+def vault_tags(spark, d):
+    """GOV-2 as loaded: the tags that the vault load recorded for its tables."""
+    schema = _loaded_estate(spark, d)
+    return store.read(spark, store.tags_of("vault")).where(F.col("schema_name") == schema).select(
+        "table_name", "column_name", "tag_name", "tag_value")
 
 
 def incremental_load(spark, d):
     """STR-1: protect new landing files with Structured Streaming, read the result back."""
     from veilspark.streaming.incremental import protect_stream
 
-    registry, versions, store = fx.global_keys(spark)
+    registry, versions, wrapped = fx.global_keys(spark)
     schema = table(spark, d, "customer").schema
     out = protect_stream(
         spark, d, schema, file_glob="customer.parquet",
         transform=fx.pii_customers,
         sensitive=fx.SENSITIVE_TYPE_OF,
-        unwrapped_keys=keys.unwrap_dsks(store, versions),
+        unwrapped_keys=keys.unwrap_dsks(wrapped, versions),
         num_bits=ORACLE_BITS,
     )
     from veilspark.streaming.incremental import read_protected
@@ -370,9 +420,11 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_null": hash_null,
     "hash_interleave": hash_interleave,
     "hash_join": hash_join,
+    "hash_join_rows": hash_join_rows,
     "masked_view": masked_view,
     "propagate_tags": propagate_tags,
     "vault_load": vault_load,
+    "vault_tags": vault_tags,
     "anonymized_load": anonymized_load,
     "incremental_load": incremental_load,
 }
