@@ -279,6 +279,33 @@ def test_scans_do_not_grow_with_chunks(spark, estate, monkeypatch):
     assert sorted(x for x in reads) == by_one
 
 
+def test_arriving_rows_reach_both_layers(spark, estate, monkeypatch):
+    _landing(spark, "late", "flat", [(i, f"123-45-{i:04}") for i in range(20)], "id int, s string", {"s": "ssn"})
+    _landing(spark, "late", "parts", [(i, f"123-45-{i:04}", i % 3) for i in range(30)], "id int, s string, p int", {"s": "ssn"},
+             partition_by=["p"])
+    assert sorted(PL.load_vault(spark, schemas=["late"])) == ["flat", "parts"]
+    assert sorted(PL.load_anonymized(spark, schemas=["late"])) == ["flat", "parts"]
+    assert PL.load_arrivals(spark, schemas=["late"]) == []
+    untouched = {f for f in spark.table("vault__late.parts").inputFiles() if "p=1" not in f}
+    spark.createDataFrame([(100, "111-11-1111")], "id int, s string").write.format("parquet").mode("append").insertInto("landing__late.flat")
+    spark.createDataFrame([(101, "111-11-1111", 1)], "id int, s string, p int").write.format("parquet").mode("append").insertInto("landing__late.parts")
+
+    real = store.append  # cut short after the data: the run is redone
+    monkeypatch.setattr(store, "append", lambda df, name: (_ for _ in ()).throw(KeyboardInterrupt()) if name == "loaded_files" else real(df, name))
+    with pytest.raises(KeyboardInterrupt):
+        PL.load_arrivals(spark, schemas=["late"])
+    monkeypatch.setattr(store, "append", real)
+    assert sorted(PL.load_arrivals(spark, schemas=["late"])) == ["flat", "parts"]
+    for table, n in (("flat", 21), ("parts", 31)):
+        for layer in ("landing", "vault", "anonymized"):
+            t = spark.table(f"{layer}__late.{table}")
+            assert t.count() == n and t.select("id").distinct().count() == n, (layer, table)
+        assert spark.table(f"anonymized__late.{table}").where("s = '111-11-1111'").count() == 0
+        assert spark.table(f"vault__late.{table}__masked").count() == n
+    assert untouched <= set(spark.table("vault__late.parts").inputFiles())  # only touched partitions are written
+    assert PL.load_arrivals(spark, schemas=["late"]) == []
+
+
 def test_changed_group_takes_effect(spark, estate):
     me = spark.sql("select session_user() u").first().u
     store.append(spark.createDataFrame([("o'brien\\s", me)], "grp string, member string"), "group_members")

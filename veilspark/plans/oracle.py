@@ -260,4 +260,5 @@ ORACLE_SQL: dict[str, str] = {
     "vault_load": VAULT,
     "anonymized_load": ANONYMIZED,
     "incremental_load": VAULT,
+    "arrivals_load": f"with v as ({VAULT}) select v.*, {_mask('ssn')} as ssn_masked from v",
 }

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from veilspark.operators import plan as P
 from veilspark.operators.partitioning import spread
 from veilspark.operators.protect import TablePlan, hash_projection, iter_table_plans, mask_projection
 from veilspark.plans import store
-from veilspark.session import shared_dir
+from veilspark.session import scratch_path, shared_dir
 from veilspark.sources.catalog import column_catalog, table_catalog
 from veilspark.sources.local import local_frame
 from veilspark.sources.manifest import read_manifest
@@ -172,10 +173,14 @@ def _create_target(df: DataFrame, layer: str, schema: str, table: str, partition
     return name
 
 
-def _fill(df: DataFrame, name: str, max_records_per_file: int | None) -> None:
-    """SNK-4: insert-select. What an unfinished earlier load left in the table is replaced."""
+def _fill(df: DataFrame, name: str, max_records_per_file: int | None = None, touched_only: bool = False) -> None:
+    """SNK-4: insert-select. What an unfinished earlier load left in the table is replaced,
+    or, with ``touched_only``, in the partitions that ``df`` has rows of."""
     spark = df.sparkSession
-    w = df.select(*[f"`{c}`" for c in spark.table(name).columns]).write
+    columns = spark.table(name).columns
+    if sorted(columns) != sorted(df.columns):
+        raise ValueError(f"the columns of {name} are {', '.join(columns)}, not {', '.join(df.columns)}")
+    w = df.select(*[f"`{c}`" for c in columns]).write.option("partitionOverwriteMode", "dynamic" if touched_only else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.insertInto(name.replace("`", ""), overwrite=True)
@@ -192,6 +197,25 @@ def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan
     store.append(rows, "loads")
 
 
+def _part(spark: SparkSession, source: str) -> Column:
+    """A row's partition as text: one value for all rows of an unpartitioned table."""
+    parts = partition_columns(spark, source)
+    return F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in parts])) if parts else F.lit("{}")
+
+
+def _source_files(spark: SparkSession, layer: str, plans: list) -> DataFrame:
+    """The files that the plans' source tables consist of now (footers are read, no data), frozen."""
+    frames = []
+    for tp in plans:
+        name = S.qualified(layer, tp.schema_name, tp.table_name)
+        frames.append(spark.table(name).select(
+            F.lit(layer).alias("source_catalog"), F.lit(tp.schema_name).alias("schema_name"),
+            F.lit(tp.table_name).alias("table_name"), _part(spark, name).alias("part"),
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_modification_time").alias("modified")))
+    return reduce(DataFrame.unionByName, frames).distinct().checkpoint()
+
+
 def _publish_tags(tags: DataFrame, layer: str) -> None:
     """The layer's tags, those of ``tags`` in place of older ones of the same column and name."""
     spark = tags.sparkSession
@@ -278,11 +302,13 @@ def _load_tables(spark: SparkSession, plan_df: DataFrame, source: str, target: s
             for schema in sorted({tp.schema_name for tp in chunk}):  # before the concurrent writes
                 _ensure_db(spark, target, schema, root)
             _record(spark, source, target, chunk, "started")
+            files = _source_files(spark, source, chunk)  # listed before they are read: later ones count as new
             for tp, why in pool.map(attempt, chunk):
                 if why is None:
                     done.append(tp)
                 else:
                     failed[f"{tp.schema_name}.{tp.table_name}"] = why
+            store.append(_only(files, failed), "loaded_files")
     return done, failed
 
 
@@ -381,6 +407,74 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
     return _finish(spark, VAULT, ANON, done, failed)
 
 
+# --------------------------------------------------------------------------- arriving rows
+
+def arrived_files(spark: SparkSession, schemas: list[str] | None = None, chunk_size: int = 64) -> DataFrame:
+    """Files in loaded landing tables that no completed load has read, frozen."""
+    loaded = _loads(spark, LANDING, VAULT, "done")
+    if schemas is not None:
+        loaded = loaded.where(F.col("schema_name").isin(schemas))
+    path = scratch_path(spark, "landing-files")
+    local_frame(spark, [], S.LOADED_FILES).write.parquet(path)
+    listed = (TablePlan(LANDING, r.schema_name, r.table_name) for r in loaded.toLocalIterator())
+    for chunk in _chunks(listed, chunk_size):
+        _source_files(spark, LANDING, chunk).write.mode("append").parquet(path)
+    known = store.read(spark, "loaded_files").where(F.col("source_catalog") == LANDING)
+    keys = [f.name for f in S.LOADED_FILES.fields]
+    return spark.read.schema(S.LOADED_FILES).parquet(path).join(known, keys, "left_anti").checkpoint()
+
+
+def load_arrivals(spark: SparkSession, *, num_bits: int = 512, parallelism: int = 4, chunk_size: int = 64,
+                  schemas: list[str] | None = None, keys: DataFrame | None = None) -> list[str]:
+    """STR-1 for catalog tables: rows that arrived in landing tables after their load.
+
+    Of each table with new files the partitions that have some (the whole
+    table if it has no partitions) are loaded anew into the vault and,
+    if the table is there, the anonymized layer. They replace what those
+    partitions held, so a run that is cut short and redone neither loses nor
+    doubles rows. Views and tags stay as they are. The files are recorded
+    last. Landing tables are taken as append-only: partitions that
+    vanish there are kept. Returns the tables that changed.
+    """
+    shared_dir(spark)
+    files = arrived_files(spark, schemas, chunk_size)
+    tables = files.select(F.lit(LANDING).alias("catalog_name"), "schema_name", "table_name").distinct()
+    plan_df = P.load_plan(tables, column_catalog(spark, tables, store.read(spark, "not_null")),
+                          store.read(spark, store.tags_of(LANDING)), store.read(spark, "key_registry")).checkpoint()
+    keys_df = unwrapped_keys(spark) if keys is None else keys
+    _refuse(plan_df, LANDING, VAULT, schemas, hashes=True)
+    anonymized = {(r.schema_name, r.table_name) for r in _loads(spark, VAULT, ANON, "done").join(
+        tables, ["schema_name", "table_name"], "left_semi").toLocalIterator()}
+    done: list[str] = []
+    failed: dict[str, str] = {}
+
+    def one(tp: TablePlan) -> str | None:
+        mine = files.where((F.col("schema_name") == tp.schema_name) & (F.col("table_name") == tp.table_name))
+        touched = [r.part for r in mine.select("part").distinct().collect()]  # partition names
+        source, vault, anon = (S.qualified(x, tp.schema_name, tp.table_name) for x in (LANDING, VAULT, ANON))
+        try:
+            rows = spark.table(source).where(_part(spark, source).isin(touched))
+            _fill(hash_projection(rows, tp, keys_df, num_bits), vault, touched_only=True)
+            if (tp.schema_name, tp.table_name) in anonymized:
+                fresh = spark.table(vault).where(_part(spark, vault).isin(touched))
+                _fill(mask_projection(fresh, tp.sensitive), anon, touched_only=True)
+        except Exception as e:  # noqa: BLE001 - reported with all others at the end
+            return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+        return None
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
+            for tp, why in zip(chunk, pool.map(one, chunk), strict=True):
+                if why is None:
+                    done.append(tp.table_name)
+                else:
+                    failed[f"{tp.schema_name}.{tp.table_name}"] = why
+    store.append(_only(files, failed), "loaded_files")
+    if failed:
+        raise LoadError(done, failed)
+    return done
+
+
 # --------------------------------------------------------------------------- landing tables
 
 def create_table(spark: SparkSession, layer: str, schema: str, table: str, struct,

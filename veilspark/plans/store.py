@@ -1,7 +1,7 @@
 """Core tables of the engine in the session catalog (parquet).
 
 * append-only: ``key_registry``, ``kek_versions``, ``group_members``,
-  ``not_null``, ``loads``
+  ``not_null``, ``loads``, ``loaded_files``
 * replaced as a whole: ``dsk_store`` and, one per layer, the column tags
   (``column_tags__landing`` and so on; ``column_tags`` shows all layers).
 
@@ -31,6 +31,7 @@ APPEND_TABLES = {
     "group_members": S.GROUP_MEMBERS,
     "not_null": S.NOT_NULL,
     "loads": S.LOADS,
+    "loaded_files": S.LOADED_FILES,
 }
 TAGS = "column_tags"
 TAG_LAYERS = (S.Layer.LANDING.value, S.Layer.VAULT.value, S.Layer.ANONYMIZED.value)

@@ -329,13 +329,15 @@ def vault_frame(spark, d, num_bits: int = ORACLE_BITS) -> DataFrame:
     return hash_projection(landing, tp, keys.unwrap_dsks(wrapped, versions), num_bits)
 
 
-def _landed_estate(spark, d) -> tuple[str, str]:
-    """A landing schema of its own with customers and orders, tagged and registered: (schema, root folder)."""
+def _landed_estate(spark, d, first=None) -> tuple[str, str]:
+    """A landing schema of its own with customers (or the ``first`` of them) and orders,
+    tagged and registered: (schema, root folder)."""
     root = scratch_path(spark, "estate")
     schema = f"q{uuid.uuid4().hex[:12]}"
     store.ensure_core(spark, f"{root}/core")
     spark.sql(f"CREATE DATABASE `landing__{schema}` LOCATION '{root}/landing'")
-    _pii(spark, d).write.format("parquet").saveAsTable(f"landing__{schema}.customer_records")
+    customers = _customer(spark, d) if first is None else _customer(spark, d).where(first)
+    fx.pii_customers(customers).write.format("parquet").saveAsTable(f"landing__{schema}.customer_records")
     fx.orders_pii(table(spark, d, "orders")).write.format("parquet").saveAsTable(f"landing__{schema}.order_records")
     ssn = [("landing", schema, "order_records", "cust_ssn", n, v) for n, v in ((TAG_CATEGORY, "pii"), (TAG_TYPE, "ssn"))]
     store.append(_sample_tags(spark, "landing", schema, "customer_records").unionByName(
@@ -357,6 +359,18 @@ def vault_load(spark, d):
     return spark.table(f"vault__{_loaded_estate(spark, d)}.customer_records")
 
 
+def arrivals_load(spark, d):
+    """STR-1 end to end: half of the customers is loaded into both layers, the rest arrives later."""
+    schema, root = _landed_estate(spark, d, F.col("c_custkey") % 2 == 0)
+    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
+    pipelines.load_anonymized(spark, root=root, schemas=[schema])
+    late = _pii(spark, d).where("id % 2 <> 0")
+    pipelines.append_table(late, "landing", schema, "customer_records")
+    pipelines.load_arrivals(spark, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
+    anonymized = spark.table(f"anonymized__{schema}.customer_records").select("id", F.col("ssn").alias("ssn_masked"))
+    return spark.table(f"vault__{schema}.customer_records").join(anonymized, "id")
+
+
 def anonymized_load(spark, d):
     """PIPE-4: vault tables through the load into anonymized tables, read back."""
     schema, root = _landed_estate(spark, d)
@@ -427,4 +441,5 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vault_tags": vault_tags,
     "anonymized_load": anonymized_load,
     "incremental_load": incremental_load,
+    "arrivals_load": arrivals_load,
 }
