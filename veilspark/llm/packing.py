@@ -18,7 +18,7 @@ no length is gathered in one task; every piece then finds its plan row by bisect
 
 The tokenizer works on chunks that end before white space (there no token of a
 byte-level BPE that splits at white space can cross); their ids are kept per worker
-in a table that is emptied when it reaches ``MAX_CHUNKS`` entries.
+in two generations of ``MAX_CHUNKS`` entries, the older of which is dropped in time.
 
 Null text counts as empty: one piece with id 0 only. Repeated rows and null ids are
 documents of their own. No documents: no pieces.
@@ -31,6 +31,7 @@ import re
 import sys
 import types
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -46,12 +47,23 @@ from veilspark.llm.common import pick, read, written
 
 CAPACITY = 2048
 END_ID = b"\0\0\0\0"
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 400_000
 TOKENIZER = "byte_bpe_50k.json"
 _ODD = re.compile(r"[^\S \n]|[ \n]{2}")  # white space that the short way doesn't know
 _CHUNK = re.compile(r"(?<=\S)(?=\s)")
 
 
+# A word of Latin letters, and punctuation after it: two pieces for the tokenizer, whatever follows.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
+
+
+def byte_signs() -> list[str]:
+    """The sign that byte-level BPE writes for each byte: itself if printable, else one from U+0100 on."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in kept else chr(next(others)) for b in range(256)]
+
+
 class TokenTable:
     """Ids of a text as little-endian unsigned 32-bit integers."""
 
@@ -61,27 +73,56 @@ class TokenTable:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
-        self.spaced: dict[str, bytes] = {}  # by what follows a space; from a line feed on: by itself
-        self.plain: dict[str, bytes] = {}
-
-    def _join(self, table: dict[str, bytes], words: list[str], chunk) -> bytes:
+        self.signs = byte_signs()
+        # Each with a younger and an older generation: what is asked for again stays.
+        self.spaced = [{}, {}]  # by what follows a space; from a line feed on: by itself
+        self.plain = [{}, {}]
+
+    def _model(self, word: str) -> bytes:
+        """A space and letters, which is one piece for the model."""
+        text = word if word.isascii() else "".join([self.signs[b] for b in word.encode()])
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(self.signs[0x20] + text)]).tobytes()
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+
+    def _room(self, tables: list[dict], n: int) -> None:
+        if len(tables[0]) + n > MAX_CHUNKS:
+            tables[1], tables[0] = tables[0], {}
+
+    def _learn(self, tables: list[dict], words: list[str], spaced: bool) -> None:
+        """Puts all words into the younger generation."""
+        self._room(tables, len(words))
+        young, old = tables
+        rest = []
+        for w in {w for w in words if w not in young}:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            elif spaced and (m := _WORD.fullmatch(w)):
+                core, tail = m.groups()
+                ids = young.get(core) or old.get(core)
+                if ids is None:
+                    ids = young[core] = self._model(core)
+                if tail:
+                    young[w] = ids + self._join(self.plain, [tail], False)
+            else:
+                rest.append(w)
+        young.update(zip(rest, self._encode([" " + w if spaced and w[:1] != "\n" else w for w in rest]), strict=True))
+
+    def _join(self, tables: list[dict], words: list[str], spaced: bool) -> bytes:
         try:
-            return b"".join([table[w] for w in words])
+            young = tables[0]
+            return b"".join([young[w] for w in words])
         except KeyError:
-            new = {w for w in words if w not in table}
-            if len(table) + len(new) > MAX_CHUNKS:
-                table.clear()
-                new = set(words)
-            found = self.tokenizer.encode_batch([chunk(w) for w in new], add_special_tokens=False)
-            table.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
-            return b"".join([table[w] for w in words])
+            self._learn(tables, words, spaced)
+            young = tables[0]
+            return b"".join([young[w] for w in words])
 
     def ids(self, text: str) -> bytes:
         if _ODD.search(text):
-            return self._join(self.plain, _CHUNK.split(text), lambda k: k)
+            return self._join(self.plain, _CHUNK.split(text), False)
         head, *words = text.replace("\n", " \n").split(" ")
-        return self._join(self.plain, [head], lambda k: k) + self._join(
-            self.spaced, words, lambda k: k if k[:1] == "\n" else " " + k)
+        return self._join(self.plain, [head], False) + self._join(self.spaced, words, True)
 
 
 def token_table(spec: str) -> TokenTable:
