@@ -8,6 +8,9 @@ struct past the operators' own columns.
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +75,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
         f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go when no frame refers to them any more and the
+    driver's JVM finds that out; between two large jobs this asks it to look, so that
+    they don't add up on disk."""
+    for _ in range(3):  # frames of Python let go of the JVM's in one round, those of their shuffles in the next
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

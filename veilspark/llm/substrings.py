@@ -9,7 +9,7 @@ another, judged on the input.
    ``length - v + 1`` words starts at a cover position in both documents. Only such
    stretches are hashed: |D| of every v positions. A stretch seen twice is a hit.
 2. Extension: only windows that hold a hit, aligned, can have an equal. They are hashed in
-   full (128 bits), and those that start twice or more are repeated.
+   full (96 bits), and those that start twice or more are repeated.
 3. The words that repeated windows cover are removed.
 
 Hits go back to the documents by bucket (a hash of id and text), as sets: a bucket
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import pick, read, shuffle_partitions, written
+from veilspark.llm.common import pick, read, release_shuffles, shuffle_partitions, written
 
 LENGTH = 35
 #: A perfect difference set: any difference modulo 21 is one of two members.
@@ -154,8 +154,16 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry_h, carry_who, known = h[-1:], who[-1:], bool(several[-1])
 
 
-_WINDOW = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("w", "<i4")])
-MARKED = "bucket int, doc_id long, n_words long, n_removed long, kept binary, text binary, windows binary"
+# Windows of a bucket: 64 and 32 bits of their hashes, and a flag.
+# LONE: one document of the bucket has it, once; MANY: it is known to start twice or
+# more, and a pending document has it; OUTSIDE: as MANY, but no pending document has it.
+LONE, MANY, OUTSIDE = 0, 1, 2
+MARKED = ("bucket int, doc_id long, n_words long, n_removed long, kept binary, text binary, "
+          "h1 binary, h2 binary, flags binary")
+
+
+def _second(rolling: Rolling, h: np.ndarray, length: int) -> np.ndarray:
+    return (rolling.windows(h, length, 1) >> np.int64(32)).astype(np.int32)
 
 
 def _kept(words: list[bytes], covered: np.ndarray | None) -> bytes:
@@ -193,64 +201,63 @@ def _marked(length: int):
                 starts = np.arange(n - length + 1)
                 some = np.flatnonzero(sums[starts + PERIOD] - sums[starts])
                 if len(some):
-                    w = np.empty(len(some), _WINDOW)
-                    w["h1"], w["h2"] = rolling.windows(h, length)[some], rolling.windows(h, length, 1)[some]
-                    w["w"] = weight
-                    found.append(w)
                     pending = weight == 1
+                    found.append((rolling.windows(h, length)[some], _second(rolling, h, length)[some],
+                                  np.full(len(some), weight, np.int32), np.full(len(some), pending)))
             if weight == 2:
-                rows.append((bucket, doc_id, n, n, b"", None))
+                rows.append((bucket, doc_id, n, n, hashlib.sha256(b"").digest(), None))
             elif pending:
                 rows.append((bucket, doc_id, n, None, None, text))
             else:
                 rows.append((bucket, doc_id, n, 0, hashlib.sha256(_kept(words, None)).digest(), None))
-        rows = [(*r[:4], hashlib.sha256(b"").digest() if r[4] == b"" else r[4], r[5], None) for r in rows]
+        rows = [(*r, None, None, None) for r in rows]
         if found:
-            w = np.concatenate(found)
-            order = np.lexsort((w["h2"], w["h1"]))
-            w = w[order]
-            first = np.r_[True, (w["h1"][1:] != w["h1"][:-1]) | (w["h2"][1:] != w["h2"][:-1])]
-            total = np.add.reduceat(w["w"], np.flatnonzero(first))
-            w = w[first]
-            w["w"] = np.minimum(total, 2)
-            rows.append((bucket, None, None, None, None, None, w.tobytes()))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        cols = list(zip(*rows, strict=True)) or [()] * 7
+            h1, h2, weight, pending = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((h2, h1))
+            h1, h2, weight, pending = (x[order] for x in (h1, h2, weight, pending))
+            first = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+            inside = np.logical_or.reduceat(pending, first)
+            flags = np.where(np.add.reduceat(weight, first) == 1, LONE, np.where(inside, MANY, OUTSIDE)).astype(np.uint8)
+            rows.append((bucket, None, None, None, None, None, *(x.tobytes() for x in (h1[first], h2[first], flags))))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * 5
+        cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
                                     [x.split()[0] for x in MARKED.split(", ")])
     return run
 
 
+# Rows of the second shuffle: (h1, h2, who). who: the bucket of a LONE window, -1 of an
+# OUTSIDE one, -2 - bucket of one of MANY.
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            w = np.frombuffer(raw, _WINDOW)
+        for bucket, h1, h2, flags in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            flags = np.frombuffer(flags, np.uint8)
+            who = np.where(flags == LONE, bucket, np.where(flags == OUTSIDE, -1, -2 - bucket)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(w), bucket, np.int32)), pa.array(w["h1"].copy()), pa.array(w["h2"].copy()),
-                 pa.array(w["w"].copy())], ["bucket", "h1", "h2", "w"])
+                [pa.array(np.frombuffer(h1, "<i8")), pa.array(np.frombuffer(h2, "<i4")), pa.array(who)], ["h1", "h2", "who"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h1, h2, bucket, w) sorted by the first two -> (bucket, h1, h2) of windows that start twice or more."""
-    held = None
-    known = False
+    """Rows sorted by (h1, h2) -> (bucket, h1, h2) of windows that start twice or more."""
+    held, known = None, False
     for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         if not len(cols[0]):
             continue
         if held is not None and (held[0][0] != cols[0][0] or held[1][0] != cols[1][0]):
-            known = False
+            known = False  # a lone row is dropped; longer runs have been given out
         elif held is not None and not known:
             cols = [np.r_[a, b] for a, b in zip(held, cols, strict=True)]
-        h1, h2, bucket, w = cols
-        first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
-        starts = np.flatnonzero(first)
+        h1, h2, who = cols
+        starts = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
         size = np.diff(np.r_[starts, len(h1)])
-        several = np.add.reduceat(w, starts) > 1
+        several = (size > 1) | np.logical_or.reduceat(who < 0, starts)
         if known:
             several[0] = True
-        keep = np.repeat(several, size)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(h1[keep]), pa.array(h2[keep])], ["bucket", "h1", "h2"])
+        keep = np.repeat(several, size) & (who != -1)
+        bucket = np.where(who < 0, -2 - who, who)[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(h1[keep]), pa.array(h2[keep])], ["bucket", "h1", "h2"])
         held, known = [c[-1:] for c in cols], bool(several[-1])
 
 
@@ -270,7 +277,7 @@ def _finished(length: int):
             words = text.split()
             n = len(words)
             h = rolling.words(words)
-            w1, w2 = rolling.windows(h, length), rolling.windows(h, length, 1)
+            w1, w2 = rolling.windows(h, length), _second(rolling, h, length)
             hit = np.zeros(len(w1), bool)
             place = np.searchsorted(h1, w1)
             for step in range(most):
@@ -293,6 +300,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     if length < PERIOD:
         raise ValueError(f"windows need {PERIOD} words at least")
     spark = docs.sparkSession
+    marked = _mark(docs, length, id_col, text_col)
+    release_shuffles(spark)
+    windows = marked.filter("h1 is not null").select("bucket", "h1", "h2", "flags").mapInArrow(_windows, "h1 long, h2 int, who int")
+    repeated = windows.repartition(shuffle_partitions(spark), "h1", "h2").sortWithinPartitions("h1", "h2").mapInArrow(
+        _repeated, "bucket int, h1 long, h2 int")
+    pending = marked.filter("text is not null").select("bucket", "doc_id", "text")
+    later = pending.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInArrow(_finished(length), DONE)
+    return marked.filter("kept is not null").select("doc_id", "n_words", "n_removed", "kept").unionAll(later)
+
+
+def _mark(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
+    """Steps 1 and 2 up to the windows' hashes, written."""
+    spark = docs.sparkSession
     n_buckets = 8 * shuffle_partitions(spark)
     frame = pick(docs, doc_id=f"{id_col} long", text=f"{text_col} string").select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)).cast("int").alias("bucket"), "doc_id",
@@ -301,22 +321,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     by = F.when(F.col("who") <= -2, F.col("who").cast("long")).otherwise(F.col("h"))
     hits = anchors.repartition(shuffle_partitions(spark), by).sortWithinPartitions("h").mapInArrow(_hits, "bucket int, h long")
     # equal texts: the one with the smallest id stands for its group
-    texts = frame.select("bucket", "doc_id", F.unhex(F.md5("text")).alias("digest"))
+    texts = written(frame.select("bucket", "doc_id", F.unhex(F.md5("text")).alias("digest")), "digests")
     groups = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "bucket")).alias("least")) \
         .filter("n > 1 and digest is not null")
     copies = texts.groupBy("digest", "bucket").agg(F.min(F.struct("doc_id", "bucket")).alias("own")).join(groups, "digest").select(
         "bucket", F.lit(0).cast("long").alias("h"), "digest", "n", F.col("own").eqNullSafe(F.col("least")).alias("rep"))
     none = [F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("boolean").alias("rep")]
     known = hits.select("bucket", "h", *none).unionAll(copies)
-    marked = frame.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_marked(length), MARKED)
-    marked = written(marked, "marked")
-    windows = marked.filter("windows is not null").select("bucket", "windows").mapInArrow(
-        _windows, "bucket int, h1 long, h2 long, w int")
-    repeated = windows.select("h1", "h2", "bucket", "w").repartition(shuffle_partitions(spark), "h1", "h2") \
-        .sortWithinPartitions("h1", "h2").mapInArrow(_repeated, "bucket int, h1 long, h2 long")
-    pending = marked.filter("text is not null").select("bucket", "doc_id", "text")
-    later = pending.groupBy("bucket").cogroup(repeated.groupBy("bucket")).applyInArrow(_finished(length), DONE)
-    return marked.filter("kept is not null").select("doc_id", "n_words", "n_removed", "kept").unionAll(later)
+    return written(frame.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_marked(length), MARKED), "marked")
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
