@@ -80,19 +80,13 @@ def load_plan(pending: DataFrame, column_catalog: DataFrame, column_tags: DataFr
 
     Key names join the sensitive columns first and then reach the columns on
     their own keys: no hot NULL key. A sensitive column whose type has no
-    registry entry keeps NULL key names; the loads refuse such a plan
-    (:func:`unkeyed_columns`).
+    registry entry keeps NULL key names; the loads refuse such a plan.
     """
     cols = column_catalog.join(pending.select(*TABLE_KEYS), TABLE_KEYS, "left_semi")
     keyed = sensitive_columns(column_tags).join(unique_registry(key_registry), "tag_value", "left")
     return cols.join(keyed, COLUMN_KEYS, "left").select(*PLAN_COLUMNS)
 
 
-def unkeyed_columns(plan: DataFrame) -> DataFrame:
-    """Sensitive columns of the plan without a registered salt key."""
-    return plan.where(F.col("tag_value").isNotNull() & F.col("dsk_name").isNull()).select(*COLUMN_KEYS, "tag_value")
-
-
 def tables_to_load(plan: DataFrame) -> DataFrame:
     return plan.select(*TABLE_KEYS).distinct()
 

@@ -254,14 +254,15 @@ def _refuse(plan_df: DataFrame, source: str, target: str, schemas: list[str] | N
     """Validation of the whole plan: raises before anything is written. ``hashes``: the load adds them."""
     spark = plan_df.sparkSession
     problems = []
-    unkeyed = P.unkeyed_columns(plan_df).limit(20).collect() if hashes else []
-    if unkeyed:
+    no_key = F.col("dsk_name").isNull() if hashes else F.lit(False)
+    no_mask = ~F.col("tag_value").isin(*MASK_SQL)
+    odd = plan_df.where(F.col("tag_value").isNotNull() & (no_key | no_mask)).select(
+        *P.COLUMN_KEYS, "tag_value", no_key.alias("no_key"), no_mask.alias("no_mask")).limit(40).collect()
+    if unkeyed := [r for r in odd if r.no_key]:
         problems.append("no registered salt key for " + ", ".join(
             sorted(f"{r.schema_name}.{r.table_name}.{r.column_name} ({r.tag_value})" for r in unkeyed)))
-    unmasked = plan_df.where(F.col("tag_value").isNotNull() & ~F.col("tag_value").isin(*MASK_SQL)).select(
-        "tag_value").distinct().limit(20).collect()
-    if unmasked:
-        problems.append("no mask for sensitivity type " + ", ".join(sorted(r.tag_value for r in unmasked)))
+    if unmasked := {r.tag_value for r in odd if r.no_mask}:
+        problems.append("no mask for sensitivity type " + ", ".join(sorted(unmasked)))
     started = _loads(spark, source, target, "started")
     there = table_catalog(spark, [target], schemas).select("schema_name", "table_name")
     foreign = P.tables_to_load(plan_df).join(there, ["schema_name", "table_name"], "left_semi").join(

@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from veilspark import schemas as S
+from veilspark.sources.local import local_frame
 
 CORE = S.Layer.CORE.value
 
@@ -86,10 +87,10 @@ def ensure_core(spark: SparkSession, location: str | None = None) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{CORE}`{loc}")
     for name, schema in APPEND_TABLES.items():
         if not spark.catalog.tableExists(f"{CORE}.{name}"):
-            spark.createDataFrame([], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}")
+            local_frame(spark, [], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}")
     for name, schema in VERSIONED_TABLES.items():
         if not spark.catalog.tableExists(f"{CORE}.{name}"):
-            _point_view(spark, name, _write_version(spark.createDataFrame([], schema), name, 1))
+            _point_view(spark, name, _write_version(local_frame(spark, [], schema), name, 1))
     if not spark.catalog.tableExists(f"{CORE}.{TAGS}"):
         union = " UNION ALL ".join(f"SELECT * FROM {core_name(tags_of(x))}" for x in TAG_LAYERS)
         spark.sql(f"CREATE OR REPLACE VIEW {core_name(TAGS)} AS {union}")

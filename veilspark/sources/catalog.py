@@ -29,7 +29,8 @@ def snapshot(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType, n
              batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The rows as a parquet frame in the shared folder, written a batch at a time."""
     path, it = scratch_path(spark, name), iter(rows)
-    local_frame(spark, [], schema).write.parquet(path)
+    batch = list(islice(it, batch_rows))
+    local_frame(spark, batch, schema).write.parquet(path)  # there also without a row
     while batch := list(islice(it, batch_rows)):
         local_frame(spark, batch, schema).write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
