@@ -43,6 +43,7 @@ KAPPA = 20.0  # rows that a smoothing parent counts for
 MIN_POSTERIOR = 0.5
 TRUST = 0.8  # how far a country suffix settles the language
 MAX_BROADCAST = 100_000  # rejected row keys of 8 bytes
+MAX_HOSTS = 20_000  # rows of at most 65 counts
 # Country suffixes and their main language.
 SUFFIX_LANGUAGES = {
     "at": "de", "de": "de", "li": "de", "es": "es", "mx": "es", "ar": "es", "cl": "es", "co": "es", "pe": "es",
@@ -195,12 +196,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     declared_p = {m: np.log(c / by_text).tolist() for m, c in said.items()}
     hosts = sure.filter("host is not null").groupBy("host").agg(tally.alias("at_host"))
     suffixes = sure.filter("suffix is not null").groupBy("suffix").agg(tally.alias("at_suffix"))
+    hosts, suffixes = _small(hosts), _small(suffixes)
     joined = rows.join(hosts, "host", "left").join(suffixes, "suffix", "left").select(
         "id", "row_key", "n", "score", "declared", "suffix", "at_host", "at_suffix")
     return joined.mapInArrow(_fused(model.languages, declared_p, whole / whole.sum()),
                              "id long, row_key long, lang string, posterior double, keep boolean")
 
 
+def _small(counts: DataFrame) -> DataFrame:
+    """Counts by host or suffix: sent to all tasks if they are few, so that a large host is no hot key;
+    else joined by a shuffle, whose hot partitions adaptive execution splits."""
+    counts = written(counts, "host-counts")
+    return F.broadcast(counts) if counts.count() <= MAX_HOSTS else counts
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that ``identify`` keeps, unchanged."""
     rejected = written(identify(docs).filter("not keep").select("row_key").distinct(), "rejected")
