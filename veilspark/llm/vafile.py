@@ -7,7 +7,9 @@ cells spans the values found; a vector's approximation is one byte per component
    every vector. The k-th largest lower bound is a score that k vectors reach for sure.
 2. Vectors whose upper bound reaches it are candidates. Their exact vectors are joined
    in and read in falling order of the bound, until the k-th best exact score is above
-   the bounds of all that is left.
+   the bounds of all that is left. A query's candidates are dealt to several groups (by
+   hash, more of them for more blocks), each with its k best, so a query amid very many
+   near vectors isn't one task's work.
 
 The approximations are read in blocks of ``BLOCK`` vectors. Queries are taken in chunks
 of about ``CHUNK``, whose vectors are sent to all tasks (a bounded size); each chunk
@@ -176,18 +178,20 @@ def _score(a: np.ndarray, b: np.ndarray) -> int:
 
 
 FOUND = "query_id long, vec_id long, score long"
+MIN_PARTS, PART_BLOCKS = 8, 16
 
 
 def _verified(chunks: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
-    """Rows (query_id, d, vec_id, bound, q) by falling bound within a query."""
+    """Rows (query_id, d, vec_id, bound, q, part) by falling bound within a part of a query."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, best, done = None, [], False
         for batch in batches:
             out = []
             queries, ds, ids, bounds = (batch.column(i).to_pylist() for i in range(4))
-            for query, d, vec_id, bound, q in zip(queries, ds, ids, bounds, _rows(batch.column(4)), strict=True):
-                if (query, d) != now:
-                    now, best, done = (query, d), [], False
+            parts = batch.column(5).to_pylist()
+            for query, d, vec_id, bound, q, part in zip(queries, ds, ids, bounds, _rows(batch.column(4)), parts, strict=True):
+                if (query, d, part) != now:
+                    now, best, done = (query, d, part), [], False
                     own_ids, own_q = chunks[d]
                     own = own_q[np.searchsorted(own_ids, query)]
                 if done or len(best) == k and best[-1] > bound:
@@ -214,18 +218,19 @@ def search(table: DataFrame, is_query: Column, k: int = 10, scale: float = SCALE
                       .dropDuplicates(["vec_id", "q"]), "vectors")
     of = grids(vectors)
     blocks = written(vectors.mapInArrow(_approximated(of), "d int, ids binary, codes binary"), "approximations")
+    n_blocks = blocks.count()
     queries = vectors.filter(is_query)
     n_chunks = max(1, math.ceil(queries.count() / CHUNK))
     found = None
     for i in range(n_chunks):
         mine = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_chunks)) == i).toArrow()  # about CHUNK rows
-        part = _search_chunk(spark, vectors, blocks, of, mine, k)
+        part = _search_chunk(spark, vectors, blocks, n_blocks, of, mine, k)
         found = part if found is None else found.unionAll(part)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search_chunk(spark: SparkSession, vectors, blocks, of, mine: pa.Table, k: int) -> DataFrame:
+def _search_chunk(spark: SparkSession, vectors, blocks, n_blocks: int, of, mine: pa.Table, k: int) -> DataFrame:
     by: dict[int, dict] = {}
     for vec_id, q in zip(mine.column(0).to_pylist(), mine.column(1).to_pylist(), strict=True):
         by.setdefault(len(q), {})[vec_id] = q  # of two vectors of one id and length, one asks
@@ -239,9 +244,10 @@ def _search_chunk(spark: SparkSession, vectors, blocks, of, mine: pa.Table, k: i
         least[r["d"]][np.searchsorted(chunks[r["d"]].ids, r["query_id"])] = r["bound"]
     near = blocks.mapInArrow(_candidates(of, chunks, least), "query_id long, d int, vec_id long, bound double")
     joined = near.join(vectors, (near["vec_id"] == vectors["vec_id"]) & (near["d"] == F.size(vectors["q"]))).select(
-        "query_id", "d", near["vec_id"], "bound", "q")
-    ordered = joined.repartition(shuffle_partitions(spark), "query_id").sortWithinPartitions(
-        "query_id", "d", F.desc("bound"), "vec_id")
+        "query_id", "d", near["vec_id"], "bound", "q",
+        F.pmod(F.xxhash64(near["vec_id"]), F.lit(max(MIN_PARTS, n_blocks // PART_BLOCKS))).alias("part"))
+    ordered = joined.repartition(shuffle_partitions(spark), "query_id", "part").sortWithinPartitions(
+        "query_id", "d", "part", F.desc("bound"), "vec_id")
     return ordered.mapInArrow(_verified(exact, k), FOUND)
 
 
