@@ -2,8 +2,9 @@
 
 Every mask is a pure built-in expression (no Python in the row path), so
 Catalyst inlines it into the scan's whole-stage codegen. NULL in gives
-NULL out for all masks. Malformed values never raise and never leak the
-whole clear value:
+NULL out for all masks. Malformed values never raise. The rules are fixed
+values of the data model, and some show a short value whole: an address of
+ten characters or fewer, a name of one token, an email that starts with ``@``:
 
 * ``pan``      ``X`` * (len - 4) + last 4; four chars or fewer -> all ``X``
 * ``exp-date`` ``'20'`` + last 2
