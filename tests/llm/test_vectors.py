@@ -69,6 +69,34 @@ def test_links_match_brute_force(spark, block):
     assert got == brute_links(rows, 0.93)
 
 
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_tree_of_proportional_vectors_ends(kind, monkeypatch):
+    """Copies that differ by a factor or by one ulp have one unit vector; many of them have distance 0 to the last bit."""
+    rng, real = np.random.default_rng(5), C.Tree._net
+
+    def bounded(tree, *args):  # a build without end fails here
+        tree.calls = getattr(tree, "calls", 0) + 1
+        assert tree.calls <= 2 * len(tree.x)
+        return real(tree, *args)
+
+    monkeypatch.setattr(C.Tree, "_net", bounded)
+    base = rng.normal(size=(40, 64)).astype(kind)
+    x = np.concatenate([(base * kind(f)).astype(kind) for f in (1, 2, 3, 0.1, 7e-5, 1e6)] + [np.nextafter(base, kind(9))]).astype(float)
+    tree = C.Tree(x)
+    assert sorted(tree.centre[tree.last == 0].tolist()) == list(range(len(x)))
+    i, j = C.traverse(tree, tree, 0.93, True)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert sorted(zip(np.minimum(i, j), np.maximum(i, j), strict=True)) == sorted(zip(*np.nonzero(np.triu(unit @ unit.T >= 0.93, 1)), strict=True))
+
+
+def test_links_of_scaled_copies(spark):
+    rng = np.random.default_rng(6)
+    base = [[float(np.float32(a)) for a in v] for v in rng.normal(size=(20, 64))]
+    rows = [(100 * i + k, [f * a for a in v], 0) for i, v in enumerate(base) for k, f in enumerate((1, 2, 3, 0.5, 10))]
+    got = sorted((tuple(r) for r in C.link(table(spark, rows), 0.93).collect()), key=str)
+    assert got == brute_links(rows, 0.93)
+
+
 def test_no_vectors(spark):
     assert C.link(table(spark, [])).count() == 0
     assert [tuple(r) for r in C.link(table(spark, [(7, None, 1)])).collect()] == [(7, 0, 7, True)]

@@ -42,6 +42,7 @@ from veilspark.llm.vafile import finite
 THRESHOLD = 0.93
 BLOCK, MAX_CELLS, GROUP = 1024, 64, 8192
 EPS = 1e-6  # room for rounding in the bounds
+FLAT = 1e-7  # vectors as near as this can't be told apart by distances: a node's members are its children
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -92,7 +93,10 @@ class Tree:
         """Centres, the node's own first, each next the farthest from all before, until ``radius`` covers all."""
         u = self.unit[own]
         d = _distance(u, self.unit[centre:centre + 1])[:, 0]
-        d[own == centre] = 0
+        d[own == centre] = -1  # never the farthest, also where proportional vectors are all at distance 0
+        if d.max() <= FLAT:
+            yield from ((int(c), 0.0, own[i:i + 1]) for i, c in enumerate(own))
+            return
         nearest, centres = np.zeros(len(own), int), [centre]
         while (far := int(d.argmax())) is not None and (d[far] > radius or len(centres) < 2):
             new = _distance(u, u[far:far + 1])[:, 0]
