@@ -61,6 +61,33 @@ def test_round_trip(spark, spec, tokenizer, capacity):
     assert len(by) <= 1.05 * total / capacity + 1
 
 
+def test_special_tokens_as_the_library_has_them(spark, spec):
+    """The reference is the tokenizer with its defaults."""
+    plain = Tokenizer.from_str(spec)
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>\n\n y<|endoftext|><|endoftext|>", "<|endof<|endoftext|>text|>", "  <|endoftext|>  ", "no token <|endoftext"]
+    table = P.TokenTable(spec, encode_special_tokens=False)
+    for t in texts:
+        assert np.frombuffer(table.ids(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    got = {r["doc_id"]: r["ids_crc32"] for r in P.pack(frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), spec).collect()}
+    assert got == {i: zlib.crc32(np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes()) for i, t in enumerate(texts)}
+
+
+def test_added_tokens_of_other_kinds(spec):
+    """Overlapping ones, one that is not special, and one that takes the space before it."""
+    from tokenizers import AddedToken
+
+    for more in ([AddedToken("<a>", special=True, normalized=False), AddedToken("<a><b>", normalized=False)], [AddedToken("<m>", lstrip=True, special=True)]):
+        for flag in (False, True):
+            t = Tokenizer.from_str(spec)
+            t.add_tokens(more)
+            own = t.to_str()
+            t = Tokenizer.from_str(own)
+            t.encode_special_tokens = flag
+            table = P.TokenTable(own, flag)
+            for text in ("x <a><b> <a> y<|endoftext|>", "word  <m> <m>z", "plain words\n"):
+                assert np.frombuffer(table.ids(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_empty(spark, spec):
     assert P.pack(empty(spark), spec).count() == 0
 

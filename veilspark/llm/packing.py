@@ -20,6 +20,9 @@ The tokenizer works on chunks that end before white space (there no token of a
 byte-level BPE that splits at white space can cross); their ids are kept per worker
 in two generations of ``MAX_CHUNKS`` entries, the older of which is dropped in time.
 
+The ids are those of the library's defaults: added tokens, special ones too, are
+split off before the words (``encode_special_tokens`` takes special ones as plain text).
+
 Null text counts as empty: one piece with id 0 only. Repeated rows and null ids are
 documents of their own. No documents: no pieces.
 """
@@ -65,14 +68,20 @@ def byte_signs() -> list[str]:
 
 
 class TokenTable:
-    """Ids of a text as little-endian unsigned 32-bit integers."""
+    """Ids of a text as little-endian unsigned 32-bit integers. ``encode_special_tokens``: special tokens in it are plain text."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, encode_special_tokens: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        added = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items() if not (t.special and encode_special_tokens)]
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added}
+        # the library takes the longest of those that begin leftmost
+        self.split = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")") if added else None
+        # tokens that also depend on what stands around them are left to the library, with the whole text
+        self.whole = any(t.single_word or t.lstrip or t.rstrip or (t.normalized and self.tokenizer.normalizer) for _, t in added)
         self.signs = byte_signs()
         # Each with a younger and an older generation: what is asked for again stays.
         self.spaced = [{}, {}]  # by what follows a space; from a line feed on: by itself
@@ -119,18 +128,25 @@ class TokenTable:
             return b"".join([young[w] for w in words])
 
     def ids(self, text: str) -> bytes:
+        if self.whole:
+            return self._encode([text])[0]
+        if self.split and self.split.search(text):
+            return b"".join([self.added.get(x) or self._ids(x) for x in self.split.split(text) if x])
+        return self._ids(text)
+
+    def _ids(self, text: str) -> bytes:
         if _ODD.search(text):
             return self._join(self.plain, _CHUNK.split(text), False)
         head, *words = text.replace("\n", " \n").split(" ")
         return self._join(self.plain, [head], False) + self._join(self.spaced, words, True)
 
 
-def token_table(spec: str) -> TokenTable:
-    """One for each worker and tokenizer."""
+def token_table(spec: str, encode_special_tokens: bool = False) -> TokenTable:
+    """One for each worker, tokenizer and way with special tokens."""
     held = sys.modules.setdefault("_veilspark_tokens", types.ModuleType("_veilspark_tokens"))
-    key = f"t{zlib.crc32(spec.encode())}"
+    key = f"t{zlib.crc32(spec.encode())}_{encode_special_tokens}"
     if not hasattr(held, key):
-        setattr(held, key, TokenTable(spec))
+        setattr(held, key, TokenTable(spec, encode_special_tokens))
     return getattr(held, key)
 
 
@@ -143,9 +159,9 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 PIECES = "task int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(spec: str, capacity: int):
+def _pieces(spec: str, capacity: int, encode_special_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, task, seen = token_table(spec), TaskContext.get().partitionId(), Counter()
+        table, task, seen = token_table(spec, encode_special_tokens), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -264,10 +280,12 @@ def _assign(find):
     return run
 
 
-def pack(docs: DataFrame, spec: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``spec``: a tokenizers JSON text."""
+def pack(docs: DataFrame, spec: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
+         encode_special_tokens: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``spec``: a tokenizers JSON text;
+    ``encode_special_tokens``: special tokens that stand in a text are plain text."""
     frame = pick(docs, doc_id=f"{id_col} long", text=f"{text_col} string")
-    pieces = written(frame.mapInArrow(_pieces(spec, capacity), PIECES), "pieces")
+    pieces = written(frame.mapInArrow(_pieces(spec, capacity, encode_special_tokens), PIECES), "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     counts = written(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "piece-counts")
