@@ -69,3 +69,13 @@ def test_nothing_declared_and_empty(spark):
     assert {(r["lang"], r["keep"]) for r in got} == {("und", False)}
     assert L.identify(empty(spark)).count() == 0
     assert L.keep_identified(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("n", [400, 401, 10**8, 10**10, 10**13])
+def test_training_share_of_any_size(spark, n):
+    """The expected number of training rows is the bound, and places are even down to the smallest shares."""
+    assert L.train_below(400, n) / (1 << 62) * n == pytest.approx(400, rel=1e-6)
+    rows = spark.range(4096).select(L._place("id").alias("p"))
+    low, high, under = rows.selectExpr("min(p)", "max(p)", f"count_if(p < {1 << 59})").first()
+    assert 0 <= low < high < 1 << 62 and high > 1 << 61
+    assert abs(under - 512) < 100

@@ -94,6 +94,16 @@ class TextModel:
         return len(c), [*(total / len(c)).tolist(), uniform]
 
 
+def train_below(train_rows: int, n: int) -> int:
+    """The ``_place`` that ``train_rows`` of n rows lie below on average; all lie below for n of no more."""
+    return (1 << 62) if n <= train_rows else (train_rows << 62) // n
+
+
+def _place(key: str) -> Column:
+    """62 bits of a row's hash: fine enough that any n leaves training rows."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(5), key), 2)
+
+
 def fit_text(frame: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
     """``frame``: (text, declared, row_key). At most MAX_LANGUAGES languages, the most often declared."""
     declared = (frame.filter("declared is not null and declared <> 'und' and declared <> ''").groupBy("declared")
@@ -103,9 +113,7 @@ def fit_text(frame: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
         return TextModel([], np.zeros((CELLS, 0)))
     chosen = F.lit(False)
     for r in declared:
-        share = min(1.0, train_rows / r["n"])
-        chosen = chosen | ((F.col("declared") == r["declared"]) &
-                           (F.pmod(F.xxhash64(F.lit(5), "row_key"), F.lit(1 << 20)) < int(share * (1 << 20))))
+        chosen = chosen | ((F.col("declared") == r["declared"]) & (_place("row_key") < train_below(train_rows, r["n"])))
     counts = frame.filter(chosen).select("declared", "text").mapInArrow(_counted, "lang string, cell int, n long")
     n = np.zeros((CELLS, len(languages)))
     for r in counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows a language
