@@ -79,3 +79,14 @@ def test_training_share_of_any_size(spark, n):
     low, high, under = rows.selectExpr("min(p)", "max(p)", f"count_if(p < {1 << 59})").first()
     assert 0 <= low < high < 1 << 62 and high > 1 << 61
     assert abs(under - 512) < 100
+
+
+def test_more_languages_than_a_few(spark):
+    """150 languages of their own sounds; the rarest are found as well as the others."""
+    rnd, letters = random.Random(7), "abcdefghijklmnopqrstuvwxyz"
+    codes = [a + b for a in letters for b in letters if a + b not in ("un",)][:150]
+    sounds = {c: ["".join(rnd.choice(letters) for _ in range(3)) for _ in range(6)] for c in codes}
+    text = lambda c: " ".join("".join(rnd.choice(sounds[c]) for _ in range(2)) for _ in range(40))
+    rows = [(1000 * i + j, text(c), c, None) for i, c in enumerate(codes) for j in range(2 if i >= 64 else 4)]
+    got = {r["id"]: (r["lang"], r["keep"]) for r in L.identify(frame(spark, rows)).collect()}
+    assert got == {i: (c, True) for i, _, c, _ in rows}

@@ -14,8 +14,10 @@ Evidence for each language of the fitted model, and for "und" (none of them):
 The language is the one with the largest posterior. A document is kept if that
 language is not "und" and has a posterior of at least ``MIN_POSTERIOR``.
 
-The text model is fitted on at most about ``TRAIN_ROWS`` declared rows of each
-language (those with the smallest hashes), whole texts; everything else covers all rows.
+Every declared language is fitted; the model grows with their number, by ``CELLS`` values
+each (64 MB for 500), and so does a row's list of scores. The text model is fitted on at most
+about ``TRAIN_ROWS`` declared rows of each language (those with the smallest hashes), whole
+texts; everything else covers all rows.
 
 Null, empty or letterless text: lang "und", posterior 1, not kept. Letters without a
 trigram of two are no text evidence; the rest decides. A null or unknown
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,19 +40,19 @@ from veilspark.llm.common import ROW, packed, pick, read, unpacked, written
 UND = "und"
 CELLS = 1 << 14
 TRAIN_ROWS = 400  # a language
-MAX_LANGUAGES = 64
 WEIGHT = 2.0
 KAPPA = 20.0  # rows that a smoothing parent counts for
 MIN_POSTERIOR = 0.5
 TRUST = 0.8  # how far a country suffix settles the language
 MAX_BROADCAST = 100_000  # rejected row keys of 8 bytes
-MAX_HOSTS = 20_000  # rows of at most 65 counts
+MAX_COUNTS = 400_000  # of hosts or suffixes, one for each language found there
 # Country suffixes and their main language.
 SUFFIX_LANGUAGES = {
     "at": "de", "de": "de", "li": "de", "es": "es", "mx": "es", "ar": "es", "cl": "es", "co": "es", "pe": "es",
     "fr": "fr", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh",
     "kr": "ko", "se": "sv", "uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en",
 }
+DECLARED = "declared is not null and declared <> 'und' and declared <> ''"
 # Bytes that are no letters become spaces; letters beyond ASCII keep their UTF-8 bytes.
 _LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
@@ -72,10 +75,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(langs, batch.column(1).to_pylist(), strict=True):
             found.setdefault(lang, np.zeros(CELLS, np.int64))
             found[lang] += np.bincount(cells(text), minlength=CELLS)
-        out = [(lang, int(c), int(n[c])) for lang, n in found.items() for c in np.flatnonzero(n)]
-        yield pa.RecordBatch.from_pydict({"lang": pa.array([x[0] for x in out], pa.string()),
-                                          "cell": pa.array([x[1] for x in out], pa.int32()),
-                                          "n": pa.array([x[2] for x in out], pa.int64())})
+        for lang, n in found.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
+                                              "cell": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
 
 class TextModel:
@@ -105,19 +108,19 @@ def _place(key: str) -> Column:
 
 
 def fit_text(frame: DataFrame, train_rows: int = TRAIN_ROWS) -> TextModel:
-    """``frame``: (text, declared, row_key). At most MAX_LANGUAGES languages, the most often declared."""
-    declared = (frame.filter("declared is not null and declared <> 'und' and declared <> ''").groupBy("declared")
-                .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "declared").limit(MAX_LANGUAGES).collect())
+    """``frame``: (text, declared, row_key). Fits every declared language."""
+    declared = frame.filter(DECLARED).groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a language
     languages = sorted(r["declared"] for r in declared)
     if not languages:
         return TextModel([], np.zeros((CELLS, 0)))
-    chosen = F.lit(False)
-    for r in declared:
-        chosen = chosen | ((F.col("declared") == r["declared"]) & (_place("row_key") < train_below(train_rows, r["n"])))
-    counts = frame.filter(chosen).select("declared", "text").mapInArrow(_counted, "lang string, cell int, n long")
+    below = frame.sparkSession.createDataFrame([(r["declared"], train_below(train_rows, r["n"])) for r in declared],
+                                               "declared string, below long")
+    chosen = frame.join(F.broadcast(below), "declared").filter(_place("row_key") < F.col("below"))
+    counts = chosen.select("declared", "text").mapInArrow(_counted, "lang string, cell int, n long")
+    counts = counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()  # CELLS rows a language
     n = np.zeros((CELLS, len(languages)))
-    for r in counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect():  # CELLS rows a language
-        n[r["cell"], languages.index(r["lang"])] = r["n"]
+    n[counts.column("cell").to_numpy(), pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()] = \
+        counts.column("n").to_numpy()
     return TextModel(languages, np.log((n + 0.5) / (n.sum(0) + 0.5 * CELLS)))
 
 
@@ -134,9 +137,12 @@ def _scored(model: TextModel):
     return run
 
 
-def _fused(languages: list[str], declared_p: dict[str, list[float]], whole: np.ndarray):
-    """Posterior from (n, score, declared, suffix, host counts, suffix counts)."""
+def _fused(languages: list[str], said: dict[str, dict[int, int]], by_text: np.ndarray, whole: np.ndarray):
+    """Posterior from (n, score, declared, suffix, host counts, suffix counts). ``said``: rows by declared language
+    and language by text; each pair counts once more."""
     k = len(languages) + 1
+    place = {x: i for i, x in enumerate(languages)}
+    texts = np.log(by_text)
     names = [*languages, UND]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,15 +158,19 @@ def _fused(languages: list[str], declared_p: dict[str, list[float]], whole: np.n
                 prior = whole
                 for counts in (at_suffix, at_host):  # each level is smoothed towards the one above
                     if counts:
-                        c = np.asarray(counts, float)
+                        c = np.zeros(k)
+                        for x in counts:
+                            c[x["best"]] = x["n"]
                         prior = (c + KAPPA * prior) / (c.sum() + KAPPA)
                 log = np.log(prior) + WEIGHT * np.sqrt(n) * np.asarray(score)
-                if declared in declared_p:
-                    log = log + declared_p[declared]
+                if declared in place:
+                    log = log - texts
+                    for i, rows in said.get(declared, {}).items():
+                        log[i] += np.log1p(rows)
                 at = SUFFIX_LANGUAGES.get(suffix)
-                if at in languages:
+                if at in place:
                     e = np.full(k, (1 - TRUST) / k)
-                    e[languages.index(at)] += TRUST
+                    e[place[at]] += TRUST
                     log = log + np.log(e)
                 p = np.exp(log - log.max())
                 p /= p.sum()
@@ -194,20 +204,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
         "language-scores").withColumn("suffix", suffix_of(F.col("host")))
     k = len(model.languages) + 1
     sure = rows.filter("n > 0")
-    tally = F.array(*[F.count(F.when(F.col("best") == i, 1)).cast("double") for i in range(k)])
-    whole = np.array(sure.agg(tally.alias("t")).first()["t"]) + 1.0
-    said = {m: np.ones(k) for m in model.languages}
-    for r in sure.filter(F.col("declared").isin(model.languages)).groupBy("declared", "best").agg(
-            F.count(F.lit(1)).alias("n")).collect():  # languages squared
-        said[r["declared"]][r["best"]] += r["n"]
-    by_text = sum(said.values()) if said else np.ones(k)
-    declared_p = {m: np.log(c / by_text).tolist() for m, c in said.items()}
-    hosts = sure.filter("host is not null").groupBy("host").agg(tally.alias("at_host"))
-    suffixes = sure.filter("suffix is not null").groupBy("suffix").agg(tally.alias("at_suffix"))
-    hosts, suffixes = _small(hosts), _small(suffixes)
+    tally = F.count(F.lit(1)).alias("n")
+    whole = np.ones(k)
+    for r in sure.groupBy("best").agg(tally).collect():
+        whole[r["best"]] += r["n"]
+    said, by_text = {}, np.full(k, max(1.0, len(model.languages)))
+    for r in sure.filter(DECLARED).groupBy("declared", "best").agg(tally).collect():  # pairs of languages that occur
+        said.setdefault(r["declared"], {})[r["best"]] = r["n"]
+        by_text[r["best"]] += r["n"]
+    counted = lambda by: _small(sure.filter(f"{by} is not null").groupBy(by, "best").agg(tally).groupBy(by).agg(
+        F.collect_list(F.struct("best", "n")).alias(f"at_{by}")))  # a count for each language at most
+    hosts, suffixes = counted("host"), counted("suffix")
     joined = rows.join(hosts, "host", "left").join(suffixes, "suffix", "left").select(
         "id", "row_key", "n", "score", "declared", "suffix", "at_host", "at_suffix")
-    return joined.mapInArrow(_fused(model.languages, declared_p, whole / whole.sum()),
+    return joined.mapInArrow(_fused(model.languages, said, by_text, whole / whole.sum()),
                              "id long, row_key long, lang string, posterior double, keep boolean")
 
 
@@ -215,7 +225,8 @@ def _small(counts: DataFrame) -> DataFrame:
     """Counts by host or suffix: sent to all tasks if they are few, so that a large host is no hot key;
     else joined by a shuffle, whose hot partitions adaptive execution splits."""
     counts = written(counts, "host-counts")
-    return F.broadcast(counts) if counts.count() <= MAX_HOSTS else counts
+    n = counts.agg(F.sum(F.size(counts.columns[1]))).first()[0]
+    return F.broadcast(counts) if (n or 0) <= MAX_COUNTS else counts
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
