@@ -1,3 +1,4 @@
+import math
 import random
 
 from veilspark.llm import urls as U
@@ -51,3 +52,40 @@ def test_held_out_accuracy(spark):
 def test_no_labels_and_empty(spark):
     assert {r["verdict"] for r in U.judge(pages(spark, ["http://a.net/x", None, "http://a.org/"])).collect()} == {"allow"}
     assert U.judge(pages(spark, [])).count() == 0
+
+
+def test_scores_are_those_of_exact_counts(spark):
+    """Random URLs hold far more different contexts than fit any small table; every score is that of exact counts."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(50))
+    urls = [f"http://{word()}.{'org' if i % 2 else 'com/de'}/{word()}" for i in range(1500)] + [f"http://{word()}.net/{word()}" for _ in range(50)] + ["", None]
+    table = pages(spark, urls)
+    held = {r["page_id"] for r in table.filter("pmod(xxhash64(url), 5) = 0").collect()}
+    got = {r["page_id"]: r for r in U.judge(table).collect()}
+    counts = {"allow": {}, "block": {}}
+
+    def steps(url):
+        b = b"\0" * U.ORDER + url.encode()
+        return [[b[i - k:i + 1] for k in range(U.ORDER + 1)] for i in range(U.ORDER, len(b))]
+
+    for i, url in enumerate(urls):
+        rule = brute(url)[2]
+        if rule and i not in held:
+            for key in (x for step in steps(url) for x in step):
+                for y in ((0, key), (1, key[:-1])):
+                    counts[rule.verdict][y] = counts[rule.verdict].get(y, 0) + 1
+    assert sum(which for which, _ in counts["allow"]) > 1 << 15
+    for i, url in list(enumerate(urls))[::25] + [(len(urls) - 2, ""), (len(urls) - 1, "")]:
+        total = 0.0
+        for step in steps(url):
+            p = {"allow": 1 / 256, "block": 1 / 256}
+            for key in step:
+                p = {v: (c.get((0, key), 0) + U.PULL * p[v]) / (c.get((1, key[:-1]), 0) + U.PULL) for v, c in counts.items()}
+            total += math.log(p["allow"] / p["block"])
+        assert abs(got[i]["score"] - total / max(1, len(url))) < 1e-9, url
+
+
+def test_chunks_do_not_change_scores(spark):
+    urls = [f"http://a{i % 37}.org/n{i}" for i in range(200)] + [f"http://b{i % 11}.com/de/{i}" for i in range(200)] + [f"http://a{i}.net/" for i in range(20)] + EDGES
+    rows = [sorted(tuple(r) for r in U.judge(pages(spark, urls), chunk=n).select("page_id", "verdict", "score").collect()) for n in (300, U.CHUNK)]
+    assert rows[0] == rows[1] and len(rows[0]) == len(urls)

@@ -9,9 +9,10 @@ the log likelihoods over the number of bytes. It is calibrated on URLs held out
 fit (a fifth, by hash): the threshold is where allowed and blocked ones are best
 told apart (mean of both rates); below it a URL is blocked.
 
-Counts come from all URLs that rules decide; they are hashed into ``CELLS``
-cells per order and class, so the model has one fixed size and can be sent to every
-task. Without URLs of both classes there is no model, and all is allowed.
+Counts come from all URLs that rules decide outside that fifth. They are exact, one row for each
+context and byte in a table that grows with the pages. The different n-grams of
+each chunk of URLs are joined to it, and a chunk's URLs sum what theirs have.
+Without URLs of both classes there is no model, and all is allowed.
 
 Null URLs and those without ``://`` have empty host and path; empty URLs are allowed.
 Every input row gives one row.
@@ -24,12 +25,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import ascii_lower, pick, read
+from veilspark.llm.common import ascii_lower, pick, read, written
 
-ORDER, CELLS, PULL = 4, 1 << 15, 4.0
+ORDER, PULL = 4, 4.0
+CHUNK = 1 << 17  # bytes
 FOLDS = 5
 BINS, RANGE = 2000, 5.0  # of held-out scores
 
@@ -69,82 +72,116 @@ def apply_rules(host: Column, path: Column, rules=RULES) -> tuple[Column, Column
 
 # --- the language models --------------------------------------------------
 
-def _places(url: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """For each order 0..ORDER and byte: the cells of the context and of context and byte."""
-    b = np.frombuffer(b"\0" * ORDER + (url or "").lower().encode("utf-8", "replace"), np.uint8).astype(np.uint64)
-    n = len(b) - ORDER
-    context, joint = np.zeros((ORDER + 1, n), np.int64), np.zeros((ORDER + 1, n), np.int64)
-    h = np.zeros(n, np.uint64)
-    for order in range(ORDER + 1):
-        if order:
-            h = (h + b[ORDER - order:ORDER - order + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        for out, x in ((context, h), (joint, (h ^ (b[ORDER:] + np.uint64(257))) * np.uint64(0xC2B2AE3D27D4EB4F))):
-            out[order] = ((x ^ (x >> np.uint64(31))) >> np.uint64(13)).astype(np.int64) & (CELLS - 1)
-    return context, joint
-
-
-class UrlModel:
-    """counts: 2 (context, joint) x 2 (allow, block) x orders x cells."""
-
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts
-
-    def score(self, url: str | None) -> float:
-        """Log likelihood as allowed less that as blocked, per byte."""
-        context, joint = _places(url)
-        n = context.shape[1]
-        if not n:
-            return 0.0
-        total = []
-        for kind in (0, 1):
-            p = np.full(n, 1 / 256)
-            for order in range(ORDER + 1):
-                p = (self.counts[1, kind, order, joint[order]] + PULL * p) / (self.counts[0, kind, order, context[order]] + PULL)
-            total.append(float(np.log(p).sum()))
-        return (total[0] - total[1]) / n
+def _grams(urls: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of every URL: the byte and the ORDER before it as one number; and the URLs' lengths."""
+    texts = [(u or "").lower().encode("utf-8", "replace") for u in urls]
+    out = [np.zeros(0, np.int64)]
+    for text in texts:
+        b = np.frombuffer(b"\0" * ORDER + text, np.uint8).astype(np.int64)
+        g = np.zeros(len(text), np.int64)
+        for i in range(ORDER + 1):
+            g = g << 8 | b[i:i + len(text)]
+        out.append(g)
+    return np.concatenate(out), np.array([len(x) for x in texts], np.int64)
+
+
+def _numbered(least: int):
+    """Adds a chunk: URLs of about ``least`` bytes in all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            chunks = []
+            for url in batch.column("url").to_pylist():
+                chunks.append(first + size // least)
+                size += 16 + len(url or "")
+            yield batch.append_column("chunk", pa.array(chunks, pa.int64()))
+    return run
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(url, verdict) -> (cell, n), the cell over all tables."""
-    counts = np.zeros((2, 2, ORDER + 1, CELLS), np.int64)
     for batch in batches:
-        for url, verdict in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            kind = int(verdict == "block")
-            for which, cells in enumerate(_places(url)):
-                for order in range(ORDER + 1):
-                    np.add.at(counts[which, kind, order], cells[order], 1)
-    flat = counts.ravel()
-    yield pa.RecordBatch.from_pydict({"cell": pa.array(np.flatnonzero(flat).astype(np.int32)), "n": pa.array(flat[flat > 0])})
-
-
-def fit(labelled: DataFrame) -> UrlModel | None:
-    """``labelled``: (url, verdict). None without URLs of both classes."""
-    counts = labelled.select("url", "verdict").mapInArrow(_counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(2 * 2 * (ORDER + 1) * CELLS, np.float32)  # at most this many rows come to the driver
-    table[counts.column("cell").to_numpy()] = counts.column("n").to_numpy()
-    table = table.reshape(2, 2, ORDER + 1, CELLS)
-    return UrlModel(table) if table[0, 0].any() and table[0, 1].any() else None
-
-
-def _bin(score: float) -> int:
-    return int(np.clip((score + RANGE) / (2 * RANGE) * BINS, 0, BINS - 1))
-
-
-def _binned(model: UrlModel):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(v, _bin(model.score(u))) for u, v in
-                     zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"verdict": pa.array([v for v, _ in found], pa.string()),
-                                              "bin": pa.array([b for _, b in found], pa.int32())})
-    return run
+        verdicts = np.array([v == "block" for v in batch.column("verdict").to_pylist()], bool)
+        grams, lengths = _grams(batch.column("url").to_pylist())
+        found, at = np.unique(grams, return_inverse=True)
+        blocked = np.bincount(at[np.repeat(verdicts, lengths)], minlength=len(found))
+        yield pa.RecordBatch.from_pydict({"gram": pa.array(found, pa.int64()),
+                                          "allow": pa.array(np.bincount(at, minlength=len(found)) - blocked, pa.int64()),
+                                          "block": pa.array(blocked, pa.int64())})
 
 
-def calibrate(model: UrlModel, held_out: DataFrame) -> float:
+def _of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        chunks = batch.column("chunk").to_numpy()
+        for chunk in np.unique(chunks):
+            found = np.unique(_grams(batch.filter(pa.array(chunks == chunk)).column("url").to_pylist())[0])
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(np.full(len(found), chunk), pa.int64()), "gram": pa.array(found, pa.int64())})
+
+
+def _last(key: str, n: int) -> Column:
+    """The last n bytes of a number's."""
+    return F.col(key).bitwiseAND(F.lit((1 << 8 * n) - 1).cast("long"))
+
+
+def fit(labelled: DataFrame) -> DataFrame | None:
+    """``labelled``: (url, verdict). Exact counts (kind, key, allow, block): kind 2k is k bytes of context and a
+    byte, kind 2k + 1 the context alone. None without URLs of both classes."""
+    both = [F.sum("allow").alias("allow"), F.sum("block").alias("block")]
+    grams = written(labelled.select("url", "verdict").mapInArrow(_counted, "gram long, allow long, block long")
+                    .groupBy("gram").agg(*both), "url-grams")
+    if not all(grams.agg(*both).first()):
+        return None
+    context = F.shiftright("gram", 8).alias("context")
+    keys = []
+    for k in range(ORDER + 1):
+        keys += [F.struct(F.lit(2 * k).alias("kind"), _last("gram", k + 1).alias("key")),
+                 F.struct(F.lit(2 * k + 1).alias("kind"), _last("context", k).alias("key"))]
+    return written(grams.select("gram", context, "allow", "block").select(F.explode(F.array(*keys)).alias("x"), "allow", "block")
+                   .groupBy("x.kind", "x.key").agg(*both), "url-contexts")
+
+
+def ratios(model: DataFrame, grams: DataFrame) -> DataFrame:
+    """(gram, ratio): log likelihood as allowed less that as blocked. From order to order, a key meets its
+    count, its context's and the next shorter order's result, each shared by 256 keys at most."""
+    shorter = None
+    for k in range(ORDER + 1):
+        level = grams.select(_last("gram", k + 1).alias("key")).distinct()
+        level = level.join(model.filter(F.col("kind") == 2 * k).select("key", "allow", "block"), "key", "left")
+        level = level.withColumn("context", F.shiftright("key", 8)).join(
+            model.filter(F.col("kind") == 2 * k + 1).selectExpr("key context", "allow c_allow", "block c_block"), "context", "left")
+        level = level.withColumn("tail", _last("key", k)).join(shorter, "tail") if k else level.withColumns(
+            {"s_allow": F.lit(1 / 256), "s_block": F.lit(1 / 256)})
+        p = {x: (F.coalesce(x, F.lit(0)) + PULL * F.col(f"s_{x}")) / (F.coalesce(f"c_{x}", F.lit(0)) + PULL) for x in ("allow", "block")}
+        level = level.select("key", *(v.alias(f"p_{x}") for x, v in p.items()))
+        shorter = level.selectExpr("key tail", "p_allow s_allow", "p_block s_block")
+    return level.select(F.col("key").alias("gram"), (F.log("p_allow") - F.log("p_block")).alias("ratio"))
+
+
+NUMBERED = "page_id long, url string, host string, path string, rule string, verdict string, held boolean, chunk long"
+
+
+def _score(key, rows, grams):  # no hints: Spark takes them for another kind of function
+    """Mean ratio of each URL's bytes; 0 for empty URLs."""
+    known, ratio = (grams.column(x).to_numpy() for x in ("gram", "ratio"))
+    order = np.argsort(known)
+    found, lengths = _grams(rows.column("url").to_pylist())
+    values = ratio[order][np.searchsorted(known[order], found)] if len(found) else np.zeros(0)
+    total = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=values, minlength=len(lengths))
+    return rows.append_column("score", pa.array(total / np.maximum(lengths, 1), pa.float64()))
+
+
+def score(model: DataFrame, urls: DataFrame) -> DataFrame:
+    """``urls`` (NUMBERED) and their scores. What meets the model is a chunk's different n-grams, one row each."""
+    grams = written(urls.select("chunk", "url").mapInArrow(_of_chunks, "chunk long, gram long").distinct(), "chunk-grams")
+    wanted = written(grams.select("gram").distinct(), "grams")
+    known = grams.join(written(ratios(model, wanted), "gram-ratios"), "gram").select("chunk", "gram", "ratio")
+    return written(urls.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_score, f"{NUMBERED}, score double"), "url-scores")
+
+
+def calibrate(held_out: DataFrame) -> float:
     """The score that best parts held-out allowed and blocked URLs; 0 if one kind is missing."""
     bins = np.zeros((2, BINS))
-    for r in held_out.select("url", "verdict").mapInArrow(_binned(model), "verdict string, bin int").groupBy(
-            "verdict", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
+    at = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("score") + RANGE) / (2 * RANGE) * BINS)))
+    for r in held_out.groupBy("verdict", at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect():
         bins[int(r["verdict"] == "block"), r["bin"]] = r["n"]
     if not bins.sum(1).all():
         return 0.0
@@ -156,35 +193,22 @@ def calibrate(model: UrlModel, held_out: DataFrame) -> float:
     return float(best[len(best) // 2] / BINS * 2 * RANGE - RANGE)
 
 
-RESULT = "page_id long, host string, path string, rule string, verdict string, score double"
-
-
-def _judged(model: UrlModel | None, least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            verdicts, scores = [], []
-            for url, verdict in zip(batch.column("url").to_pylist(), batch.column("verdict").to_pylist(), strict=True):
-                score = model.score(url) if model else None
-                scores.append(score)
-                verdicts.append(verdict or ("block" if model and url and score < least else "allow"))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("page_id", "host", "path", "rule")), pa.array(verdicts, pa.string()),
-                 pa.array(scores, pa.float64())], [x.split()[0] for x in RESULT.split(", ")])
-    return run
-
-
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", chunk: int = CHUNK) -> DataFrame:
     """page_id, host, path, rule, verdict, score."""
     frame = pick(pages, page_id=f"{id_col} long", url=f"{url_col} string")
     host, path = split_url(F.col("url"))
     frame = frame.withColumns({"host": host, "path": path})
     rule, verdict = apply_rules(F.col("host"), F.col("path"), rules)
-    frame = frame.withColumns({"rule": rule, "verdict": verdict})
-    labelled = frame.filter("verdict is not null")
-    fold = F.pmod(F.xxhash64("url"), F.lit(FOLDS))
-    model = fit(labelled.filter(fold != 0))
-    least = calibrate(model, labelled.filter(fold == 0)) if model else 0.0
-    return frame.mapInArrow(_judged(model, least), RESULT)
+    frame = frame.withColumns({"rule": rule, "verdict": verdict}).withColumn("held", F.pmod(F.xxhash64("url"), F.lit(FOLDS)) == 0)
+    urls = written(frame.mapInArrow(_numbered(chunk), NUMBERED), "urls")
+    model = fit(urls.filter("verdict is not null and not held"))
+    if model is None:
+        scored, low = urls.withColumn("score", F.lit(None).cast("double")), F.lit(False)
+    else:
+        scored = score(model, urls)
+        low = F.coalesce((F.col("url") != "") & (F.col("score") < calibrate(scored.filter("verdict is not null and held"))), F.lit(False))
+    return scored.select("page_id", "host", "path", "rule",
+                         F.coalesce("verdict", F.when(low, "block").otherwise("allow")).alias("verdict"), "score")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
