@@ -77,12 +77,13 @@ def test_all_are_registered():
 
     names = set(E.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
-    assert {"op1_line_dedup", "op2_embedding_links", "op3_mixing", "op4_topk_search"} <= set(E.oracle_sql())
+    assert {"op1_line_dedup", "op2_embedding_links", "op3_mixing", "op4_topk_search", "op12_lexical_search", "op13_merkle_manifest"} <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_embedding_links", "op3_mixing", "op4_topk_search"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_embedding_links", "op3_mixing", "op4_topk_search",
+                                  "op12_lexical_search", "op13_merkle_manifest"])
 def test_oracles(spark, sf_small, name):
     from tools.compare_oracle import compare
 
