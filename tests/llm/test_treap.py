@@ -112,7 +112,7 @@ def test_treap_holds_the_grid(seed):
         nodes, left = np.concatenate(two), left - 1
     for (low, _), x in zip(ranges, nodes, strict=True):
         assert (tree.best[x] == grid[:, low]).all()
-    assert len(tree.children) - 1 <= 2 * n * (a + b + 1)
+    assert len(tree.best) - 1 <= 2 * n * (a + b + 1)
 
 
 def test_ranges_are_pruned(monkeypatch):

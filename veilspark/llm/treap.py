@@ -31,6 +31,7 @@ text is one document of a block. No items or no documents: no rows.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -44,13 +45,13 @@ from pyspark.sql import functions as F
 
 from veilspark.llm.common import pick, read, written
 
-BLOCK_DOCS, BLOCK_POSTINGS = 1 << 14, 1 << 20
-STEP = 64                          # ranges halved at a time
+BLOCK_DOCS, BLOCK_POSTINGS = 1 << 14, 1 << 18
+STEP = 128                         # ranges halved at a time
 CHUNK_ITEMS, CHUNK_TERMS = 4096, 1 << 20  # of a search; what tasks are sent
 NO_ID = (1 << 63) - 1              # sorts after every other id
 SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 SIGNS = bytes(0x20 if b in SEPARATORS else b for b in range(256))
-POPULATION = np.array([b.bit_count() for b in range(16)], np.int64)
+POPULATION = np.array([b.bit_count() for b in range(16)], np.int32)
 
 
 def terms_of(text: bytes | None) -> list[bytes]:
@@ -65,16 +66,16 @@ POSTINGS = "n_docs long, n_terms long, doc_ids binary, lengths binary, terms bin
 
 class _Block:
     def __init__(self):
-        self.ids, self.lengths, self.cols, self.tfs = [], [], [], []
+        self.ids, self.lengths = array("q"), array("q")
+        self.rows, self.cols, self.tfs = array("i"), array("i"), array("i")  # of the postings
         self.number: dict[bytes, int] = {}
-        self.rows: list[int] = []
 
     def add(self, doc_id: int | None, terms: list[bytes]) -> None:
         counts = Counter(terms)
         number = self.number
-        self.rows += [number.setdefault(t, len(number)) for t in counts]
-        self.tfs += counts.values()
-        self.cols += [len(self.ids)] * len(counts)
+        self.rows.extend([number.setdefault(t, len(number)) for t in counts])
+        self.tfs.extend(counts.values())
+        self.cols.extend([len(self.ids)] * len(counts))
         self.ids.append(NO_ID if doc_id is None else doc_id)
         self.lengths.append(len(terms))
 
@@ -82,8 +83,7 @@ class _Block:
         return len(self.ids) >= BLOCK_DOCS or len(self.rows) >= BLOCK_POSTINGS
 
     def batch(self) -> pa.RecordBatch:
-        ids, lengths = np.array(self.ids, "<i8"), np.array(self.lengths, "<i8")
-        rows, cols, tfs = np.array(self.rows, np.int64), np.array(self.cols, np.int64), np.array(self.tfs, "<i4")
+        ids, lengths, rows, cols, tfs = (np.array(x) for x in (self.ids, self.lengths, self.rows, self.cols, self.tfs))
         by_id = np.argsort(ids, kind="stable")
         place = np.empty(len(ids), np.int64)
         place[by_id] = np.arange(len(ids))
@@ -169,11 +169,14 @@ class Treap:
         self.a, self.b, n = a, b, len(children)
         count = POPULATION[children]
         self.none = n
-        self.children = np.append(children, np.uint8(0))
-        self.first = np.append(1 + np.cumsum(count) - count, 0).astype(np.int32)
+        first = (1 + np.cumsum(count) - count).astype(np.int32)
+        self.below = np.full((n + 1, 4), n, np.int32)  # the child in each quarter
+        for slot in range(4):
+            has = children >> slot & 1 == 1
+            self.below[:-1][has, slot] = first[has] + POPULATION[children[has] & ((1 << slot) - 1)]
+        self.below = self.below.ravel()
         leaf = children == 0
-        self.leaf = np.append(leaf, False)
-        self.row, self.col = np.full(n + 1, -1, np.int32), np.full(n + 1, -1, np.int32)
+        self.row, self.col = np.full(n + 1, -1, np.int32), np.zeros(n + 1, np.int32)  # of leaves
         self.row[:-1][leaf], self.col[:-1][leaf] = leaf_rows, leaf_cols
         self.best = np.zeros(n + 1, np.int64)
         at, size = 0, 1
@@ -184,29 +187,26 @@ class Treap:
             self.best[nxt:nxt + total] = np.repeat(self.best[at:at + size], below) - lack[nxt:nxt + total]
             at, size = nxt, total
 
-    def _child(self, node: np.ndarray, slot: np.ndarray, row: np.ndarray) -> np.ndarray:
-        bits = self.children[node]
-        found = np.where(bits >> slot & 1, self.first[node] + POPULATION[bits & ((1 << slot) - 1)], self.none)
-        return np.where(self.leaf[found] & (self.row[found] != row), self.none, found)
+    def _child(self, node: np.ndarray, slot: np.ndarray | int, row: np.ndarray) -> np.ndarray:
+        found = self.below[node * 4 + slot]
+        of = self.row[found]
+        return np.where((of < 0) | (of == row), found, self.none)
 
     def start(self, rows: np.ndarray) -> tuple[int, np.ndarray]:
         """(columns' bits that are left, cell of each row): down the side that is longer, where that is the rows'."""
-        node = np.zeros(len(rows), np.int64)
-        node = np.where(self.leaf[node] & (self.row[node] != rows), self.none, node)
+        node = np.where((self.row[0] < 0) | (self.row[0] == rows), 0, self.none).astype(np.int32)
         for i in range(self.a - 1, self.b - 1, -1):
-            stays = self.leaf[node]
-            node = np.where(stays, node, self._child(node, rows >> i & 1, rows))
+            node = np.where(self.row[node] >= 0, node, self._child(node, rows >> i & 1, rows))
         return self.b, node
 
     def halves(self, node: np.ndarray, rows: np.ndarray, left: np.ndarray) -> Iterator[np.ndarray]:
         """The cells of the two halves of ranges with ``left`` bits to go: node is ranges x terms."""
         bit = (left - 1)[:, None]
         both = bit < self.a  # columns alone are halved while they are the longer side
-        row_bit = np.where(both, rows[None, :] >> np.minimum(bit, 62) & 1, 0)
-        leaf = self.leaf[node]
+        slot = np.where(both, (rows[None, :] >> bit & 1) * 2, 0).astype(np.int32)
+        leaf, half = self.row[node] >= 0, self.col[node] >> bit & 1
         for c in (0, 1):
-            child = self._child(node, row_bit * 2 * both + c, rows[None, :])
-            yield np.where(leaf, np.where(self.col[node] >> bit & 1 == c, node, self.none), child)
+            yield np.where(leaf, np.where(half == c, node, self.none), self._child(node, slot + c, rows[None, :]))
 
 
 class Best:
@@ -344,8 +344,8 @@ def _searched(items: dict[int | None, dict[bytes, int]], k: int):
                 for i, weights in items.items():
                     here = [(row_of[t], w) for t, w in weights.items() if t in row_of]
                     if here:
-                        rows, w = (np.array(v, np.int64) for v in zip(*here, strict=True))
-                        descend(treap, rows, w, doc_ids, best[i])
+                        rows, w = zip(*here, strict=True)
+                        descend(treap, np.array(rows, np.int32), np.array(w, np.int64), doc_ids, best[i])
         part = TaskContext.get().partitionId()
         found = [(part, i, None if d == NO_ID else d, s) for i, b in best.items() for d, s in zip(b.id.tolist(), b.score.tolist(), strict=True)]
         cols = list(zip(*found, strict=True)) or [()] * 4
