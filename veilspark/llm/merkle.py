@@ -214,7 +214,8 @@ def leaf(columns: list[Column]) -> Column:
 
 def build(leaves: DataFrame) -> Manifest:
     """``leaves``: (grp string, id long, node binary, other binary)."""
-    blocks = blocks_of(positioned(leaves, ("id", "node"), "leaves"), "blocks")
+    digests = written(leaves, "digests")  # texts are hashed once, not also to find the ranges
+    blocks = blocks_of(positioned(digests, ("id", "node"), "leaves"), "blocks")
     found: list[bytes] = []
 
     def top(subroots: DataFrame) -> DataFrame:
