@@ -6,9 +6,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from veilspark.plans import arrivals as AR
 from veilspark.plans import pipelines as PL
+from veilspark.plans import publish as PU
 from veilspark.plans import store
+from veilspark.session import shared_dir
 from veilspark.sources import fixtures as fx
+from veilspark.sources.files import table_location
+from veilspark.storage import Files
 
 SCHEMA = "pci_pii_dataset"
 
@@ -87,7 +92,7 @@ def test_masked_view_follows_membership(spark, estate):
 
 
 def test_anonymized_has_no_clear_values(spark, estate):
-    assert sorted(PL.load_anonymized(spark)) == ["customer_records_1", "nation", "order_records"]
+    assert sorted(PL.load_anonymized(spark, schemas=[SCHEMA])) == ["customer_records_1", "nation", "order_records"]
     a = spark.table(f"anonymized__{SCHEMA}.customer_records_1")
     v = spark.table(f"vault__{SCHEMA}.customer_records_1")
     j = a.alias("a").join(v.alias("v"), "id")
@@ -96,7 +101,7 @@ def test_anonymized_has_no_clear_values(spark, estate):
     assert j.where(F.col("a.bank_name") != F.col("v.bank_name")).count() == 0
     tags = store.read(spark, store.tags_of("anonymized"))
     assert tags.where("column_name = 'ssn_hash' and tag_name = 'derived'").count() == 1
-    assert PL.load_anonymized(spark) == []
+    assert PL.load_anonymized(spark, schemas=[SCHEMA]) == []
 
 
 def test_rotation_keeps_hashes_valid(spark, estate):
@@ -285,7 +290,7 @@ def test_arriving_rows_reach_both_layers(spark, estate, monkeypatch):
              partition_by=["p"])
     assert sorted(PL.load_vault(spark, schemas=["late"])) == ["flat", "parts"]
     assert sorted(PL.load_anonymized(spark, schemas=["late"])) == ["flat", "parts"]
-    assert PL.load_arrivals(spark, schemas=["late"]) == []
+    assert AR.load_arrivals(spark, schemas=["late"]) == []
     untouched = {f for f in spark.table("vault__late.parts").inputFiles() if "p=1" not in f}
     spark.createDataFrame([(100, "111-11-1111")], "id int, s string").write.format("parquet").mode("append").insertInto("landing__late.flat")
     spark.createDataFrame([(101, "111-11-1111", 1)], "id int, s string, p int").write.format("parquet").mode("append").insertInto("landing__late.parts")
@@ -293,17 +298,20 @@ def test_arriving_rows_reach_both_layers(spark, estate, monkeypatch):
     real = store.append  # cut short after the data: the run is redone
     monkeypatch.setattr(store, "append", lambda df, name: (_ for _ in ()).throw(KeyboardInterrupt()) if name == "loaded_files" else real(df, name))
     with pytest.raises(KeyboardInterrupt):
-        PL.load_arrivals(spark, schemas=["late"])
+        AR.load_arrivals(spark, schemas=["late"])
     monkeypatch.setattr(store, "append", real)
-    assert sorted(PL.load_arrivals(spark, schemas=["late"])) == ["flat", "parts"]
+    assert sorted(AR.load_arrivals(spark, schemas=["late"])) == ["flat", "parts"]
     for table, n in (("flat", 21), ("parts", 31)):
         for layer in ("landing", "vault", "anonymized"):
             t = spark.table(f"{layer}__late.{table}")
             assert t.count() == n and t.select("id").distinct().count() == n, (layer, table)
         assert spark.table(f"anonymized__late.{table}").where("s = '111-11-1111'").count() == 0
         assert spark.table(f"vault__late.{table}__masked").count() == n
-    assert untouched <= set(spark.table("vault__late.parts").inputFiles())  # only touched partitions are written
-    assert PL.load_arrivals(spark, schemas=["late"]) == []
+    assert untouched <= set(spark.table("vault__late.parts").inputFiles())  # nothing is written anew
+    audits = store.read(spark, "load_audits").where("schema_name = 'late' and target_catalog = 'vault'")
+    assert sorted((r.table_name, r.batch != "", r.rows) for r in audits.collect()) == [
+        ("flat", False, 20), ("flat", True, 1), ("parts", False, 30), ("parts", True, 1)]
+    assert AR.load_arrivals(spark, schemas=["late"]) == []
 
 
 def test_changed_group_takes_effect(spark, estate):
@@ -363,3 +371,117 @@ def test_classify_settles_and_refuses_conflicts(spark, estate):
         {"attribute_name": "ssn", "tags": {"sensitivity_type": "pan"}}]})
     with pytest.raises(Exception, match="two values for the tag"):
         PL.classify(spark, both)
+
+
+def test_arrivals_survive_a_crash_at_each_step(spark, estate, monkeypatch):
+    """Wherever a batch is cut, the next run neither loses nor doubles its rows, and reads its files only."""
+    struct = "id int, s string, p int"
+    _landing(spark, "crash", "t", [(i, f"123-45-{i:04}", i % 2) for i in range(40)], struct, {"s": "ssn"}, partition_by=["p"])
+    PL.load_vault(spark, schemas=["crash"])
+    PL.load_anonymized(spark, schemas=["crash"])
+    write, text, move, append = AR.write_audited, AR.Files.write_text, AR.Files.move, store.append
+    files, total = Files(spark), 40
+
+    def then_stop(real, n=1):
+        calls = []
+
+        def run(*a, **k):
+            calls.append(real(*a, **k))
+            if len(calls) == n:
+                raise KeyboardInterrupt
+        return run
+
+    def stop_at(test, real):
+        def run(*a):
+            if test(*a):
+                raise KeyboardInterrupt
+            return real(*a)
+        return run
+
+    is_mark = lambda self, path, text: path.endswith(AR.READY)
+    steps = {
+        "vault staged": (AR, "write_audited", then_stop(write)),
+        "anonymized staged": (AR, "write_audited", then_stop(write, 2)),
+        "before the mark": (AR.Files, "write_text", stop_at(is_mark, text)),
+        "one file moved": (AR.Files, "move", then_stop(move)),
+        "all files moved": (store, "append", stop_at(lambda df, name: name == "loaded_files", append)),
+        "after the ledger": (PL, "record_audits", stop_at(lambda *a: True, None)),
+    }
+    for step, (where, name, crash) in steps.items():
+        loaded = {x.rsplit("/", 1)[1] for x in spark.table("landing__crash.t").inputFiles()}
+        spark.createDataFrame([(total + i, "111-11-1111", i % 2) for i in range(6)], struct).coalesce(1).write.format(
+            "parquet").mode("append").insertInto("landing__crash.t")
+        monkeypatch.setattr(where, name, crash)
+        with pytest.raises(KeyboardInterrupt):
+            AR.load_arrivals(spark, schemas=["crash"])
+        monkeypatch.undo()
+        if step in ("vault staged", "anonymized staged", "before the mark"):
+            assert spark.table("vault__crash.t").count() == total, step
+        read = []
+        monkeypatch.setattr(AR, "new_rows", lambda spark, source, paths, real=AR.new_rows: read.extend(paths) or real(spark, source, paths))
+        assert AR.load_arrivals(spark, schemas=["crash"]) == ["t"], step
+        monkeypatch.undo()
+        total += 6
+        for layer in ("vault", "anonymized"):
+            t = spark.table(f"{layer}__crash.t")
+            assert t.count() == total and t.select("id").distinct().count() == total, (step, layer)
+            assert files.names(f"{table_location(spark, f'{layer}__crash.t')}/{AR.STAGE}") == [], step
+        assert not {x.rsplit("/", 1)[1] for x in read} & loaded, step
+    assert AR.load_arrivals(spark, schemas=["crash"]) == []
+    assert spark.table("vault__crash.t").where("s is not null and s_hash is null").count() == 0
+    audits = store.read(spark, "load_audits").where("schema_name = 'crash' and batch <> ''")
+    assert audits.count() == len(steps) and audits.select("batch").distinct().count() == len(steps)
+
+
+@pytest.mark.parametrize("step", ["write", "audit", "switch", "clean"])
+def test_readers_see_whole_versions_only(spark, estate, monkeypatch, step):
+    """SNK-4: whatever step a redo is cut at, the table holds the old rows or the new ones."""
+    name = f"`vault__{SCHEMA}`.`redo_{step}`"
+    PU.create_empty(spark, name, "`id` bigint, `p` bigint", ["p"])
+    assert spark.table(name).count() == 0
+    PU.publish_version(spark.range(10).selectExpr("id", "id % 2 p"), name, ["p"])
+    new = spark.range(25).selectExpr("id", "id % 2 p")
+    if step == "write":
+        monkeypatch.setattr(PU, "write_audited", lambda *a, real=PU.write_audited: real(*a) and (_ for _ in ()).throw(KeyboardInterrupt()))
+    elif step == "switch":
+        monkeypatch.setattr(PU, "point_table", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    elif step == "clean":
+        monkeypatch.setattr(PU.Files, "names", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    if step == "audit":
+        with pytest.raises(PU.AuditError, match="3 rows break the rule on id"):
+            PU.publish_version(new, name, ["p"], {"id": F.col("id") > 21})
+    else:
+        with pytest.raises(KeyboardInterrupt):
+            PU.publish_version(new, name, ["p"])
+    monkeypatch.undo()
+    assert spark.table(name).count() == (25 if step == "clean" else 10)
+    assert PU.publish_version(new, name, ["p"]) == 25
+    assert PU.publish_version(new, name, ["p"]) == 25
+    assert spark.table(name).count() == 25 and spark.table(name).where("p = 1").count() == 12
+    folder = table_location(spark, name).rsplit("/", 1)[0]
+    assert sum(x.startswith(f"redo_{step}.v-") for x in Files(spark).names(folder)) == 2  # the version before stays
+
+
+def test_a_lost_hash_is_refused(spark, estate, monkeypatch):
+    """The audit in the write: a fault in the projection leaves the table as it was."""
+    _landing(spark, "faulty", "t", [(1, "123-45-6789"), (2, None)], "id int, s string", {"s": "ssn"})
+    monkeypatch.setattr(PL, "hash_projection", lambda df, tp, *a, real=PL.hash_projection: real(df, tp, *a).withColumn(
+        "s_hash", F.lit(None).cast("string")))
+    with pytest.raises(PL.LoadError, match="1 rows break the rule on s and its hash"):
+        PL.load_vault(spark, schemas=["faulty"])
+    monkeypatch.undo()
+    assert spark.table("vault__faulty.t").count() == 0
+    assert PL.load_vault(spark, schemas=["faulty"]) == ["t"]
+    assert store.read(spark, "load_audits").where("schema_name = 'faulty'").select("rows").first()[0] == 2
+
+
+def test_loads_leave_no_scratch(spark, estate):
+    from veilspark.session import SCRATCH
+
+    _landing(spark, "tidy", "t", [(1, "123-45-6789")], "id int, s string", {"s": "ssn"})
+    root = f"{shared_dir(spark)}/{SCRATCH}"
+    before = Files(spark).names(root)
+    PL.load_vault(spark, schemas=["tidy"])
+    PL.load_anonymized(spark, schemas=["tidy"])
+    assert AR.load_arrivals(spark, schemas=["tidy"]) == []
+    assert Files(spark).names(root) == before

@@ -261,4 +261,11 @@ ORACLE_SQL: dict[str, str] = {
     "anonymized_load": ANONYMIZED,
     "incremental_load": VAULT,
     "arrivals_load": f"with v as ({VAULT}) select v.*, {_mask('ssn')} as ssn_masked from v",
+    "arrivals_audit": f"""with p as ({PII}), o as (select count(*) as n from orders),
+ c as (select count(*) filter (id % 2 = 0) as old, count(*) filter (id % 2 <> 0) as late from p),
+ a as (select 'vault' as target_catalog, 'customer_records' as table_name, 'load' as kind, old as rows from c
+       union all select 'anonymized', 'customer_records', 'load', old from c
+       union all select 'vault', 'customer_records', 'arrival', late from c
+       union all select x, 'order_records', 'load', n from o, (values ('vault'), ('anonymized')) as l(x))
+ select a.*, cast(61 as bigint) as n_files from a""",
 }

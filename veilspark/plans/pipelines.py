@@ -1,8 +1,10 @@
 """Pipelines that write: classify, keys, vault load, anonymized load, masked views.
 
 Data rows never pass through Python: each table is one
-``scan -> select -> write`` Spark job. The driver sees only metadata: the
-load plan is frozen with ``checkpoint()`` and streamed table by table.
+``scan -> select -> write`` Spark job, audited as it is written and published
+by one switch of the table's location. The driver sees only metadata: the
+load plan is frozen in the shared folder, in a scope of the run's own, and
+streamed table by table.
 Table jobs run concurrently from a small thread pool; tags and plan are read
 a fixed number of times a run, however many tables there are.
 """
@@ -12,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from veilspark.operators import plan as P
 from veilspark.operators.partitioning import spread
 from veilspark.operators.protect import TablePlan, hash_projection, iter_table_plans, mask_projection
 from veilspark.plans import store
-from veilspark.session import scratch_path, shared_dir
+from veilspark.plans.publish import create_empty, publish_version, unhashed
+from veilspark.session import ScratchScope, frozen, scratch_path, shared_dir
 from veilspark.sources.catalog import column_catalog, table_catalog
+from veilspark.sources.files import table_files
 from veilspark.sources.local import local_frame
 from veilspark.sources.manifest import read_manifest
 
@@ -48,16 +51,24 @@ def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDIN
     """PIPE-1: manifest -> validation -> tags of ``catalog_name``, all or nothing.
 
     The manifest is read once and frozen. The mismatch report is returned
-    whole as a frozen frame (checkpoint in the shared folder), never
+    whole as a frame in the shared folder (in the caller's scope), never
     collected. A new version of the layer's tags is published only if a tag
     changes, so a repeated run applies 0. Two values for one tag raise.
     """
     shared_dir(spark)
-    manifest = C.one_value_per_tag(C.flatten_manifest(read_manifest(spark, manifest_path))).checkpoint()
+    report = scratch_path(spark, "mismatches")  # the caller's: outlives this function's scope
+    with ScratchScope(spark):
+        return _classify(spark, manifest_path, catalog_name, schemas, report)
+
+
+def _classify(spark: SparkSession, manifest_path: str, catalog_name: str, schemas: list[str] | None, report: str) -> ClassifyResult:
+    manifest = frozen(C.one_value_per_tag(C.flatten_manifest(read_manifest(spark, manifest_path))), "manifest")
     tables = table_catalog(spark, [catalog_name], schemas).where("table_type = 'MANAGED'")
     named = tables.join(manifest.select("schema_name", "table_name").distinct(), ["schema_name", "table_name"], "left_semi")
     cols = column_catalog(spark, named)
-    mismatch = C.manifest_mismatch(manifest, cols, catalog_name).checkpoint()
+    found = C.manifest_mismatch(manifest, cols, catalog_name)
+    found.write.parquet(report)
+    mismatch = spark.read.schema(found.schema).parquet(report)
     n_mismatch = mismatch.count()
     if n_mismatch:
         return ClassifyResult(mismatch, n_mismatch, 0, None)
@@ -167,23 +178,17 @@ def partition_columns(spark: SparkSession, qualified_name: str) -> list[str]:
 def _create_target(df: DataFrame, layer: str, schema: str, table: str, partition_by: list[str]) -> str:
     """SNK-3: the empty target table with the layout of ``df``, if absent."""
     name = S.qualified(layer, schema, table)
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    df.sparkSession.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts}")
+    create_empty(df.sparkSession, name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), partition_by)
     return name
 
 
-def _fill(df: DataFrame, name: str, max_records_per_file: int | None = None, touched_only: bool = False) -> None:
-    """SNK-4: insert-select. What an unfinished earlier load left in the table is replaced,
-    or, with ``touched_only``, in the partitions that ``df`` has rows of."""
+def _fill(df: DataFrame, name: str, max_records_per_file: int | None = None, faults: dict[str, Column] | None = None) -> int:
+    """SNK-4: the audited rows become the table's data in one switch; what an unfinished earlier load left goes."""
     spark = df.sparkSession
     columns = spark.table(name).columns
     if sorted(columns) != sorted(df.columns):
         raise ValueError(f"the columns of {name} are {', '.join(columns)}, not {', '.join(df.columns)}")
-    w = df.select(*[f"`{c}`" for c in columns]).write.option("partitionOverwriteMode", "dynamic" if touched_only else "static")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.insertInto(name.replace("`", ""), overwrite=True)
+    return publish_version(df.select(*[f"`{c}`" for c in columns]), name, partition_columns(spark, name), faults, max_records_per_file)
 
 
 def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan], status: str) -> None:
@@ -197,23 +202,11 @@ def _record(spark: SparkSession, source: str, target: str, plans: list[TablePlan
     store.append(rows, "loads")
 
 
-def _part(spark: SparkSession, source: str) -> Column:
-    """A row's partition as text: one value for all rows of an unpartitioned table."""
-    parts = partition_columns(spark, source)
-    return F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in parts])) if parts else F.lit("{}")
-
-
-def _source_files(spark: SparkSession, layer: str, plans: list) -> DataFrame:
-    """The files that the plans' source tables consist of now (footers are read, no data), frozen."""
-    frames = []
-    for tp in plans:
-        name = S.qualified(layer, tp.schema_name, tp.table_name)
-        frames.append(spark.table(name).select(
-            F.lit(layer).alias("source_catalog"), F.lit(tp.schema_name).alias("schema_name"),
-            F.lit(tp.table_name).alias("table_name"), _part(spark, name).alias("part"),
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"),
-            F.col("_metadata.file_modification_time").alias("modified")))
-    return reduce(DataFrame.unionByName, frames).distinct().checkpoint()
+def record_audits(spark: SparkSession, rows: list[tuple[str, str, str, str, int]]) -> None:
+    """(target layer, schema, table, batch, rows) of audited writes."""
+    if rows:
+        store.append(local_frame(spark, rows, "target_catalog string, schema_name string, table_name string, batch string, rows bigint")
+                     .withColumn("written_at", F.current_timestamp()), "load_audits")
 
 
 def _publish_tags(tags: DataFrame, layer: str) -> None:
@@ -240,7 +233,7 @@ def _chunks(it: Iterator[TablePlan], size: int) -> Iterator[list[TablePlan]]:
 def vault_plan(spark: SparkSession, source: str = LANDING, target: str = VAULT,
                schemas: list[str] | None = None) -> DataFrame:
     """PIPE-2 over the live catalog: schemas are looked up for pending tables only."""
-    todo = pending(spark, source, target, schemas).checkpoint()
+    todo = frozen(pending(spark, source, target, schemas), "pending")
     return P.load_plan(
         todo,
         column_catalog(spark, todo, store.read(spark, "not_null")),
@@ -287,29 +280,34 @@ def _refuse(plan_df: DataFrame, source: str, target: str, schemas: list[str] | N
 
 def _load_tables(spark: SparkSession, plan_df: DataFrame, source: str, target: str, one, *, root: str | None,
                  parallelism: int, chunk_size: int) -> tuple[list[TablePlan], dict[str, str]]:
-    """Run ``one(table plan)`` for every table. A table that fails stops no other."""
+    """Run ``one(table plan)``, which returns the rows written, for every table. A table that fails stops no other."""
     done: list[TablePlan] = []
     failed: dict[str, str] = {}
 
     def attempt(tp: TablePlan):
         try:
-            one(tp)
-            return tp, None
+            return tp, one(tp), None
         except Exception as e:  # noqa: BLE001 - reported with all others at the end
-            return tp, f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+            return tp, 0, f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
             for schema in sorted({tp.schema_name for tp in chunk}):  # before the concurrent writes
                 _ensure_db(spark, target, schema, root)
             _record(spark, source, target, chunk, "started")
-            files = _source_files(spark, source, chunk)  # listed before they are read: later ones count as new
-            for tp, why in pool.map(attempt, chunk):
+            files = None
+            if source == LANDING:  # listed before they are read: later ones count as new
+                files = frozen(table_files(spark, source, [(tp.schema_name, tp.table_name) for tp in chunk]), "files")
+            audits = []
+            for tp, rows, why in pool.map(attempt, chunk):
                 if why is None:
                     done.append(tp)
+                    audits.append((target, tp.schema_name, tp.table_name, "", rows))
                 else:
                     failed[f"{tp.schema_name}.{tp.table_name}"] = why
-            store.append(_only(files, failed), "loaded_files")
+            record_audits(spark, audits)
+            if files is not None:
+                store.append(_only(files, failed), "loaded_files")
     return done, failed
 
 
@@ -327,7 +325,7 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
                schemas: list[str] | None = None, keys: DataFrame | None = None) -> list[str]:
     """PIPE-3: every pending landing table -> vault table with salted hashes.
 
-    The load plan is frozen first (checkpoint in the shared folder), since
+    The load plan is frozen first (written to the shared folder), since
     the loads change the catalog it reads, and validated as a whole: a
     sensitive column without a usable key or mask, a clash of names, a
     sensitive partition column or a target that no load made raise before
@@ -339,7 +337,13 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
     limits the load. ``keys``: unwrapped keys, by default those of the store.
     """
     shared_dir(spark)
-    plan_df = vault_plan(spark, LANDING, VAULT, schemas).checkpoint()
+    with ScratchScope(spark):
+        return _load_vault(spark, num_bits, root, privileged_group, parallelism, chunk_size, max_records_per_file, partitions, schemas, keys)
+
+
+def _load_vault(spark: SparkSession, num_bits: int, root: str | None, privileged_group: str, parallelism: int, chunk_size: int,
+                max_records_per_file: int | None, partitions: int | None, schemas: list[str] | None, keys: DataFrame | None) -> list[str]:
+    plan_df = frozen(vault_plan(spark, LANDING, VAULT, schemas), "plan")
     keys_df = unwrapped_keys(spark) if keys is None else keys
     _refuse(plan_df, LANDING, VAULT, schemas, hashes=True)
     required = plan_df.where(F.col("tag_value").isNotNull()).select(F.col("tag_value").alias("attribute"))
@@ -348,12 +352,12 @@ def load_vault(spark: SparkSession, *, num_bits: int = 512, root: str | None = N
         raise RuntimeError(f"no usable data salt key for: {', '.join(sorted(missing))}")
     register_mask_functions(spark, privileged_group)
 
-    def one(tp: TablePlan) -> None:
+    def one(tp: TablePlan) -> int:
         source = S.qualified(LANDING, tp.schema_name, tp.table_name)
         rows = hash_projection(spread(spark.table(source), partitions), tp, keys_df, num_bits)
         name = _create_target(rows, VAULT, tp.schema_name, tp.table_name, partition_columns(spark, source))
         create_masked_view(spark, VAULT, tp.schema_name, tp.table_name, tp.sensitive)
-        _fill(rows, name, max_records_per_file)
+        return _fill(rows, name, max_records_per_file, unhashed(tp))
 
     done, failed = _load_tables(spark, plan_df, LANDING, VAULT, one, root=root, parallelism=parallelism, chunk_size=chunk_size)
     loaded = _only(plan_df, failed)
@@ -374,7 +378,7 @@ def _finish(spark: SparkSession, source: str, target: str, done: list[TablePlan]
 
 def anonymize_plan(spark: SparkSession, schemas: list[str] | None = None) -> DataFrame:
     """Vault tables not yet anonymized, one row per column, type tag where masked."""
-    todo = pending(spark, VAULT, ANON, schemas).checkpoint()
+    todo = frozen(pending(spark, VAULT, ANON, schemas), "pending")
     loaded = _loads(spark, LANDING, VAULT, "done")  # not what a vault load is still writing
     cols = column_catalog(spark, todo.join(loaded, ["schema_name", "table_name"], "left_semi"), store.read(spark, "not_null"))
     sens = P.sensitive_columns(store.read(spark, store.tags_of(VAULT)))
@@ -391,14 +395,20 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
     Validation, order and errors as in :func:`load_vault`.
     """
     shared_dir(spark)
-    plan_df = anonymize_plan(spark, schemas).checkpoint()
+    with ScratchScope(spark):
+        return _load_anonymized(spark, root, parallelism, chunk_size, max_records_per_file, partitions, schemas)
+
+
+def _load_anonymized(spark: SparkSession, root: str | None, parallelism: int, chunk_size: int, max_records_per_file: int | None,
+                     partitions: int | None, schemas: list[str] | None) -> list[str]:
+    plan_df = frozen(anonymize_plan(spark, schemas), "plan")
     _refuse(plan_df, VAULT, ANON, schemas, hashes=False)
 
-    def one(tp: TablePlan) -> None:
+    def one(tp: TablePlan) -> int:
         source = S.qualified(VAULT, tp.schema_name, tp.table_name)
         rows = mask_projection(spread(spark.table(source), partitions), tp.sensitive)
         name = _create_target(rows, ANON, tp.schema_name, tp.table_name, partition_columns(spark, source))
-        _fill(rows, name, max_records_per_file)
+        return _fill(rows, name, max_records_per_file)
 
     done, failed = _load_tables(spark, plan_df, VAULT, ANON, one, root=root, parallelism=parallelism, chunk_size=chunk_size)
     if done:
@@ -408,74 +418,6 @@ def load_anonymized(spark: SparkSession, *, root: str | None = None, parallelism
     return _finish(spark, VAULT, ANON, done, failed)
 
 
-# --------------------------------------------------------------------------- arriving rows
-
-def arrived_files(spark: SparkSession, schemas: list[str] | None = None, chunk_size: int = 64) -> DataFrame:
-    """Files in loaded landing tables that no completed load has read, frozen."""
-    loaded = _loads(spark, LANDING, VAULT, "done")
-    if schemas is not None:
-        loaded = loaded.where(F.col("schema_name").isin(schemas))
-    path = scratch_path(spark, "landing-files")
-    local_frame(spark, [], S.LOADED_FILES).write.parquet(path)
-    listed = (TablePlan(LANDING, r.schema_name, r.table_name) for r in loaded.toLocalIterator())
-    for chunk in _chunks(listed, chunk_size):
-        _source_files(spark, LANDING, chunk).write.mode("append").parquet(path)
-    known = store.read(spark, "loaded_files").where(F.col("source_catalog") == LANDING)
-    keys = [f.name for f in S.LOADED_FILES.fields]
-    return spark.read.schema(S.LOADED_FILES).parquet(path).join(known, keys, "left_anti").checkpoint()
-
-
-def load_arrivals(spark: SparkSession, *, num_bits: int = 512, parallelism: int = 4, chunk_size: int = 64,
-                  schemas: list[str] | None = None, keys: DataFrame | None = None) -> list[str]:
-    """STR-1 for catalog tables: rows that arrived in landing tables after their load.
-
-    Of each table with new files the partitions that have some (the whole
-    table if it has no partitions) are loaded anew into the vault and,
-    if the table is there, the anonymized layer. They replace what those
-    partitions held, so a run that is cut short and redone neither loses nor
-    doubles rows. Views and tags stay as they are. The files are recorded
-    last. Landing tables are taken as append-only: partitions that
-    vanish there are kept. Returns the tables that changed.
-    """
-    shared_dir(spark)
-    files = arrived_files(spark, schemas, chunk_size)
-    tables = files.select(F.lit(LANDING).alias("catalog_name"), "schema_name", "table_name").distinct()
-    plan_df = P.load_plan(tables, column_catalog(spark, tables, store.read(spark, "not_null")),
-                          store.read(spark, store.tags_of(LANDING)), store.read(spark, "key_registry")).checkpoint()
-    keys_df = unwrapped_keys(spark) if keys is None else keys
-    _refuse(plan_df, LANDING, VAULT, schemas, hashes=True)
-    anonymized = {(r.schema_name, r.table_name) for r in _loads(spark, VAULT, ANON, "done").join(
-        tables, ["schema_name", "table_name"], "left_semi").toLocalIterator()}
-    done: list[str] = []
-    failed: dict[str, str] = {}
-
-    def one(tp: TablePlan) -> str | None:
-        mine = files.where((F.col("schema_name") == tp.schema_name) & (F.col("table_name") == tp.table_name))
-        touched = [r.part for r in mine.select("part").distinct().collect()]  # partition names
-        source, vault, anon = (S.qualified(x, tp.schema_name, tp.table_name) for x in (LANDING, VAULT, ANON))
-        try:
-            rows = spark.table(source).where(_part(spark, source).isin(touched))
-            _fill(hash_projection(rows, tp, keys_df, num_bits), vault, touched_only=True)
-            if (tp.schema_name, tp.table_name) in anonymized:
-                fresh = spark.table(vault).where(_part(spark, vault).isin(touched))
-                _fill(mask_projection(fresh, tp.sensitive), anon, touched_only=True)
-        except Exception as e:  # noqa: BLE001 - reported with all others at the end
-            return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
-        return None
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for chunk in _chunks(iter_table_plans(plan_df), chunk_size):
-            for tp, why in zip(chunk, pool.map(one, chunk), strict=True):
-                if why is None:
-                    done.append(tp.table_name)
-                else:
-                    failed[f"{tp.schema_name}.{tp.table_name}"] = why
-    store.append(_only(files, failed), "loaded_files")
-    if failed:
-        raise LoadError(done, failed)
-    return done
-
-
 # --------------------------------------------------------------------------- landing tables
 
 def create_table(spark: SparkSession, layer: str, schema: str, table: str, struct,
@@ -505,7 +447,7 @@ def append_table(df: DataFrame, layer: str, schema: str, table: str) -> None:
 
 def register_mask_functions(spark: SparkSession, privileged_group: str = "pii_readers") -> list[str]:
     store.ensure_core(spark)
-    return register_sql_functions(spark, store.CORE, privileged_group, store.core_name("group_members"))
+    return register_sql_functions(spark, store.core(spark), privileged_group, store.core_name(spark, "group_members"))
 
 
 def masked_view_name(table: str) -> str:
@@ -525,7 +467,7 @@ def create_masked_view(spark: SparkSession, layer: str, schema: str, table: str,
     for f in fields:
         name = f"`{f.name}`"
         if f.name in sensitive:
-            fn = f"`{store.CORE}`.{sql_function_name(sensitive[f.name])}"
+            fn = f"`{store.core(spark)}`.{sql_function_name(sensitive[f.name])}"
             sel.append(f"{fn}(CAST({name} AS STRING)) AS {name}")
         else:
             sel.append(name)

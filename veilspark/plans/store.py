@@ -1,7 +1,7 @@
 """Core tables of the engine in the session catalog (parquet).
 
 * append-only: ``key_registry``, ``kek_versions``, ``group_members``,
-  ``not_null``, ``loads``, ``loaded_files``
+  ``not_null``, ``loads``, ``loaded_files``, ``load_audits``
 * replaced as a whole: ``dsk_store`` and, one per layer, the column tags
   (``column_tags__landing`` and so on; ``column_tags`` shows all layers).
 
@@ -17,6 +17,7 @@ while it is being read).
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from veilspark import schemas as S
 from veilspark.sources.local import local_frame
 
 CORE = S.Layer.CORE.value
+CORE_CONF = "veilspark.core.database"
 
 APPEND_TABLES = {
     "key_registry": S.KEY_REGISTRY,
@@ -33,18 +35,27 @@ APPEND_TABLES = {
     "not_null": S.NOT_NULL,
     "loads": S.LOADS,
     "loaded_files": S.LOADED_FILES,
+    "load_audits": S.LOAD_AUDITS,
 }
 TAGS = "column_tags"
 TAG_LAYERS = (S.Layer.LANDING.value, S.Layer.VAULT.value, S.Layer.ANONYMIZED.value)
 VERSIONED_TABLES = {f"{TAGS}__{layer}": S.COLUMN_TAGS for layer in TAG_LAYERS} | {"dsk_store": S.DSK_STORE}
 
 
+_APPENDING = threading.Lock()
+
+
 class ConcurrentPublish(RuntimeError):
     """Another writer switched the table's version in the meantime."""
 
 
-def core_name(name: str) -> str:
-    return f"`{CORE}`.`{name}`"
+def core(spark: SparkSession) -> str:
+    """The session's core database: ``core``, or the one that the setting ``CORE_CONF`` names."""
+    return spark.conf.get(CORE_CONF, CORE)
+
+
+def core_name(spark: SparkSession, name: str) -> str:
+    return f"`{core(spark)}`.`{name}`"
 
 
 def tags_of(layer: str) -> str:
@@ -55,12 +66,12 @@ def tags_of(layer: str) -> str:
 def _versions(spark: SparkSession, name: str) -> list[str]:
     """Tables of this name's versions, published or not."""
     pattern = re.compile(rf"^{re.escape(name)}__v\d+_[0-9a-f]+$")
-    return sorted(t.name for t in spark.catalog.listTables(CORE) if pattern.match(t.name))
+    return sorted(t.name for t in spark.catalog.listTables(core(spark)) if pattern.match(t.name))
 
 
 def current(spark: SparkSession, name: str) -> str:
     """The table that the view ``name`` stands for."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {core_name(name)}").where("col_name = 'View Text'").collect()
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {core_name(spark, name)}").where("col_name = 'View Text'").collect()
     found = re.search(rf"`({re.escape(name)}__v\d+_[0-9a-f]+)`", rows[0]["data_type"]) if rows else None
     if not found:
         raise RuntimeError(f"core table {name} has no current version; call ensure_core first")
@@ -73,39 +84,40 @@ def _number(version: str) -> int:
 
 def _write_version(df: DataFrame, name: str, number: int) -> str:
     version = f"{name}__v{number}_{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").saveAsTable(f"{CORE}.{version}")
+    df.write.format("parquet").saveAsTable(f"{core(df.sparkSession)}.{version}")
     return version
 
 
 def _point_view(spark: SparkSession, name: str, version: str) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {core_name(name)} AS SELECT * FROM {core_name(version)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {core_name(spark, name)} AS SELECT * FROM {core_name(spark, version)}")
 
 
 def ensure_core(spark: SparkSession, location: str | None = None) -> None:
     """Create the core database and its empty tables if absent (idempotent)."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{CORE}`{loc}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{core(spark)}`{loc}")
     for name, schema in APPEND_TABLES.items():
-        if not spark.catalog.tableExists(f"{CORE}.{name}"):
-            local_frame(spark, [], schema).write.format("parquet").saveAsTable(f"{CORE}.{name}")
+        if not spark.catalog.tableExists(f"{core(spark)}.{name}"):
+            local_frame(spark, [], schema).write.format("parquet").saveAsTable(f"{core(spark)}.{name}")
     for name, schema in VERSIONED_TABLES.items():
-        if not spark.catalog.tableExists(f"{CORE}.{name}"):
+        if not spark.catalog.tableExists(f"{core(spark)}.{name}"):
             _point_view(spark, name, _write_version(local_frame(spark, [], schema), name, 1))
-    if not spark.catalog.tableExists(f"{CORE}.{TAGS}"):
-        union = " UNION ALL ".join(f"SELECT * FROM {core_name(tags_of(x))}" for x in TAG_LAYERS)
-        spark.sql(f"CREATE OR REPLACE VIEW {core_name(TAGS)} AS {union}")
+    if not spark.catalog.tableExists(f"{core(spark)}.{TAGS}"):
+        union = " UNION ALL ".join(f"SELECT * FROM {core_name(spark, tags_of(x))}" for x in TAG_LAYERS)
+        spark.sql(f"CREATE OR REPLACE VIEW {core_name(spark, TAGS)} AS {union}")
 
 
 def read(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(core_name(name))
+    return spark.table(core_name(spark, name))
 
 
 def append(df: DataFrame, name: str) -> None:
     """Append to an append-only table, or to the current version of a versioned one."""
     spark = df.sparkSession
     target = current(spark, name) if name in VERSIONED_TABLES else name
-    cols = spark.table(core_name(target)).columns
-    df.select(*cols).write.format("parquet").mode("append").insertInto(f"{CORE}.{target}")
+    cols = spark.table(core_name(spark, target)).columns
+    with _APPENDING:  # two appends to a folder share its temporary files
+        df.select(*cols).write.format("parquet").mode("append").insertInto(f"{core(spark)}.{target}")
 
 
 def publish(df: DataFrame, name: str) -> int:
@@ -119,10 +131,10 @@ def publish(df: DataFrame, name: str) -> int:
     before = current(spark, name)
     version = _write_version(df.select(*[f.name for f in VERSIONED_TABLES[name].fields]), name, _number(before) + 1)
     if current(spark, name) != before:
-        spark.sql(f"DROP TABLE IF EXISTS {core_name(version)}")
+        spark.sql(f"DROP TABLE IF EXISTS {core_name(spark, version)}")
         raise ConcurrentPublish(f"{name} is no longer at {before}")
     _point_view(spark, name, version)
     for old in _versions(spark, name):
         if old not in (before, version):
-            spark.sql(f"DROP TABLE IF EXISTS {core_name(old)}")
+            spark.sql(f"DROP TABLE IF EXISTS {core_name(spark, old)}")
     return _number(version)

@@ -25,9 +25,9 @@ from veilspark.operators.protect import (
     plan_for_frame,
     table_plans,
 )
-from veilspark.plans import pipelines, store
+from veilspark.plans import arrivals, pipelines, store
 from veilspark.schemas import COLUMN_TAGS, KEK_NAME_PREFIX, SENSITIVITY_TYPES, TAG_CATEGORY, TAG_TYPE
-from veilspark.session import scratch_path, shared_dir
+from veilspark.session import ScratchScope, frozen, scratch_path
 from veilspark.sources import fixtures as fx
 from veilspark.sources.catalog import frames_column_catalog
 from veilspark.sources.local import local_frame
@@ -191,16 +191,17 @@ def keys_ensure(spark, d):
     c = _customer(spark, d)
     registry = fx.estate_key_registry(c)
     keks = fx.estate_kek_versions(c)
-    shared_dir(spark)
-    # New keys are random: cut the lineage once so every later use sees the same keys.
-    new_keks = keys.ensure_keks(registry, keks, F.lit(KEY_CREATED_AT)).checkpoint()
-    all_keks = keks.unionByName(new_keks)
-    new_dsks = keys.ensure_dsks(registry, fx.estate_dsk_store(c), all_keks)
-    checked = keys.unwrap_dsks(new_dsks.withColumn("wrapped_len", F.length("wrapped_dsk")), all_keks)
-    return checked.select(
-        "attribute", "kek_name", "dsk_name", "kek_version", "wrapped_len",
-        (F.coalesce(F.length("dsk"), F.lit(0)) == 32).alias("roundtrip_ok"),
-    )
+    out = scratch_path(spark, "keys-ensure")
+    with ScratchScope(spark):
+        # New keys are random: cut the lineage once so every later use sees the same keys.
+        new_keks = frozen(keys.ensure_keks(registry, keks, F.lit(KEY_CREATED_AT)), "keks")
+        all_keks = keks.unionByName(new_keks)
+        new_dsks = keys.ensure_dsks(registry, fx.estate_dsk_store(c), all_keks)
+        checked = keys.unwrap_dsks(new_dsks.withColumn("wrapped_len", F.length("wrapped_dsk")), all_keks)
+        return _left(checked.select(
+            "attribute", "kek_name", "dsk_name", "kek_version", "wrapped_len",
+            (F.coalesce(F.length("dsk"), F.lit(0)) == 32).alias("roundtrip_ok"),
+        ), out, spark)
 
 
 def keys_unwrap(spark, d):
@@ -289,21 +290,25 @@ def hash_interleave(spark, d):
 
 def hash_join(spark, d):
     """JN-9: vault orders joined to vault customers through the stored SSN hashes."""
-    schema = _loaded_estate(spark, d)
-    customers = spark.table(f"vault__{schema}.customer_records").select("id", "ssn_hash")
-    orders = spark.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
-    return lookup_on_hash(
-        customers, orders, "ssn_hash", "cust_ssn_hash",
-        [F.count(F.lit(1)).alias("n_orders"), F.sum("o_orderkey").alias("sum_orderkey")],
-    )
+    def result(s, schema, root):
+        customers = s.table(f"vault__{schema}.customer_records").select("id", "ssn_hash")
+        orders = s.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
+        return lookup_on_hash(
+            customers, orders, "ssn_hash", "cust_ssn_hash",
+            [F.count(F.lit(1)).alias("n_orders"), F.sum("o_orderkey").alias("sum_orderkey")],
+        )
+
+    return _of_estate(spark, d, result, vault=True)
 
 
 def hash_join_rows(spark, d):
-    """JN-9 as pairs: every vault order with the customers of the same SSN hash, hot hashes salted."""
-    schema = _loaded_estate(spark, d)
-    orders = spark.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
-    customers = spark.table(f"vault__{schema}.customer_records").where("ssn <> '12'").select("id", "ssn_hash")
-    return join_on_hash(orders, customers, "cust_ssn_hash", "ssn_hash", salt_buckets=8)
+    """JN-9 as pairs: every vault order with the customers of the same SSN hash, hot hashes split."""
+    def result(s, schema, root):
+        orders = s.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
+        customers = s.table(f"vault__{schema}.customer_records").where("ssn <> '12'").select("id", "ssn_hash")
+        return join_on_hash(orders, customers, "cust_ssn_hash", "ssn_hash", salt_buckets=8)
+
+    return _of_estate(spark, d, result, vault=True)
 
 
 # --------------------------------------------------------------------------- layers
@@ -329,66 +334,110 @@ def vault_frame(spark, d, num_bits: int = ORACLE_BITS) -> DataFrame:
     return hash_projection(landing, tp, keys.unwrap_dsks(wrapped, versions), num_bits)
 
 
-def _landed_estate(spark, d, first=None) -> tuple[str, str]:
-    """A landing schema of its own with customers (or the ``first`` of them) and orders,
-    tagged and registered: (schema, root folder)."""
-    root = scratch_path(spark, "estate")
-    schema = f"q{uuid.uuid4().hex[:12]}"
-    store.ensure_core(spark, f"{root}/core")
-    spark.sql(f"CREATE DATABASE `landing__{schema}` LOCATION '{root}/landing'")
-    customers = _customer(spark, d) if first is None else _customer(spark, d).where(first)
-    fx.pii_customers(customers).write.format("parquet").saveAsTable(f"landing__{schema}.customer_records")
-    fx.orders_pii(table(spark, d, "orders")).write.format("parquet").saveAsTable(f"landing__{schema}.order_records")
-    ssn = [("landing", schema, "order_records", "cust_ssn", n, v) for n, v in ((TAG_CATEGORY, "pii"), (TAG_TYPE, "ssn"))]
-    store.append(_sample_tags(spark, "landing", schema, "customer_records").unionByName(
-        local_frame(spark, ssn, COLUMN_TAGS)), store.tags_of("landing"))
-    registered = store.read(spark, "key_registry").select("pci_pii_attribute_name")
-    store.append(fx.registry_seed(spark).join(registered, "pci_pii_attribute_name", "left_anti"), "key_registry")
-    return schema, root
-
-
-def _loaded_estate(spark, d) -> str:
-    """The schema after the vault load with the fixture's keys."""
-    schema, root = _landed_estate(spark, d)
-    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
-    return schema
+def _left(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
+    """The result written to ``path``, for a reader of ``spark``: what it was made from may go."""
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _own_session(spark: SparkSession, core: str) -> SparkSession:
+    """A session over the same catalog with the same settings and a core database of its own."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if s.conf.isModifiable(k):
+            s.conf.set(k, v)
+    s.conf.set(store.CORE_CONF, core)
+    return s
+
+
+def _of_estate(spark, d, result: Callable[[SparkSession, str, str], DataFrame], vault: bool = False,
+               first=None, files: int | None = None) -> DataFrame:
+    """``result(session, schema, root)`` over an estate that is gone afterwards.
+
+    The estate is a landing schema with customers (or the ``first`` of them, in so many ``files``)
+    and orders, tagged and registered, with core tables of its own; ``vault``: loaded into the vault
+    with the fixture's keys. The result is written outside of it; databases and files of the estate
+    are dropped, whatever happens.
+    """
+    out = scratch_path(spark, "result")
+    with ScratchScope(spark):
+        root, schema = scratch_path(spark, "estate"), f"q{uuid.uuid4().hex[:12]}"
+        s = _own_session(spark, f"core_{schema}")
+        try:
+            store.ensure_core(s, f"{root}/core")
+            s.sql(f"CREATE DATABASE `landing__{schema}` LOCATION '{root}/landing'")
+            customers = fx.pii_customers(_customer(s, d) if first is None else _customer(s, d).where(first))
+            customers = customers.repartition(files) if files else customers
+            customers.write.format("parquet").saveAsTable(f"landing__{schema}.customer_records")
+            fx.orders_pii(table(s, d, "orders")).write.format("parquet").saveAsTable(f"landing__{schema}.order_records")
+            ssn = [("landing", schema, "order_records", "cust_ssn", n, v) for n, v in ((TAG_CATEGORY, "pii"), (TAG_TYPE, "ssn"))]
+            store.append(_sample_tags(s, "landing", schema, "customer_records").unionByName(
+                local_frame(s, ssn, COLUMN_TAGS)), store.tags_of("landing"))
+            store.append(fx.registry_seed(s), "key_registry")
+            if vault:
+                pipelines.load_vault(s, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(s))
+            return _left(result(s, schema, root), out, spark)
+        finally:
+            for db in (*(f"{x}__{schema}" for x in store.TAG_LAYERS), store.core(s)):
+                s.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
 
 
 def vault_load(spark, d):
     """PIPE-3: landing tables through the load into vault tables, read back."""
-    return spark.table(f"vault__{_loaded_estate(spark, d)}.customer_records")
+    return _of_estate(spark, d, lambda s, schema, root: s.table(f"vault__{schema}.customer_records"), vault=True)
+
+
+def _arrived(spark, d, result, files: int | None = None) -> DataFrame:
+    """Half of the customers is loaded into both layers, the rest arrives later in one file."""
+    def run(s, schema, root):
+        pipelines.load_anonymized(s, root=root, schemas=[schema])
+        late = _pii(s, d).where("id % 2 <> 0").coalesce(1)
+        pipelines.append_table(late, "landing", schema, "customer_records")
+        arrivals.load_arrivals(s, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(s))
+        return result(s, schema)
+
+    return _of_estate(spark, d, run, vault=True, first=F.col("c_custkey") % 2 == 0, files=files)
 
 
 def arrivals_load(spark, d):
-    """STR-1 end to end: half of the customers is loaded into both layers, the rest arrives later."""
-    schema, root = _landed_estate(spark, d, F.col("c_custkey") % 2 == 0)
-    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
-    pipelines.load_anonymized(spark, root=root, schemas=[schema])
-    late = _pii(spark, d).where("id % 2 <> 0")
-    pipelines.append_table(late, "landing", schema, "customer_records")
-    pipelines.load_arrivals(spark, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
-    anonymized = spark.table(f"anonymized__{schema}.customer_records").select("id", F.col("ssn").alias("ssn_masked"))
-    return spark.table(f"vault__{schema}.customer_records").join(anonymized, "id")
+    """STR-1 end to end: rows that arrive after the load reach both layers."""
+    def result(s, schema):
+        anonymized = s.table(f"anonymized__{schema}.customer_records").select("id", F.col("ssn").alias("ssn_masked"))
+        return s.table(f"vault__{schema}.customer_records").join(anonymized, "id")
+
+    return _arrived(spark, d, result)
+
+
+def arrivals_audit(spark, d):
+    """STR-1 and PIPE-3/4 audits: one file arrives beside 60 that are loaded; rows by audited write,
+    and the files that the ledger has for the landing table."""
+    def result(s, schema):
+        ledger = store.read(s, "loaded_files").where("table_name = 'customer_records'").agg(F.count(F.lit(1)).alias("n_files"))
+        return store.read(s, "load_audits").select(
+            "target_catalog", "table_name", F.when(F.col("batch") == "", "load").otherwise("arrival").alias("kind"), "rows").join(ledger)
+
+    return _arrived(spark, d, result, files=60)
 
 
 def anonymized_load(spark, d):
     """PIPE-4: vault tables through the load into anonymized tables, read back."""
-    schema, root = _landed_estate(spark, d)
-    pipelines.load_vault(spark, root=root, num_bits=ORACLE_BITS, schemas=[schema], keys=_unwrapped_global(spark))
-    pipelines.load_anonymized(spark, root=root, schemas=[schema])
-    return spark.table(f"anonymized__{schema}.customer_records")
+    def result(s, schema, root):
+        pipelines.load_anonymized(s, root=root, schemas=[schema])
+        return s.table(f"anonymized__{schema}.customer_records")
+
+    return _of_estate(spark, d, result, vault=True)
 
 
 def masked_view(spark, d):
     """GOV-6: the view that the vault load made, through the SQL mask functions, as a user outside the group."""
-    return spark.table(f"vault__{_loaded_estate(spark, d)}.{pipelines.masked_view_name('customer_records')}")
+    return _of_estate(spark, d, lambda s, schema, root: s.table(
+        f"vault__{schema}.{pipelines.masked_view_name('customer_records')}"), vault=True)
 
 
 def vault_tags(spark, d):
     """GOV-2 as loaded: the tags that the vault load recorded for its tables."""
-    schema = _loaded_estate(spark, d)
-    return store.read(spark, store.tags_of("vault")).where(F.col("schema_name") == schema).select(
-        "table_name", "column_name", "tag_name", "tag_value")
+    return _of_estate(spark, d, lambda s, schema, root: store.read(s, store.tags_of("vault")).where(
+        F.col("schema_name") == schema).select("table_name", "column_name", "tag_name", "tag_value"), vault=True)
 
 
 def incremental_load(spark, d):
@@ -442,4 +491,5 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anonymized_load": anonymized_load,
     "incremental_load": incremental_load,
     "arrivals_load": arrivals_load,
+    "arrivals_audit": arrivals_audit,
 }

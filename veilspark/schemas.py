@@ -103,12 +103,18 @@ LOADS = T.StructType(
     + [T.StructField("loaded_at", T.TimestampType(), True)]
 )
 
-# Files of source tables that a completed load has read; part: the partition's values as JSON.
+# Files of source tables that a completed load has read; part: the partition's folders.
 LOADED_FILES = T.StructType(
     _s("source_catalog", "schema_name", "table_name", "part", "path")
     + [T.StructField("bytes", T.LongType(), True), T.StructField("modified", T.TimestampType(), True)]
 )
 
+# Rows that an audited write has put into a table; batch: empty for a whole load.
+LOAD_AUDITS = T.StructType(
+    _s("target_catalog", "schema_name", "table_name", "batch")
+    + [T.StructField("rows", T.LongType(), True), T.StructField("written_at", T.TimestampType(), True)]
+)
+
 # Columns that may not hold NULL (parquet tables don't keep that).
 NOT_NULL = T.StructType(_s("catalog_name", "schema_name", "table_name", "column_name"))
 
