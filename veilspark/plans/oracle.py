@@ -268,4 +268,22 @@ ORACLE_SQL: dict[str, str] = {
        union all select 'vault', 'customer_records', 'arrival', late from c
        union all select x, 'order_records', 'load', n from o, (values ('vault'), ('anonymized')) as l(x))
  select a.*, cast(61 as bigint) as n_files from a""",
+    "hash_join_pruned": f"""with p as ({PII})
+ select o_orderkey, {_hash('ssn')} as cust_ssn_hash, id
+ from (select o_orderkey, {_ssn_sql('o_custkey')} as cust_ssn from orders) o join p on p.ssn = o.cust_ssn where id % 100 = 0""",
+    "hash_joinability": f"""with p as ({PII}),
+ o as (select {_ssn_sql('o_custkey')} as ssn from orders),
+ h as (""" + " union ".join(
+        f"select 'customer_records' as t, {_q(c + '_hash')} as c, {_q(t)} as typ, {_hash(c)} as h from p" for c, _, t in SENSITIVE_COLUMNS) + f"""
+  union select 'order_records', 'cust_ssn_hash', 'ssn', {_hash('ssn')} from o
+  union select 'wrong_records', 'ssn_hash', 'ssn', sha256('other' || ssn) from p),
+ s as (select distinct * from h where h < '4'),
+ n as (select t, c, typ, 4 * count(*) as n from s group by t, c, typ),
+ k as (select a.t as at, a.c as ac, b.t as bt, b.c as bc, 4 * count(*) as common from s a join s b on a.h = b.h and (a.t, a.c) < (b.t, b.c)
+       group by a.t, a.c, b.t, b.c)
+ select a.t as left_table, a.c as left_column, b.t as right_table, b.c as right_column, a.n as left_distinct, b.n as right_distinct,
+  coalesce(common, 0) as common, coalesce(common, 0)::double / least(a.n, b.n) as containment,
+  coalesce(common, 0) = 0 and a.typ = b.typ as suspect
+ from n a join n b on (a.t, a.c) < (b.t, b.c) left join k on k.at = a.t and k.ac = a.c and k.bt = b.t and k.bc = b.c
+ where a.typ = b.typ or common > 0""",
 }

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from veilspark.functions import masks as M
 from veilspark.functions.crypto import unwrap, wrap
 from veilspark.operators import classify, keys, plan
-from veilspark.operators.joins import join_on_hash, lookup_on_hash
+from veilspark.functions.hashing import hash_column_name
+from veilspark.operators.joins import join_on_hash, lookup_on_hash, prune_by_hash
+from veilspark.operators.profile import joinability, sampled_hashes
 from veilspark.operators.protect import (
     add_hashes,
     hash_projection,
@@ -38,6 +40,7 @@ from veilspark.sources.manifest import read_manifest
 ORACLE_BITS = 256
 ROTATION_AS_OF = "2025-06-01 00:00:00"
 KEY_CREATED_AT = "2026-01-01 00:00:00"
+HALVINGS = 2  # of the sample that hash_joinability takes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -311,6 +314,31 @@ def hash_join_rows(spark, d):
     return _of_estate(spark, d, result, vault=True)
 
 
+def hash_join_pruned(spark, d):
+    """JN-9 with few matches: orders of one customer in a hundred, pruned by their hashes before the shuffle."""
+    def result(s, schema, root):
+        orders = s.table(f"vault__{schema}.order_records").select("o_orderkey", "cust_ssn_hash")
+        few = s.table(f"vault__{schema}.customer_records").where("id % 100 = 0").select("id", "ssn_hash")
+        return join_on_hash(prune_by_hash(orders, few, "cust_ssn_hash", "ssn_hash"), few, "cust_ssn_hash", "ssn_hash")
+
+    return _of_estate(spark, d, result, vault=True)
+
+
+def hash_joinability(spark, d):
+    """HSH-3: which hash columns of the vault share values. Customers hashed once more with another
+    salt stand for a table that was loaded with a wrong key."""
+    def result(s, schema, root):
+        customers = s.table(f"vault__{schema}.customer_records")
+        types = {hash_column_name(c): t for c, _, t in fx.SENSITIVE_COLUMNS}
+        wrong = customers.select(F.sha2(F.concat(F.lit("other"), "ssn"), ORACLE_BITS).alias("ssn_hash"))
+        samples = sampled_hashes(customers, "customer_records", types, HALVINGS).unionByName(
+            sampled_hashes(s.table(f"vault__{schema}.order_records"), "order_records", {"cust_ssn_hash": "ssn"}, HALVINGS)).unionByName(
+            sampled_hashes(wrong, "wrong_records", {"ssn_hash": "ssn"}, HALVINGS))
+        return joinability(samples, HALVINGS)
+
+    return _of_estate(spark, d, result, vault=True)
+
+
 # --------------------------------------------------------------------------- layers
 
 def _sample_tags(spark, catalog: str, schema: str, table_name: str) -> DataFrame:
@@ -484,6 +512,8 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_interleave": hash_interleave,
     "hash_join": hash_join,
     "hash_join_rows": hash_join_rows,
+    "hash_join_pruned": hash_join_pruned,
+    "hash_joinability": hash_joinability,
     "masked_view": masked_view,
     "propagate_tags": propagate_tags,
     "vault_load": vault_load,
