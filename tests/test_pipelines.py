@@ -485,3 +485,37 @@ def test_loads_leave_no_scratch(spark, estate):
     PL.load_anonymized(spark, schemas=["tidy"])
     assert AR.load_arrivals(spark, schemas=["tidy"]) == []
     assert Files(spark).names(root) == before
+
+
+def test_load_queries_leave_no_estates(spark, estate, sf_small):
+    """Registered load queries drop their databases, records and files; only their result stays, and a sweep takes that."""
+    from veilspark.plans.workloads import WORKLOADS
+    from veilspark.session import SCRATCH, sweep
+
+    def state():
+        return sorted(d.name for d in spark.catalog.listDatabases()), {x: store.read(spark, x).count() for x in ("loads", "loaded_files", "key_registry", "column_tags")}
+
+    root, before = f"{shared_dir(spark)}/{SCRATCH}", state()
+    files = set(Files(spark).names(root))
+    out = WORKLOADS["anonymized_load"](spark, sf_small)
+    assert out.count() == 150 and state() == before
+    assert [x.split("-")[0] for x in set(Files(spark).names(root)) - files] == ["result"]
+    assert "scope" not in {x.split("-")[0] for x in Files(spark).names(root)}
+    sweep(spark, unscoped_older_than=-60)
+    assert Files(spark).names(root) == []
+
+
+def test_a_killed_run_is_swept(spark):
+    from veilspark.session import ScratchScope, frozen, sweep
+
+    scope = ScratchScope(spark, ttl=1.0)
+    scope.__enter__()
+    assert frozen(spark.range(3), "left").count() == 3
+    assert sweep(spark) == []  # its lease is renewed
+    scope._done.set()  # as if the driver were gone
+    scope._thread.join()
+    import time
+
+    time.sleep(1.2)
+    assert sweep(spark) == [scope.root.rsplit("/", 1)[1]] and not Files(spark).exists(scope.root)
+    scope.__exit__()
