@@ -162,3 +162,26 @@ def test_not_null_enforced_in_projection(spark):
         hash_projection(df, tp, None, 512).collect()
     ok = TablePlan("landing", "s", "t", [ColumnPlan("v", nullable=True, position=1)])
     assert hash_projection(df, ok, None, 512).count() == 2
+
+
+def test_broken_manifests_are_set_aside(spark, tmp_path):
+    from veilspark.sources.manifest import NO_JSON, WRONG_LAYOUT, read_documents, split_manifests
+
+    tag = {"attribute_name": "a", "tags": {"sensitivity_type": "ssn", "none": None}}
+    good = {"schemas": [{"schema_name": "s", "tables": [{"table_name": "t", "attributes": [tag]}]}]}
+    docs = {
+        "one": json.dumps(good, indent=2), "many": json.dumps([good, good]), "nothing": json.dumps([]), "no tags": json.dumps(
+            {"schemas": [{"schema_name": "s", "tables": [{"table_name": "t", "attributes": [{"attribute_name": "b"}]}]}]}),
+        "cut": json.dumps(good)[:-1], "empty": " \n", "text": "hello", "number": "5", "other": json.dumps({"scheme": []}),
+        "mixed": json.dumps([good, {"scheme": []}]), "deep": json.dumps({"schemas": [{"schema_name": "s", "tables": 5}]}),
+        "deeper": json.dumps({"schemas": [{"schema_name": "s", "tables": [{"table_name": "t", "attributes": [{"attribute_name": "a", "tags": [1]}]}]}]}),
+    }
+    for name, text in docs.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    manifests, rejects = split_manifests(read_documents(spark, str(tmp_path)))
+    reasons = {r.path.rsplit("/", 1)[1].replace("%20", " ")[:-5]: r.reason for r in rejects.collect()}
+    assert reasons == {"cut": NO_JSON, "empty": NO_JSON, "text": NO_JSON, "number": WRONG_LAYOUT, "other": WRONG_LAYOUT,
+                       "mixed": WRONG_LAYOUT, "deep": WRONG_LAYOUT, "deeper": WRONG_LAYOUT}
+    assert manifests.count() == 4
+    tags = C.flatten_manifest(manifests)
+    assert [tuple(r) for r in tags.distinct().collect()] == [("s", "t", "a", "sensitivity_type", "ssn")] and tags.count() == 3

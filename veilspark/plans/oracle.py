@@ -162,6 +162,13 @@ ORACLE_SQL: dict[str, str] = {
  union all select * from (""" + _estate(
         "select 'landing', schema_name, table_name, col.c, col.dt, col.nl, cast(col.pos as integer) from pc",
         f"pc as (select k, schema_name, table_name, unnest({_COLS_LIST}) as col from t)") + ")",
+    "manifest_quarantine": _estate(
+        "select document_sha256, reason, n_tags from bad, (select (select count(*) from m) + 2 * (select count(*) from t where k%11=0) as n_tags) as n",
+        MANIFEST_CLEAN,
+        "bad as (select sha256('{\"schemas\": [tenant ' || c_custkey) as document_sha256, 'not JSON' as reason from customer where c_custkey%10=0 "
+        "union all select sha256('{\"schemas\": \"none\", \"tenant\": ' || c_custkey || '}'), 'not the layout of a manifest' from customer where c_custkey%10=1 "
+        "union all select sha256('{\"schemas\": [{\"schema_name\": \"s' || c_custkey || '\", \"tables\": 5}]}'), 'not the layout of a manifest' "
+        "from customer where c_custkey%10=2)"),
     "manifest_flatten": _estate(
         "select schema_name, table_name, column_name, tag_name, tag_value from m "
         "union all select schema_name, table_name, 'nickname', 'sensitivity_category', 'pii' from t where k%11=0 "

@@ -33,13 +33,14 @@ from veilspark.session import ScratchScope, frozen, scratch_path
 from veilspark.sources import fixtures as fx
 from veilspark.sources.catalog import frames_column_catalog
 from veilspark.sources.local import local_frame
-from veilspark.sources.manifest import read_manifest
+from veilspark.sources.manifest import read_documents, read_manifest, split_manifests
 
 # Hash width of the registered workloads: DuckDB, the oracle, has SHA-256
 # but no SHA-512. The library default (and the benchmark) is 512.
 ORACLE_BITS = 256
 ROTATION_AS_OF = "2025-06-01 00:00:00"
 KEY_CREATED_AT = "2026-01-01 00:00:00"
+MANIFESTS_A_FILE = 64
 HALVINGS = 2  # of the sample that hash_joinability takes
 
 
@@ -90,14 +91,27 @@ def manifest_flatten(spark, d):
     """SRC-2: the tenants' manifests as JSON files, read back and flattened."""
     path = scratch_path(spark, "manifests")
     docs = fx.estate_manifest(_customer(spark, d)).select(F.to_json(F.struct("schemas")).alias("doc"))
-    some = docs.groupBy(F.pmod(F.xxhash64("doc"), F.lit(shuffle_files(spark))).alias("file")).agg(F.collect_list("doc").alias("docs"))
+    files = max(1, -(-docs.count() // MANIFESTS_A_FILE))  # the number of files grows, not their size
+    some = docs.groupBy(F.pmod(F.xxhash64("doc"), F.lit(files)).alias("file")).agg(F.collect_list("doc").alias("docs"))
     some.select(F.concat(F.lit("["), F.array_join("docs", ",\n"), F.lit("]")).alias("value")).repartition("value").write.option(
         "maxRecordsPerFile", 1).text(path)  # a file is one multi-line document, here an array of them
     return classify.flatten_manifest(read_manifest(spark, path))
 
 
-def shuffle_files(spark) -> int:
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def manifest_quarantine(spark, d):
+    """SRC-2: manifests with broken ones among them; the good ones' tags are counted, the others set aside with the reason."""
+    path = scratch_path(spark, "mixed-manifests")
+    c = _customer(spark, d)
+    good = fx.estate_manifest(c).select(F.to_json(F.struct("schemas")).alias("value"))
+    k = F.col("c_custkey").cast("string")
+    broken = c.select(F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit('{"schemas": [tenant '), k))
+                      .when(F.col("c_custkey") % 10 == 1, F.concat(F.lit('{"schemas": "none", "tenant": '), k, F.lit("}")))
+                      .when(F.col("c_custkey") % 10 == 2, F.concat(F.lit('{"schemas": [{"schema_name": "s'), k, F.lit('", "tables": 5}]}')))
+                      .alias("value")).where("value IS NOT NULL")
+    good.unionByName(broken).write.text(path)
+    manifests, rejects = split_manifests(read_documents(spark, path, lines=True))
+    tags = classify.flatten_manifest(manifests).agg(F.count(F.lit(1)).alias("n_tags"))
+    return rejects.select(F.sha2("document", 256).alias("document_sha256"), "reason").join(tags)
 
 
 def manifest_mismatch(spark, d):
@@ -490,6 +504,7 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "synthetic_pii": synthetic_pii,
     "column_catalog": column_catalog,
     "manifest_flatten": manifest_flatten,
+    "manifest_quarantine": manifest_quarantine,
     "manifest_mismatch": manifest_mismatch,
     "missing_tags": missing_tags,
     "apply_tags": apply_tags,
