@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, one by one and end to end; and the registration."""
 
+import random
 import corpus_pipeline as C
 import pytest
 from helpers import empty, frame, mixed_docs, words
@@ -89,3 +90,18 @@ def test_oracles(spark, sf_small, name):
 
     found = compare(spark, sf_small, [name])[name]
     assert found.get("hash_match") and found.get("types_match"), found
+
+
+def test_equal_row_hashes_lose_no_document(spark, monkeypatch):
+    """Documents of different ids whose 64-bit hashes are forced to be equal: each is judged by itself."""
+    from pyspark.sql import functions as F
+
+    from veilspark.llm import langid, simhash
+
+    rows = [(i, words(random.Random(i), 60), "en", "src0") for i in range(20)] + [(100, "77 88", "en", "src0"), (101, "", "en", "src0")]
+    docs = frame(spark, rows)
+    real = F.xxhash64
+    same = lambda *c: F.lit(7).cast("long") if len(c) == 2 and c[1] == "text" else real(*c)
+    monkeypatch.setattr(langid.F, "xxhash64", same)
+    assert sorted(r["doc_id"] for r in langid.keep_identified(docs).collect()) == list(range(20))
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs.filter("doc_id < 100")).collect()) == list(range(20))

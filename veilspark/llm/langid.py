@@ -231,11 +231,12 @@ def _small(counts: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that ``identify`` keeps, unchanged."""
-    rejected = written(identify(docs).filter("not keep").select("row_key").distinct(), "rejected")
+    rejected = written(identify(docs).filter("not keep").select(F.col("id").alias("_id"), F.col("row_key").alias("_key")).distinct(), "rejected")
     n = rejected.count()
-    frame = packed(docs, id="doc_id long", text="text string").select(F.xxhash64("id", "text").alias("row_key"), ROW)
+    frame = packed(docs, id="doc_id long", text="text string").select("id", F.xxhash64("id", "text").alias("row_key"), ROW)
     # few are rejected: sent to all tasks if they are, else by a join that shuffles
-    return unpacked(frame.join(F.broadcast(rejected) if n <= MAX_BROADCAST else rejected, "row_key", "left_anti"), docs)
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key"))  # hashes tell rows of one id apart, not documents
+    return unpacked(frame.join(F.broadcast(rejected) if n <= MAX_BROADCAST else rejected, same, "left_anti"), docs)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -213,10 +213,12 @@ def keep_one(docs: DataFrame, k: int = 4, d: int = 4) -> DataFrame:
     doc_id (null last; among equal ids the smallest row hash)."""
     found = near_duplicates(docs, k, d)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    best = found.groupBy("root").agg(F.min(order).alias("best")).select(F.col("best.row_key").alias("row_key"))
+    best = found.groupBy("root").agg(F.min(order).alias("best")).select(
+        F.col("best.doc_id").alias("_id"), F.col("best.row_key").alias("_key"))
     frame = packed(docs, doc_id="doc_id long", text="text string").select(
-        F.xxhash64("doc_id", "text").alias("row_key"), ROW)
-    kept = frame.join(best, "row_key", "left_semi").dropDuplicates(["row_key"])
+        "doc_id", F.xxhash64("doc_id", "text").alias("row_key"), ROW)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key"))  # hashes tell rows of one id apart, not documents
+    kept = frame.join(best, same, "left_semi").dropDuplicates(["doc_id", "row_key"])
     return unpacked(kept, docs)
 
 
