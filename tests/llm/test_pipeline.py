@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force, one by one and end to end; and the registration."""
 
 import random
+
 import corpus_pipeline as C
 import pytest
 from helpers import empty, frame, mixed_docs, words
