@@ -66,3 +66,95 @@ def test_threshold():
 
 def test_empty(spark):
     assert S.scan(empty(spark)).count() == 0
+
+
+ALPHABETS = {"hex": HEX, "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": B64, "letters": B64[:52]}
+SYLLABLES = ["keit", "lich", "ung", "heit", "ver", "schein", "ing", "tion", "pro", "con", "ment", "able", "ter", "ra", "lo", "mi", "sa", "de"]
+
+
+def names(seed, of):
+    """Kebab, path, snake and camel case, words, names with a number; 20 to 80 characters."""
+    rnd, out = random.Random(seed), []
+    while len(out) < of:
+        w = ["".join(rnd.choice(SYLLABLES) for _ in range(rnd.randrange(1, 4))) for _ in range(rnd.randrange(3, 9))]
+        t = ("-".join(w), "/" + "/".join(w), "_".join(w), w[0] + "".join(x.capitalize() for x in w[1:]), "".join(w),
+             f"{'-'.join(w)}-{rnd.randrange(10000)}")[rnd.randrange(6)]
+        if 20 <= len(t) <= 80:
+            out.append(t)
+    return out
+
+
+def histogram(found):
+    rows = {}
+    for t in found:
+        at = (S.cell(t), S.score_bin(t))
+        rows[at] = rows.get(at, 0) + 1
+    return [(c, b, n) for (c, b), n in rows.items()]
+
+
+# where a length allows a recall of 0.9, by share of secrets; others may find less
+REACHED = {0.001: {("hex", 40), ("base32", 40), ("base64", 40), ("letters", 64)},
+           0.01: {("hex", 20), ("base32", 20), ("base64", 40), ("letters", 64)},
+           0.1: {("hex", 20), ("base32", 20), ("base64", 32), ("letters", 40)}}
+
+
+def test_recall_and_false_finds_at_real_rates():
+    ordinary = names(11, 30_000) + ["-" * 40] * 15_000 + ["=" * 72] * 9_000 + ["0" * 32] * 1_500
+    at = [(S.cell(t), S.score_bin(t)) for t in ordinary]
+    counted = histogram(ordinary)
+    for rate, reached in REACHED.items():
+        for name, alphabet in ALPHABETS.items():
+            for n in (20, 24, 32, 40, 64):
+                secret = tokens(n, alphabet, n, int(30_000 * rate))
+                told = S.null_model(counted + histogram(secret))
+                hits = sum(S.score_bin(t) < told.get(S.cell(t), 0) for t in secret)
+                wrong = sum(b < told.get(c, 0) for c, b in at)
+                assert wrong <= S.FDR * hits, (rate, name, n, wrong)
+                if any(name == k and n >= least for k, least in reached):
+                    assert hits >= 0.9 * len(secret), (rate, name, n, hits)
+
+
+def plain_battery(token):
+    """The three tests by their definitions, in exact loops; z-values instead of p-values for the last two."""
+    token = token.rstrip("=").translate(str.maketrans("-_=", "+//"))
+    alphabet = S.ALPHABETS[S.encoding(token)]
+    n, k = len(token), len(alphabet)
+    chi = sum((token.count(c) - n / k) ** 2 / (n / k) for c in alphabet)
+
+    def of(c):
+        if S.encoding(token) == "lower":
+            return c in "aeiou"
+        return "digit" if c in "0123456789" else "lower" if c in S._LOWER else "upper" if c in S._UPPER else "sign"
+    shares = [sum(of(c) == g for c in alphabet) / k for g in sorted({of(c) for c in alphabet})]
+    change = sum(p * q for i, p in enumerate(shares) for j, q in enumerate(shares) if i != j)
+    both = sum(p * q * r for i, p in enumerate(shares) for j, q in enumerate(shares) for m, r in enumerate(shares) if i != j and j != m)
+    var = (n - 1) * change * (1 - change) + 2 * (n - 2) * (both - change ** 2)
+    runs = abs(sum(of(a) != of(b) for a, b in zip(token, token[1:], strict=False)) - (n - 1) * change) / var ** 0.5
+    x = [alphabet.index(c) for c in token]
+    mean = sum(x) / n
+    r = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:], strict=False)) / sum((a - mean) ** 2 for a in x)
+    df = k - 1
+    z = ((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
+    tail = [S._log_tail(z)] + [min(0.0, S._log_tail(v) + 0.30102999566398) for v in (runs, abs(r + 1 / n) * n ** 0.5)]
+    return sum(tail)
+
+
+def test_battery_by_definition():
+    for t in names(3, 60) + [t for i, a in enumerate(ALPHABETS.values()) for t in tokens(i, a, 33, 10)] + ["ab-_/=cd" * 5, "x1" * 30]:
+        assert abs(S.battery(t) - plain_battery(t)) < 1e-6 * (1 + abs(plain_battery(t))), t
+    assert S.battery("ab" * 50_000) < S.battery("ab" * 500) < S.battery("ab" * 20) < -20  # no floor
+
+
+def test_spans_of_the_battery_match_brute_force(spark):
+    rows = mixed_docs() + [(1000 + i, f"é {t}\n({t}) {'x' * 15}", "en", "s") for i, t in enumerate(names(5, 500))]
+    rows += [(5000 + i, f"日本 {t}, then {t}=", "en", "s") for i, t in enumerate(tokens(4, B64, 48, 5) + tokens(6, HEX, 40, 5) + tokens(7, B64[:52], 64, 3))]
+    rows += [(6000, " ".join(names(8, 300) + tokens(9, B64, 44, 1)) * 20, "en", "s"), (6001, "a" * 50_000, "en", "s")]
+    held = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+    found = [(t, m.start(), m.end(), m[0]) for t in [r[1] or "" for r in rows] for m in held.finditer(t)]
+    told = S.null_model(histogram([x[3] for x in found]))
+    want = sorted((str(i), ",".join(f"random:{m.start()}:{m.end()}" for m in held.finditer(t or "") if S.score_bin(m[0]) < told.get(S.cell(m[0]), 0)))
+                  for i, t, *_ in rows)
+    got = S.scan(frame(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), ",".join(x for x in r["spans"].split(",") if x.startswith("random"))) for r in got) == want
+    assert sum(bool(s) for i, s in want if i != "None" and 5000 <= int(i) < 6000) >= 0.9 * 13
+    assert not any(s for i, s in want if i != "None" and 1000 <= int(i) < 5000)
