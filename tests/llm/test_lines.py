@@ -6,6 +6,7 @@ import pytest
 from helpers import empty, frame, mixed_docs
 from pyspark.sql import functions as F
 
+from veilspark.llm import common as C
 from veilspark.llm import lines as L
 
 
@@ -46,6 +47,16 @@ def test_stage_keeps_columns_and_drops_lines(spark):
     assert all(r["n_chars"] == len(r["text"]) and r["key"] == "k" for r in out.collect())
 
 
+def test_groups_follow_the_bytes(spark):
+    rows = mixed_docs()
+    one, ten = frame(spark, rows), frame(spark, rows * 10)
+    few = C.text_groups(one, "text", 100)
+    assert 9.9 * few < C.text_groups(ten, "text", 100) <= 10 * few
+    assert C.text_groups(one, "text") == C.text_groups(empty(spark), "text") == 8 * C.shuffle_partitions(spark)
+    got = [sorted(map(tuple, L.dedup_lines(one, 10, group_bytes=b).select("n_lines", "n_dropped", "kept").collect())) for b in (200, 1 << 30)]
+    assert got[0] == got[1]
+
+
 def test_empty_table(spark):
     assert L.dedup_lines(empty(spark)).count() == 0
 

@@ -55,6 +55,12 @@ def test_every_alignment_and_edge(spark):
     assert 0 < sum(r[2] > 0 for r in got) < len(got)
 
 
+def test_result_does_not_depend_on_the_groups(spark):
+    docs = frame(spark, mixed_docs())
+    got = [sorted(map(repr, S.remove_repeats(docs, group_bytes=b).collect())) for b in (500, 1 << 30)]
+    assert got[0] == got[1]
+
+
 def test_other_length_and_empty(spark):
     assert run(spark, mixed_docs(7), 25) == brute(mixed_docs(7), 25)
     assert S.remove_repeats(empty(spark)).count() == 0

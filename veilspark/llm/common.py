@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from veilspark.session import scratch_path
 
 ROW = "_row"
+GROUP_BYTES, ROW_BYTES = 64 << 20, 64  # texts of a group; what a row adds to them
 WHITE = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,6 +90,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_groups(docs: DataFrame, text_col: str, group_bytes: int = GROUP_BYTES) -> int:
+    """Into how many groups rows are dealt where a group is held whole: as many as keep one near ``group_bytes``
+    of text, however large the input, and enough to occupy all tasks."""
+    total = pick(docs, text=f"{text_col} string").agg(
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES)).first()[0] or 0
+    return groups(total, group_bytes, 8 * shuffle_partitions(docs.sparkSession))
+
+
+def groups(total: int, target: int, least: int) -> int:
+    return max(least, -(-total // target))
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

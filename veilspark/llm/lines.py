@@ -19,6 +19,9 @@ Skew: keys are counted with map-side combining, shards hold distinct keys only,
 and the join of a document's lines with the dropped keys is one that adaptive
 execution can split, so a line that every third document holds meets in no task.
 
+The groups that a task holds whole, a bucket's documents or a shard's keys, keep their size when the
+input grows: their number follows the bytes of the texts. A text is held whole, however long.
+
 Null text counts as empty text, and an empty text is one empty line. Every input
 row is a document of its own, repeated rows too; null ids are kept.
 """
@@ -35,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import ROW, WHITE, packed, pick, read, shuffle_partitions, unpacked, written
+from veilspark.llm.common import GROUP_BYTES, ROW, WHITE, groups, packed, pick, read, shuffle_partitions, text_groups, unpacked, written
 
 SLOTS, MAX_KICKS, MIN_BUCKETS = 4, 500, 16
+SHARD_KEYS = 4 << 20  # lines of a shard
 _WHITE = WHITE.encode()
 LINES = "bucket int, key binary, n long"
 
@@ -257,12 +261,15 @@ def clean(index: LineIndex, docs: DataFrame, lines: DataFrame, n_buckets: int,
         _cleaned, f"{ROW} {kind}, n_lines long, n_dropped long, kept binary")
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Indexes all documents, then cleans them: see ``clean`` for the result."""
+def dedup_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """Indexes all documents, then cleans them: see ``clean`` for the result. The number of buckets of documents
+    follows the bytes of all texts, that of shards the number of lines."""
     spark = docs.sparkSession
-    n_buckets = 8 * shuffle_partitions(spark)
+    n_buckets = text_groups(docs, text_col, group_bytes)
     lines = written(line_table(docs, n_buckets, id_col, text_col), "lines")
-    index = insert(empty_index(spark, min_docs), lines)
+    n_shards = groups(lines.count(), SHARD_KEYS, 4 * shuffle_partitions(spark))
+    index = insert(empty_index(spark, min_docs, n_shards), lines)
     return clean(index, docs, lines, n_buckets, id_col, text_col)
 
 

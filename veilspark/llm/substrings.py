@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm.common import pick, read, release_shuffles, shuffle_partitions, written
+from veilspark.llm.common import GROUP_BYTES, pick, read, release_shuffles, shuffle_partitions, text_groups, written
 
 LENGTH = 35
 #: A perfect difference set: any difference modulo 21 is one of two members.
@@ -295,12 +295,16 @@ def _finished(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): kept is the SHA-256 of the words left, joined by one space."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                   group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept): kept is the SHA-256 of the words left, joined by one space.
+
+    The number of buckets of documents, each of which a task holds whole, follows the bytes of all texts.
+    A text is held whole, however long."""
     if length < PERIOD:
         raise ValueError(f"windows need {PERIOD} words at least")
     spark = docs.sparkSession
-    marked = _mark(docs, length, id_col, text_col)
+    marked = _mark(docs, length, id_col, text_col, group_bytes)
     release_shuffles(spark)
     windows = marked.filter("h1 is not null").select("bucket", "h1", "h2", "flags").mapInArrow(_windows, "h1 long, h2 int, who int")
     repeated = windows.repartition(shuffle_partitions(spark), "h1", "h2").sortWithinPartitions("h1", "h2").mapInArrow(
@@ -310,10 +314,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     return marked.filter("kept is not null").select("doc_id", "n_words", "n_removed", "kept").unionAll(later)
 
 
-def _mark(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
+def _mark(docs: DataFrame, length: int, id_col: str, text_col: str, group_bytes: int) -> DataFrame:
     """Steps 1 and 2 up to the windows' hashes, written."""
     spark = docs.sparkSession
-    n_buckets = 8 * shuffle_partitions(spark)
+    n_buckets = text_groups(docs, text_col, group_bytes)
     frame = pick(docs, doc_id=f"{id_col} long", text=f"{text_col} string").select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_buckets)).cast("int").alias("bucket"), "doc_id",
         F.col("text").cast("binary").alias("text"))
