@@ -263,6 +263,11 @@ ORACLE_SQL: dict[str, str] = {
  select table_name, column_name, 'sensitivity_category' as tag_name, cat as tag_value from h
  union all select table_name, column_name, 'sensitivity_type', typ from h
  union all select table_name, column_name, 'derived', 'hash' from h where h""",
+    "tag_log": _estate(
+        "select catalog_name, schema_name, table_name, column_name, tag_name, case when column_name='bank_name' then null "
+        "when column_name='dob' and tag_name='sensitivity_category' then 'pii' else tag_value end as tag_value from have "
+        "union all select catalog_name, schema_name, table_name, column_name, 'reviewed', tag_value from have "
+        "where column_name='dob' and tag_name='sensitivity_type'", EXISTING_TAGS),
     "masked_view": ANONYMIZED,
     "vault_load": VAULT,
     "anonymized_load": ANONYMIZED,

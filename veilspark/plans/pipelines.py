@@ -43,7 +43,7 @@ class ClassifyResult:
     mismatches: DataFrame  # (schema_name, table_name, column_name, reason), frozen
     mismatch_count: int
     applied: int           # number of tags written (0 if gated)
-    version: int | None    # new column_tags version, if any
+    batch: str | None      # of the changed tags in the layer's log, if any
 
 
 def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDING,
@@ -52,8 +52,8 @@ def classify(spark: SparkSession, manifest_path: str, catalog_name: str = LANDIN
 
     The manifest is read once and frozen. The mismatch report is returned
     whole as a frame in the shared folder (in the caller's scope), never
-    collected. A new version of the layer's tags is published only if a tag
-    changes, so a repeated run applies 0. Two values for one tag raise.
+    collected. Only tags that are new or change are written, as one batch of the layer's
+    log, so a repeated run applies 0. Two values for one tag raise.
     """
     shared_dir(spark)
     report = scratch_path(spark, "mismatches")  # the caller's: outlives this function's scope
@@ -73,11 +73,11 @@ def _classify(spark: SparkSession, manifest_path: str, catalog_name: str, schema
     if n_mismatch:
         return ClassifyResult(mismatch, n_mismatch, 0, None)
     tags = store.read(spark, store.tags_of(catalog_name))
-    missing = C.missing_tags(manifest, tags, catalog_name).count()
-    if missing == 0:
+    missing = frozen(C.missing_tags(manifest, tags, catalog_name), "missing-tags")
+    applied = missing.count()
+    if applied == 0:
         return ClassifyResult(mismatch, 0, 0, None)
-    merged = C.apply_tags(manifest, cols, tags, catalog_name)
-    return ClassifyResult(mismatch, 0, missing, store.publish(merged, store.tags_of(catalog_name)))
+    return ClassifyResult(mismatch, 0, applied, store.append_tags(missing.withColumn("catalog_name", F.lit(catalog_name)), catalog_name))
 
 
 # --------------------------------------------------------------------------- keys
@@ -210,13 +210,8 @@ def record_audits(spark: SparkSession, rows: list[tuple[str, str, str, str, int]
 
 
 def _publish_tags(tags: DataFrame, layer: str) -> None:
-    """The layer's tags, those of ``tags`` in place of older ones of the same column and name."""
-    spark = tags.sparkSession
-    cols = [f.name for f in S.COLUMN_TAGS.fields]
-    keys = cols[:-1]
-    new = tags.select(*cols).distinct()
-    kept = store.read(spark, store.tags_of(layer)).join(new.select(*keys).distinct(), keys, "left_anti")
-    store.publish(kept.select(*cols).unionByName(new), store.tags_of(layer))
+    """The layer's tags, those of ``tags`` in place of older ones of the same column and name; only these are written."""
+    store.append_tags(tags, layer)
 
 
 def _chunks(it: Iterator[TablePlan], size: int) -> Iterator[list[TablePlan]]:

@@ -482,6 +482,26 @@ def vault_tags(spark, d):
         F.col("schema_name") == schema).select("table_name", "column_name", "tag_name", "tag_value"), vault=True)
 
 
+def tag_log(spark, d):
+    """GOV-1, GOV-2: recorded tags, then two changes, as batches of the log, with compactions between
+    and after them; the tags that count in the end."""
+    out = scratch_path(spark, "result")
+    with ScratchScope(spark):
+        s = _own_session(spark, f"core_q{uuid.uuid4().hex[:12]}")
+        try:
+            store.ensure_core(s, scratch_path(spark, "core"))
+            tags = fx.estate_column_tags(_customer(s, d))
+            store.append_tags(tags, "landing")
+            store.compact_tags(s, "landing")
+            store.append_tags(tags.where("column_name = 'dob' and tag_value = 'pci'").withColumn("tag_value", F.lit("pii")), "landing")
+            store.append_tags(tags.where("column_name = 'bank_name'").withColumn("tag_value", F.lit(None).cast("string")), "landing")
+            store.compact_tags(s, "landing")
+            store.append_tags(tags.where("column_name = 'dob' and tag_value = 'dob'").withColumn("tag_name", F.lit("reviewed")), "landing")
+            return _left(store.read(s, store.tags_of("landing")), out, spark)
+        finally:
+            s.sql(f"DROP DATABASE IF EXISTS `{store.core(s)}` CASCADE")
+
+
 def incremental_load(spark, d):
     """STR-1: protect new landing files with Structured Streaming, read the result back."""
     from veilspark.streaming.incremental import protect_stream
@@ -533,6 +553,7 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "propagate_tags": propagate_tags,
     "vault_load": vault_load,
     "vault_tags": vault_tags,
+    "tag_log": tag_log,
     "anonymized_load": anonymized_load,
     "incremental_load": incremental_load,
     "arrivals_load": arrivals_load,

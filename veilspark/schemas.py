@@ -80,6 +80,12 @@ COLUMN_TAGS = T.StructType(
     _s("catalog_name", "schema_name", "table_name", "column_name", "tag_name", "tag_value")
 )
 
+# Tags as they are stored: with the batch of changes that they came with.
+TAG_ROWS = T.StructType(COLUMN_TAGS.fields + _s("batch"))
+
+# Batches of tag changes that a version of the tags has taken in.
+TAG_FOLDS = T.StructType(_s("version", "batch"))
+
 KEY_REGISTRY = T.StructType(_s("pci_pii_attribute_name", "kek_name", "dsk_name"))
 
 KEK_VERSIONS = T.StructType(
