@@ -97,6 +97,47 @@ def test_links_of_scaled_copies(spark):
     assert got == brute_links(rows, 0.93)
 
 
+def test_cells_are_split_level_by_level(spark):
+    """Clusters within clusters: more than one level, few vectors in cells that no longer shrink, links as by brute force."""
+    rng = np.random.default_rng(11)
+    x = np.concatenate([c + s * 0.2 + rng.normal(size=(30, 8)) * 0.03 for c in rng.normal(size=(4, 8)) for s in rng.normal(size=(4, 8))])
+    rows = [(i, [float(np.float32(a)) for a in v], 0) for i, v in enumerate(x)]
+    classes = table(spark, rows).selectExpr("cast(label as string) label", "vec_id cid", "1L size", "cast(embedding as array<double>) vec")
+    real, C.MAX_CELLS = C.MAX_CELLS, 4
+    try:
+        celled, levels = C._nested(classes, 16)
+        assert len(levels) > 1 and celled.count() == len(rows) == celled.select("cid").distinct().count()
+        assert sum(n for _, n in celled.groupBy("cell").count().collect() if n > 16) < len(rows) / 10
+        radii = [r.radius for r in (lv.agg(F.max("radius").alias("radius")).first() for lv in levels)]
+        assert radii == sorted(radii, reverse=True)
+        got = sorted((tuple(r) for r in C.link(table(spark, rows), 0.93, 16).collect()), key=str)
+    finally:
+        C.MAX_CELLS = real
+    assert got == brute_links(rows, 0.93)
+
+
+def test_cells_that_do_not_shrink_are_cut(spark):
+    """One direction under many lengths: no centre parts it."""
+    v = np.random.default_rng(12).normal(size=8)
+    rows = [(i, [float(a) for a in v * 2.0 ** (i % 60) * (1 + i // 60)], 0) for i in range(150)]
+    classes = spark.createDataFrame([(str(label), i, 1, w) for i, w, label in rows], "label string, cid long, size long, vec array<double>")
+    celled, levels = C._nested(classes, 16)
+    assert len(levels) == 1 and celled.groupBy("cell").count().count() <= 2
+    found = C.link(classes.selectExpr("cid vec_id", "vec embedding", "label"), 0.93, 16).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(149, 0)}
+
+
+def test_unclustered_vectors_are_multiplied(monkeypatch):
+    """Where nothing is pruned, the work is one product and not a walk over pairs of nodes."""
+    x = np.random.default_rng(13).normal(size=(1024, 16))
+    u, (a, b) = C._unit(x), (C.Tree(x[:512]), C.Tree(x[512:]))
+    calls, real = [], C._distance
+    monkeypatch.setattr(C, "_distance", lambda p, q: calls.append(len(p) * len(q)) or real(p, q))
+    got = set(zip(*(k.tolist() for k in C.traverse(a, b, 0.5, False)), strict=True))
+    assert got == set(zip(*(k.tolist() for k in np.nonzero(u[:512] @ u[512:].T >= 0.5)), strict=True))
+    assert len(calls) < 1000
+
+
 def test_no_vectors(spark):
     assert C.link(table(spark, [])).count() == 0
     assert [tuple(r) for r in C.link(table(spark, [(7, None, 1)])).collect()] == [(7, 0, 7, True)]

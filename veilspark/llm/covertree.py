@@ -3,17 +3,19 @@
 Within a label, unit vectors with cosine >= c are at most t = sqrt(2 - 2c) apart.
 Every label has one tree, of nested levels:
 
-* cells: a few vectors of the label (one for about every ``BLOCK``, at most
-  ``MAX_CELLS``, a bounded sample by hash) are the centres, each vector goes to the nearest;
-* blocks: a cell of more than ``BLOCK`` vectors is cut into blocks;
+* cells: a cell of more than ``BLOCK`` vectors (at first, the label) is split by at most
+  ``MAX_CELLS`` centres, a bounded sample of its vectors by hash; each vector goes to the nearest. Level
+  by level, until a cell holds a block; cells that no longer shrink, neither in vectors nor
+  in radius, are cut into blocks by hash;
 * in a block, a cover tree: a node's children are centres of half its radius that
   cover it (its own centre is the first), down to single vectors; each node
   has the covering radius that its members really need.
 
 Pairs of nodes go down together. A pair whose centres are farther apart than both
-covering radii and t is pruned, whole: at cells, then at blocks (two joins), then inside
-a pair of blocks, where a task has the two trees. What is left are pairs of
-vectors, decided by their cosine in double precision.
+covering radii and t is pruned, whole: at every level of cells and at blocks (by joins), then inside
+a pair of blocks, where a task has the two trees. There, pairs of nodes with few vectors, and
+those whose children can't be told apart any more, end in one product of all their vectors. What is left are
+pairs of vectors, decided by their cosine in double precision.
 
 Equal vectors of a label are one class from the start. From a pair of blocks come the
 number of links of each class and a spanning forest of the links, never all pairs.
@@ -26,6 +28,7 @@ row is a vector of its own, repeated rows too.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -42,6 +45,9 @@ from veilspark.llm.vafile import finite
 THRESHOLD = 0.93
 BLOCK, MAX_CELLS, GROUP = 1024, 64, 8192
 EPS = 1e-6  # room for rounding in the bounds
+SHRUNK = 0.9  # a cell has shrunk if it has so much of its parent's vectors or of its radius, or less
+DENSE, SMALL, LARGE = 1 << 14, 1 << 8, 1 << 22  # products of two nodes' numbers of vectors: see traverse
+PAIRS = 1 << 16  # pairs of vectors looked at together
 FLAT = 1e-7  # vectors as near as this can't be told apart by distances: a node's members are its children
 
 
@@ -63,28 +69,32 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 class Tree:
     """Nodes as arrays: centre (a row of x), covering radius, children first..last; a
-    node without children is its centre alone. Node 0 is the root."""
+    node without children is its centre alone. Node 0 is the root. A node's vectors are
+    the rows order[low:high]."""
 
     def __init__(self, x: np.ndarray, nodes: np.ndarray | None = None):
         self.x, self.unit = x, _unit(x)
         if nodes is None:
             nodes = self._build()
-        self.centre, self.first, self.last = (nodes[:, i].astype(int) for i in (0, 2, 3))
-        self.radius = nodes[:, 1]
+        self.centre, self.first, self.last, self.low, self.high = (nodes[:, i].astype(int) for i in (0, 2, 3, 4, 5))
+        self.radius, self.leaf = nodes[:, 1], self.last == 0
+        self.order = np.empty(len(x), int)
+        self.order[self.low[self.leaf]] = self.centre[self.leaf]
 
     def _build(self) -> np.ndarray:
         start = int(_distance(self.unit, self.unit.mean(0, keepdims=True))[:, 0].argmin())
         d = _distance(self.unit, self.unit[start:start + 1])[:, 0]
-        nodes, members = [[start, float(d.max()), 0, 0]], [np.arange(len(self.x))]
+        nodes, members = [[start, float(d.max()), 0, 0, 0, len(self.x)]], [np.arange(len(self.x))]
         at = 0
         while at < len(nodes):
             own, (centre, radius) = members[at], nodes[at][:2]
             members[at] = None
             if len(own) > 1:
-                nodes[at][2] = len(nodes)
+                nodes[at][2], low = len(nodes), nodes[at][4]
                 for c, r, group in self._net(own, centre, radius / 2):
-                    nodes.append([c, r, 0, 0])
+                    nodes.append([c, r, 0, 0, low, low + len(group)])
                     members.append(group)
+                    low += len(group)
                 nodes[at][3] = len(nodes)
             at += 1
         return np.array(nodes, float)
@@ -113,7 +123,10 @@ class Tree:
         return np.arange(self.first[node], self.last[node]) if self.last[node] else np.array([node])
 
     def nodes(self) -> np.ndarray:
-        return np.column_stack([self.centre, self.radius, self.first, self.last])
+        return np.column_stack([self.centre, self.radius, self.first, self.last, self.low, self.high])
+
+    def vectors(self, node: int) -> np.ndarray:
+        return self.order[self.low[node]:self.high[node]]
 
 
 def _exact(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
@@ -127,28 +140,62 @@ def _exact(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     return good
 
 
+def _products(a: Tree, b: Tree, p: np.ndarray, q: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of vectors (rows of a, of b) of the node pairs p, q, some ``PAIRS`` at a time; of a node with itself each once."""
+    wide, deep = a.high[p] - a.low[p], b.high[q] - b.low[q]
+    cut = np.searchsorted(np.cumsum(wide * deep), np.arange(PAIRS, (wide * deep).sum() + PAIRS, PAIRS))
+    for k in np.split(np.arange(len(p)), np.unique(cut)):
+        n = wide[k] * deep[k]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        x, y = np.divmod(at, np.repeat(deep[k], n))
+        keep = ~np.repeat(p[k] == q[k], n) | (x < y) if same else slice(None)
+        yield a.order[(np.repeat(a.low[p[k]], n) + x)[keep]], b.order[(np.repeat(b.low[q[k]], n) + y)[keep]]
+
+
 def traverse(a: Tree, b: Tree, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a and b whose cosine is ``least`` or more; ``same``: one tree, each pair once."""
-    t = math.sqrt(2 - 2 * least)
-    out, stack = [], [(0, 0)]
+    """Rows of a and b whose cosine is ``least`` or more; ``same``: one tree, each pair once.
+
+    A pair of nodes is looked at by one product of its children's centres. What isn't pruned goes down;
+    where that is most of it, or for ``DENSE`` pairs of vectors and less, the nodes' vectors are
+    multiplied at once. Very small pairs (below ``SMALL``) are gathered and looked at together.
+    """
+    t = math.sqrt(2 - 2 * least) + EPS
+    found, stack = [], [(0, 0)]
+
+    def dense(p: int, q: int) -> None:
+        one, two = a.vectors(p), b.vectors(q)
+        x, y = np.nonzero(_distance(a.unit[one], b.unit[two]) <= t)
+        if same and p == q:
+            x, y = x[x < y], y[x < y]
+        found.append((one[x], two[y]))
+
     while stack:
         p, q = stack.pop()
+        size = (a.high[p] - a.low[p]) * (b.high[q] - b.low[q])
+        if size <= DENSE:
+            dense(p, q)
+            continue
         one, two = a.children(p), b.children(q)
-        near = _distance(a.unit[a.centre[one]], b.unit[b.centre[two]]) <= a.radius[one][:, None] + b.radius[two][None, :] + t + EPS
+        near = _distance(a.unit[a.centre[one]], b.unit[b.centre[two]]) <= a.radius[one][:, None] + b.radius[two][None, :] + t
+        if size <= LARGE and 2 * near.sum() > near.size:
+            dense(p, q)
+            continue
         i, j = np.nonzero(near)
         i, j = one[i], two[j]
         if same and p == q:
             i, j = i[i <= j], j[i <= j]
-        single = (a.last[i] == 0) & (b.last[j] == 0)
-        stack += zip(i[~single].tolist(), j[~single].tolist(), strict=True)
-        i, j = a.centre[i[single]], b.centre[j[single]]
-        if same:
-            i, j = i[i != j], j[i != j]
-        for k in range(0, len(i), 1 << 16):
-            x, y = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
+        few = (a.high[i] - a.low[i]) * (b.high[j] - b.low[j]) <= SMALL
+        stack += zip(i[~few].tolist(), j[~few].tolist(), strict=True)
+        for x, y in _products(a, b, i[few], j[few], same):
+            close = np.einsum("ij,ij->i", a.unit[x], b.unit[y]) >= 1 - t * t / 2 - EPS
+            found.append((x[close], y[close]))
+    out = []
+    for i, j in found:
+        for k in range(0, len(i), PAIRS):
+            x, y = i[k:k + PAIRS], j[k:k + PAIRS]
             good = _exact(a.x[x], b.x[y], least)
             out.append((x[good], y[good]))
-    return tuple(np.concatenate(x) if out else np.zeros(0, int) for x in (zip(*out, strict=True) if out else ((), ())))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int))
 
 
 # --- tasks ----------------------------------------------------------------
@@ -212,7 +259,7 @@ def _links(least: float):
                 for s in "ab":
                     ids[s], sizes[s] = (np.frombuffer(got[f"{s}_{k}"], "<i8") for k in ("cids", "sizes"))
                     trees[s] = Tree(np.frombuffer(got[f"{s}_vecs"], "<f8").reshape(len(ids[s]), -1),
-                                    np.frombuffer(got[f"{s}_nodes"], "<f8").reshape(-1, 4))
+                                    np.frombuffer(got[f"{s}_nodes"], "<f8").reshape(-1, 6))
                 i, j = traverse(trees["a"], trees["b"], least, got["same"])
                 if not len(i):
                     continue
@@ -236,36 +283,63 @@ def _apart(a: str, b: str):
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
 
 
+def _nested(classes: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(label, cell, cid, size, vec, away) with the last cell of each vector, and per level the cells there are
+    (label, parent, cell, radius, centre); a cell that isn't split is its own parent."""
+    rows = classes.select("label", F.lit(-1).cast("long").alias("cell"), "cid", "size", "vec", F.lit(2.0).alias("away"))
+    cells = rows.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).select(
+        "*", F.lit(None).cast("array<double>").alias("centre"), (F.col("n") > block).alias("open"))
+    cells = written(cells, "labels")
+    settled, levels = [], []
+    while True:
+        settled.append(rows.join(cells.filter("not open").select("label", "cell"), ["label", "cell"], "left_semi"))
+        wide = cells.filter("open")
+        if wide.isEmpty():
+            break
+        split = rows.drop("away").join(wide.select(
+            "label", "cell", F.ceil(F.col("n") / GROUP).cast("int").alias("salts"),
+            F.least(F.lit(MAX_CELLS), F.ceil(2 * F.col("n") / block)).cast("int").alias("cells")), ["label", "cell"]).withColumnRenamed("cell", "parent")
+        place = F.row_number().over(W.partitionBy("label", "parent").orderBy(F.xxhash64(F.lit(3), "cid"), "cid"))
+        centres = written(split.withColumn("place", place).filter(F.col("place") <= MAX_CELLS).filter("place <= cells").select(
+            "label", "parent", "cid", "vec", "salts"), "centres")
+        salted = split.withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
+        rows = written(salted.select("label", "parent", "salt", "cid", "size", "vec").groupBy("label", "parent", "salt").cogroup(
+            centres.select("label", "parent", "cid", "vec", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt")).groupBy("label", "parent", "salt"))
+            .applyInArrow(_cells, "label string, parent long, salt int, cid long, size long, vec array<double>, cell long, away double"), "cells")
+        scaled = F.expr("transform(vec, x -> x / array_max(transform(vec, y -> abs(y))))")
+        unit = F.expr("transform(vec, x -> x / sqrt(aggregate(vec, 0.0D, (s, y) -> s + y * y)))")
+        at = centres.select("label", F.col("cid").alias("cell"), scaled.alias("vec")).select("label", "cell", unit.alias("centre"))
+        of = wide.select("label", F.col("cell").alias("parent"), F.col("n").alias("all"), F.col("radius").alias("wide"))
+        shrunk = (F.col("n") <= SHRUNK * F.col("all")) | (F.col("radius") <= SHRUNK * F.col("wide"))
+        children = rows.groupBy("label", "parent", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).join(
+            of, ["label", "parent"]).join(at, ["label", "cell"]).select(
+            "label", "parent", "cell", "n", "radius", "centre", ((F.col("n") > block) & shrunk & (F.col("radius") > FLAT)).alias("open"))
+        whole = cells.filter("not open").select("label", F.col("cell").alias("parent"), "cell", "n", "radius", "centre", "open")
+        level = written(children.unionByName(whole), "level")
+        levels.append(level.select("label", "parent", "cell", "radius", "centre"))
+        cells, rows = level.drop("parent"), rows.select("label", "cell", "cid", "size", "vec", "away")
+    return functools.reduce(DataFrame.unionByName, settled), levels
+
+
 def _block_links(classes: DataFrame, least: float, block: int) -> DataFrame:
     t = math.sqrt(2 - 2 * least) + EPS
-    groups = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(
-        "label", F.ceil(F.col("n") / GROUP).cast("int").alias("salts"),
-        F.least(F.lit(MAX_CELLS), F.ceil(F.col("n") / block)).cast("int").alias("cells"))
-    place = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64(F.lit(3), "cid"), "cid"))
-    centres = written(classes.withColumn("place", place).filter(F.col("place") <= MAX_CELLS).join(groups, "label").filter(
-        "place <= cells").select("label", "cid", "vec", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt")), "centres")
-    salted = classes.join(groups.select("label", "salts"), "label").withColumn(
-        "salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int")).drop("salts")
-    celled = written(salted.select("label", "salt", "cid", "size", "vec").groupBy("label", "salt").cogroup(
-        centres.groupBy("label", "salt")).applyInArrow(
-        _cells, "label string, salt int, cid long, size long, vec array<double>, cell long, away double"), "cells")
+    celled, levels = _nested(classes, block)
     parts = celled.groupBy("label", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     parted = celled.join(parts, ["label", "cell"]).withColumn("part", F.pmod(F.xxhash64(F.lit(7), "cid"), F.col("parts")).cast("int"))
     blocks = written(parted.select("label", "cell", "part", "cid", "size", "vec", "away").groupBy("label", "cell", "part")
                      .applyInArrow(_tree, BLOCKS), "blocks")
-    # dual traversal, cells then blocks: pairs farther apart than both radii and t are pruned
-    cells = blocks.groupBy("label", "cell").agg(F.max("away").alias("radius")).join(
-        celled.select(F.col("cid").alias("cell"), "vec"), "cell")
-    unit = F.expr("transform(vec, x -> x / sqrt(aggregate(vec, 0.0D, (s, y) -> s + y * y)))")
-    cells = written(cells.select("label", "cell", "radius", unit.alias("centre")), "cell-radii")
-    pairs = cells.selectExpr("label", "cell a_cell", "radius a_radius", "centre a_centre").join(
-        cells.selectExpr("label", "cell b_cell", "radius b_radius", "centre b_centre"), "label").filter(
-        (F.col("a_cell") <= F.col("b_cell")) & (_apart("a_centre", "b_centre") <= F.col("a_radius") + F.col("b_radius") + t)) \
-        .select("label", "a_cell", "b_cell")
+    # dual traversal, level by level, then blocks: pairs farther apart than both radii and t are pruned
+    near = _apart("a_centre", "b_centre") <= F.col("a_radius") + F.col("b_radius") + t
+    pairs = classes.select("label").distinct().selectExpr("label", "-1L a_cell", "-1L b_cell")
+    for cells in levels:
+        side = lambda s: cells.selectExpr("label", f"parent {s}_parent", f"cell {s}_cell", f"radius {s}_radius", f"centre {s}_centre")  # noqa: B023, E731
+        pairs = written(pairs.selectExpr("label", "a_cell a_parent", "b_cell b_parent").join(side("a"), ["label", "a_parent"]).join(
+            side("b"), ["label", "b_parent"]).filter(
+            (F.col("a_cell") == F.col("b_cell")) | (((F.col("a_parent") != F.col("b_parent")) | (F.col("a_cell") < F.col("b_cell"))) & near))
+            .select("label", "a_cell", "b_cell"), "cell-pairs")
     head = lambda s: blocks.selectExpr("label", f"cell {s}_cell", f"part {s}_part", f"radius {s}_radius", f"centre {s}_centre")
     pairs = pairs.join(head("a"), ["label", "a_cell"]).join(head("b"), ["label", "b_cell"]).filter(
-        ((F.col("a_cell") < F.col("b_cell")) | (F.col("a_part") <= F.col("b_part")))
-        & (_apart("a_centre", "b_centre") <= F.col("a_radius") + F.col("b_radius") + t)).select(
+        ((F.col("a_cell") != F.col("b_cell")) | (F.col("a_part") <= F.col("b_part"))) & near).select(
         "label", "a_cell", "a_part", "b_cell", "b_part")
     body = lambda s: blocks.selectExpr("label", f"cell {s}_cell", f"part {s}_part",
                                        *(f"{x} {s}_{x}" for x in ("cids", "sizes", "vecs", "nodes")))
