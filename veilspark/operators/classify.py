@@ -6,7 +6,9 @@
 * :func:`apply_tags`        the tag table after applying the manifest,
                             all-or-nothing on mismatches
 
-All are joins on metadata keys; no per-row Python, no driver loops.
+All are joins on metadata keys; no per-row Python, no driver loops. Tags and
+columns are as many as the estate has, however small the file they come from
+looks to the planner: these joins merge, so that no side goes through the driver.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def manifest_mismatch(manifest_tags: DataFrame, column_catalog: DataFrame, catal
     return (
         manifest_tags.select(*COLUMN_KEYS)
         .distinct()
-        .join(cols, COLUMN_KEYS, "left_anti")
+        .join(cols.hint("merge"), COLUMN_KEYS, "left_anti")
         .withColumn("reason", F.lit(MISMATCH_REASON))
     )
 
@@ -54,7 +56,7 @@ def manifest_mismatch(manifest_tags: DataFrame, column_catalog: DataFrame, catal
 def missing_tags(manifest_tags: DataFrame, column_tags: DataFrame, catalog_name: str) -> DataFrame:
     """Manifest tags not present with the same value; a changed value counts as missing."""
     have = column_tags.where(F.col("catalog_name") == catalog_name).select(*TAG_KEYS)
-    return manifest_tags.select(*TAG_KEYS).join(have, TAG_KEYS, "left_anti")
+    return manifest_tags.select(*TAG_KEYS).join(have.hint("merge"), TAG_KEYS, "left_anti")
 
 
 def one_value_per_tag(manifest_tags: DataFrame) -> DataFrame:
