@@ -4,7 +4,8 @@ The load plan is one row per column of every table that still has to be
 loaded, with the sensitivity type and key names of the sensitive ones.
 It is computed as one DataFrame plan (anti, semi and outer joins plus a
 one-pass conditional aggregate instead of a tag self-join). Its size is the
-number of columns, never the number of data rows.
+number of columns, never the number of data rows. Joins of frames that grow with the
+estate merge: none is collected on the driver to be broadcast, whatever its estimate.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def managed_tables(table_catalog: DataFrame, catalog_name: str) -> DataFrame:
 def pending_tables(table_catalog: DataFrame, source: str, target: str) -> DataFrame:
     """Managed tables of ``source`` with no managed table of the same schema/name in ``target``."""
     done = managed_tables(table_catalog, target).select("schema_name", "table_name")
-    return managed_tables(table_catalog, source).join(done, ["schema_name", "table_name"], "left_anti")
+    return managed_tables(table_catalog, source).join(done.hint("merge"), ["schema_name", "table_name"], "left_anti")
 
 
 def sensitive_columns(column_tags: DataFrame) -> DataFrame:
@@ -82,9 +83,9 @@ def load_plan(pending: DataFrame, column_catalog: DataFrame, column_tags: DataFr
     their own keys: no hot NULL key. A sensitive column whose type has no
     registry entry keeps NULL key names; the loads refuse such a plan.
     """
-    cols = column_catalog.join(pending.select(*TABLE_KEYS), TABLE_KEYS, "left_semi")
+    cols = column_catalog.join(pending.select(*TABLE_KEYS).hint("merge"), TABLE_KEYS, "left_semi")
     keyed = sensitive_columns(column_tags).join(unique_registry(key_registry), "tag_value", "left")
-    return cols.join(keyed, COLUMN_KEYS, "left").select(*PLAN_COLUMNS)
+    return cols.join(keyed.hint("merge"), COLUMN_KEYS, "left").select(*PLAN_COLUMNS)
 
 
 def tables_to_load(plan: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def propagate_tags(column_tags: DataFrame, plan: DataFrame, target_catalog: str)
     so that masking and later planning skip it.
     """
     per_column = column_tags.groupBy(*COLUMN_KEYS).agg(F.collect_list(F.struct("tag_name", "tag_value")).alias("own"))
-    planned = plan.select(*COLUMN_KEYS, F.col("dsk_name").isNotNull().alias("hashed")).join(per_column, COLUMN_KEYS)
+    planned = plan.select(*COLUMN_KEYS, F.col("dsk_name").isNotNull().alias("hashed")).join(per_column.hint("merge"), COLUMN_KEYS)
     digest = F.concat("column_name", F.lit(hash_column_name("")))
 
     def named(column):
