@@ -9,7 +9,8 @@ Frames (see ``veilspark.schemas``):
 A data salt key (DSK) is stored only wrapped under one KEK version; the
 ``kek_version`` column says which. Rotation re-wraps the same DSK under a
 newer KEK version, so the salted hashes stay valid. All joins here are on
-key names and versions.
+key names and versions. They merge: there are as many keys as the estate has
+tenants, and none of these frames goes through the driver to be broadcast.
 """
 
 from __future__ import annotations
@@ -106,7 +107,7 @@ def new_kek_versions(kek_names: DataFrame, kek_versions: DataFrame, created: Col
     counts = kek_versions.groupBy("kek_name").agg(F.count(F.lit(1)).alias("n"))
     return (
         kek_names.select("kek_name").distinct()
-        .join(counts, "kek_name", "left")
+        .join(counts.hint("merge"), "kek_name", "left")
         .select(
             "kek_name",
             F.concat(F.lit("v"), (F.coalesce(F.col("n"), F.lit(0)) + 1).cast("string")).alias("version"),
@@ -119,7 +120,7 @@ def new_kek_versions(kek_names: DataFrame, kek_versions: DataFrame, created: Col
 def ensure_keks(registry: DataFrame, kek_versions: DataFrame, created: Column) -> DataFrame:
     """Version ``v1`` for every registry KEK that has no version yet."""
     absent = registry.select("kek_name").distinct().join(
-        kek_versions.select("kek_name"), "kek_name", "left_anti"
+        kek_versions.select("kek_name").hint("merge"), "kek_name", "left_anti"
     )
     return absent.select(
         "kek_name",
@@ -140,12 +141,12 @@ def ensure_dsks(registry: DataFrame, dsk_store: DataFrame, kek_versions: DataFra
     first, see :func:`ensure_keks`). Non-deterministic: write the result
     before using it.
     """
-    missing = registry.join(dsk_store.select("dsk_name"), "dsk_name", "left_anti")
-    needed = kek_versions.join(missing.select("kek_name"), "kek_name", "left_semi")  # only KEKs that wrap a new key
+    missing = registry.join(dsk_store.select("dsk_name").hint("merge"), "dsk_name", "left_anti")
+    needed = kek_versions.join(missing.select("kek_name").hint("merge"), "kek_name", "left_semi")  # only KEKs that wrap a new key
     ring = latest_keks(needed)
     attr = F.col("pci_pii_attribute_name")
     return (
-        missing.join(ring, "kek_name", "inner")
+        missing.join(ring.hint("merge"), "kek_name", "inner")
         .withColumn("_dsk", random_key())
         .select(
             attr.alias("attribute"),
@@ -167,7 +168,7 @@ def unwrap_dsks(dsk_store: DataFrame, kek_versions: DataFrame) -> DataFrame:
     """
     keks = kek_versions.select("kek_name", F.col("version").alias("kek_version"), "kek")
     keep = [c for c in dsk_store.columns if c != "wrapped_dsk"]
-    return dsk_store.join(keks, ["kek_name", "kek_version"], "left").select(
+    return dsk_store.join(keks.hint("merge"), ["kek_name", "kek_version"], "left").select(
         *keep,
         unwrap(F.col("wrapped_dsk"), F.col("kek"), key_aad(F.col("attribute"), F.col("kek_version"))).alias(
             "dsk"
@@ -189,7 +190,7 @@ def rotate_dsks(dsk_store: DataFrame, kek_versions: DataFrame) -> DataFrame:
     dsk = unwrap(F.col("wrapped_dsk"), F.col("old_kek"), key_aad(attr, F.col("kek_version")))
     stale = F.col("kek_version") != F.col("latest_version")
     checked = F.when(dsk.isNull(), F.raise_error(F.concat(F.lit("cannot unwrap DSK "), F.col("dsk_name")))).otherwise(dsk)
-    return dsk_store.join(ring, "kek_name", "left").join(held, ["kek_name", "kek_version"], "left").select(
+    return dsk_store.join(ring.hint("merge"), "kek_name", "left").join(held.hint("merge"), ["kek_name", "kek_version"], "left").select(
         "attribute",
         "kek_name",
         "dsk_name",
