@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from veilspark.operators import classify as C
+from veilspark.operators import keys as K
 from veilspark.operators import plan as P
 from veilspark.operators.protect import hash_projection, plan_for_frame
 from veilspark.plans.workloads import _unwrapped_global
@@ -185,3 +186,41 @@ def test_broken_manifests_are_set_aside(spark, tmp_path):
     assert manifests.count() == 4
     tags = C.flatten_manifest(manifests)
     assert [tuple(r) for r in tags.distinct().collect()] == [("s", "t", "a", "sensitivity_type", "ssn")] and tags.count() == 3
+
+
+def _broadcast_on(df) -> list[str]:
+    """Keys of the plan's broadcast joins, also those in its subqueries."""
+    import re
+
+    return re.findall(r"Broadcast(?:Hash|NestedLoop)Join \[?(\w+)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_estate_sized_frames_are_not_broadcast(spark, sf_small):
+    c = spark.read.parquet(f"{sf_small}/customer.parquet")  # so small that the planner would broadcast every side
+    cols, tags = fx.estate_column_catalog(c), fx.estate_column_tags(c)
+    manifest = C.flatten_manifest(fx.estate_manifest(c))
+    assert _broadcast_on(C.manifest_mismatch(manifest, cols, "landing")) == []
+    assert _broadcast_on(C.missing_tags(manifest, tags, "landing")) == []
+    assert _broadcast_on(C.apply_tags(manifest, cols, tags, "landing")) == []
+    pending = P.pending_tables(fx.estate_table_catalog(c), "landing", "vault")
+    assert _broadcast_on(pending) == []
+    plan = P.load_plan(pending, cols, tags, fx.registry_seed(spark))
+    assert _broadcast_on(plan) == ["tag_value"]  # the registry: a row per sensitivity type
+    assert _broadcast_on(P.propagate_tags(tags, plan, "vault")) == ["tag_value"]
+    assert _broadcast_on(P.target_schema(plan, "vault")) == ["tag_value"]
+    registry, keks, dsks = fx.estate_key_registry(c), fx.estate_kek_versions(c), fx.estate_dsk_store(c)
+    created = F.lit("2026-01-01 00:00:00")
+    for df in (K.ensure_keks(registry, keks, created), K.ensure_dsks(registry, dsks, keks), K.unwrap_dsks(dsks, keks),
+               K.rotate_dsks(dsks, keks), K.new_kek_versions(keks, keks, created)):
+        assert _broadcast_on(df) == []
+
+
+def test_tenants_of_a_task_are_bounded(spark, sf_small, monkeypatch):
+    c = spark.read.parquet(f"{sf_small}/customer.parquet").coalesce(1)
+    n = c.count()
+    frames = (fx.estate_column_tags, fx.estate_kek_versions, fx.estate_dsk_store, fx.estate_manifest, fx.estate_column_catalog)
+    assert [f(c).rdd.getNumPartitions() for f in frames] == [1] * len(frames)
+    whole = sorted(map(tuple, fx.estate_column_tags(c).collect()))
+    monkeypatch.setattr(fx, "TENANTS_A_TASK", n // 5)
+    assert [f(c).rdd.getNumPartitions() for f in frames] == [5] * len(frames)
+    assert sorted(map(tuple, fx.estate_column_tags(c).collect())) == whole

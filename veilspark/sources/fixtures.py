@@ -139,9 +139,16 @@ def group_members(spark: SparkSession) -> DataFrame:
 # Tenant estate: one landing table per customer row
 # ---------------------------------------------------------------------------
 
+TENANTS_A_TASK = 20_000
+
+
 def _tenants(customer: DataFrame) -> DataFrame:
+    """Dealt out so that a task has a bounded number: a tenant becomes up to 18 rows, and
+    one input split can hold any number of them."""
     k = F.col("c_custkey")
-    return customer.select(
+    tasks = -(-customer.count() // TENANTS_A_TASK)
+    customer = customer.select("c_custkey", "c_mktsegment")
+    return (customer.repartition(tasks, "c_custkey") if tasks > 1 else customer).select(
         k.alias("k"),
         F.concat(F.lit("pci_pii_"), F.lower("c_mktsegment")).alias("schema_name"),
         F.concat(F.lit("customer_records_"), _s(k)).alias("table_name"),
