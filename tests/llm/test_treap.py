@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import empty, frame, mixed_docs, words
 
@@ -134,3 +135,29 @@ def test_ranges_are_pruned(monkeypatch):
     halved = T.descend(tree, rows, np.array([6000, 6000, 3000]), np.frombuffer(x["doc_ids"], "<i8"), best)
     assert sorted(best.id.tolist()) == [i for i in range(4000) if i % 500 == 7]
     assert halved < 4095 / 4  # of all ranges
+
+
+def test_rows_of_blocks_are_taken_one_by_one(spark, monkeypatch):
+    seen, written = {}, T.written
+
+    def spy(df, name):
+        seen[name] = {k: df.sparkSession.conf.get(k) for k in T.ROW_BY_ROW}
+        return written(df, name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    monkeypatch.setattr(T, "written", spy)
+    before = {k: spark.conf.get(k) for k in T.ROW_BY_ROW}
+    docs = spark.createDataFrame([(i, f"word{i % 7} common") for i in range(40)], "doc_id long, text string").repartition(6)
+    index = T.build(docs)
+    found = T.search(index, spark.createDataFrame([(1, "word3")], "item_id long, text string"), k=3)
+    assert [r["doc_id"] for r in found.orderBy("rank").collect()] == [3, 10, 17]
+    assert seen["treaps"] == seen["found"] == T.ROW_BY_ROW  # the jobs that read rows of blocks
+    assert seen["postings"] == seen["item-terms"] == before  # those that read texts
+    assert {k: spark.conf.get(k) for k in T.ROW_BY_ROW} == before
+    blocks = index.blocks.coalesce(1)
+    assert blocks.count() > 1
+    with T._row_by_row(spark):
+        assert {r["n"] for r in blocks.mapInArrow(sizes, "n long").collect()} == {1}

@@ -34,6 +34,7 @@ import math
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +49,8 @@ from veilspark.llm.common import pick, read, written
 BLOCK_DOCS, BLOCK_POSTINGS = 1 << 14, 1 << 18
 STEP = 128                         # ranges halved at a time
 CHUNK_ITEMS, CHUNK_TERMS = 4096, 1 << 20  # of a search; what tasks are sent
+# Rows of blocks have megabytes: read and sent to Python one by one, not by the thousand.
+ROW_BY_ROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.parquet.columnarReaderBatchSize": "1"}
 NO_ID = (1 << 63) - 1              # sorts after every other id
 SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 SIGNS = bytes(0x20 if b in SEPARATORS else b for b in range(256))
@@ -59,6 +62,22 @@ def terms_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().translate(SIGNS).split()
 
 
+@contextmanager
+def _row_by_row(spark: SparkSession) -> Iterator[None]:
+    """For the jobs run inside: a task holds one row of blocks at a time, however many its split has."""
+    before = {k: spark.conf.get(k, None) for k in ROW_BY_ROW}
+    for k, v in ROW_BY_ROW.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 # --- postings -------------------------------------------------------------
 
 POSTINGS = "n_docs long, n_terms long, doc_ids binary, lengths binary, terms binary, rows binary, cols binary, tfs binary"
@@ -300,7 +319,8 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
     postings = written(frame.mapInArrow(_postings, POSTINGS), "postings")
     n = postings.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("n_terms"), F.lit(0)).alias("terms")).first()
     cells = postings.select("doc_ids", "lengths", "terms", "rows", "cols", "tfs")
-    return Index(written(cells.mapInArrow(_treaps(n["docs"], n["terms"]), TREAPS), "treaps"), n["docs"], n["terms"])
+    with _row_by_row(docs.sparkSession):
+        return Index(written(cells.mapInArrow(_treaps(n["docs"], n["terms"]), TREAPS), "treaps"), n["docs"], n["terms"])
 
 
 # --- search ---------------------------------------------------------------
@@ -361,8 +381,11 @@ def search(index: Index, items: DataFrame, k: int = 50, id_col: str = "item_id",
     terms = written(frame.mapInArrow(_terms, "item_id long, term binary").distinct(), "item-terms")
     size = terms.agg(F.count_distinct(F.coalesce("item_id", F.lit(NO_ID))).alias("items"), F.count(F.lit(1)).alias("terms")).first()
     n_chunks = max(1, math.ceil(size["items"] / CHUNK_ITEMS), math.ceil(size["terms"] / CHUNK_TERMS))
-    found = [written(_search_chunk(index, terms.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_chunks)) == i), k), "found")
-             for i in range(n_chunks)]  # written one by one: a chunk's terms go before the next ones come
+    found = []
+    for i in range(n_chunks):  # written one by one: a chunk's terms go before the next ones come
+        chunk = _searcher(index, terms.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_chunks)) == i), k)
+        with _row_by_row(spark):
+            found.append(written(index.blocks.mapInArrow(chunk, FOUND), "found"))
     result = found[0]
     for more in found[1:]:
         result = result.unionAll(more)
@@ -373,18 +396,19 @@ def search(index: Index, items: DataFrame, k: int = 50, id_col: str = "item_id",
     return result.filter(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
 
 
-def _search_chunk(index: Index, terms: DataFrame, k: int) -> DataFrame:
+def _searcher(index: Index, terms: DataFrame, k: int):
     """``terms``: (item_id, term) of about CHUNK_ITEMS items."""
     pairs = terms.collect()
     wanted = {bytes(r["term"]) for r in pairs}
-    dfs = {bytes(r["term"]): r["df"] for r in index.blocks.select("terms", "dfs").mapInArrow(
-        _dfs(wanted), "term binary, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()}  # terms of the chunk
+    with _row_by_row(terms.sparkSession):
+        dfs = {bytes(r["term"]): r["df"] for r in index.blocks.select("terms", "dfs").mapInArrow(
+            _dfs(wanted), "term binary, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()}  # terms of the chunk
     items: dict[int | None, dict[bytes, int]] = {}
     for r in pairs:
         t = bytes(r["term"])
         if t in dfs and (w := weight(dfs[t], index.n_docs)) > 0:
             items.setdefault(r["item_id"], {})[t] = w
-    return index.blocks.mapInArrow(_searched(items, k), FOUND)
+    return _searched(items, k)
 
 
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
