@@ -224,3 +224,16 @@ def test_tenants_of_a_task_are_bounded(spark, sf_small, monkeypatch):
     monkeypatch.setattr(fx, "TENANTS_A_TASK", n // 5)
     assert [f(c).rdd.getNumPartitions() for f in frames] == [5] * len(frames)
     assert sorted(map(tuple, fx.estate_column_tags(c).collect())) == whole
+
+
+def test_tenants_of_a_task_are_bounded_whatever_the_keys(spark, sf_small, monkeypatch):
+    c = spark.read.parquet(f"{sf_small}/customer.parquet").coalesce(1)
+    n, k = c.count(), F.col("c_custkey")
+    monkeypatch.setattr(fx, "TENANTS_A_TASK", n // 5)
+    for keys in (F.when(k % 2 == 0, 4).otherwise(k), F.when(k % 2 == 0, None).otherwise(k)):  # half the rows have one key, or none
+        tenants = fx._tenants(c.withColumn("c_custkey", keys.cast("bigint")))
+        assert max(r["count"] for r in tenants.groupBy(F.spark_partition_id()).count().collect()) <= n // 5 + 1
+    hot = c.withColumn("c_custkey", F.when(k % 2 == 0, 4).otherwise(k))
+    once = hot.dropDuplicates(["c_custkey", "c_mktsegment"])
+    for rows in (lambda x: K.keys_due(fx.estate_kek_versions(x), "2025-06-01 00:00:00"),):
+        assert sorted(map(tuple, rows(hot).collect())) == sorted(map(tuple, rows(once).collect())) != []

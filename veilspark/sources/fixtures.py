@@ -144,11 +144,12 @@ TENANTS_A_TASK = 20_000
 
 def _tenants(customer: DataFrame) -> DataFrame:
     """Dealt out so that a task has a bounded number: a tenant becomes up to 18 rows, and
-    one input split can hold any number of them."""
+    one input split can hold any number of them. Dealt in turn, not by key: rows of one key,
+    or of none, would all come to one task."""
     k = F.col("c_custkey")
     tasks = -(-customer.count() // TENANTS_A_TASK)
     customer = customer.select("c_custkey", "c_mktsegment")
-    return (customer.repartition(tasks, "c_custkey") if tasks > 1 else customer).select(
+    return (customer.repartition(tasks) if tasks > 1 else customer).select(
         k.alias("k"),
         F.concat(F.lit("pci_pii_"), F.lower("c_mktsegment")).alias("schema_name"),
         F.concat(F.lit("customer_records_"), _s(k)).alias("table_name"),
