@@ -236,5 +236,6 @@ def test_tenants_of_a_task_are_bounded_whatever_the_keys(spark, sf_small, monkey
     hot = c.withColumn("c_custkey", F.when(k % 2 == 0, 4).otherwise(k))
     once = hot.dropDuplicates(["c_custkey", "c_mktsegment"])
     for rows in (lambda x: K.keys_due(fx.estate_kek_versions(x), "2025-06-01 00:00:00"),
-                 lambda x: K.ensure_registry(fx.registry_seed(spark, fx.SENSITIVITY_TYPES[:5]), P.sensitive_columns(fx.estate_column_tags(x)), "tag_value")):
+                 lambda x: K.ensure_registry(fx.registry_seed(spark, fx.SENSITIVITY_TYPES[:5]), P.sensitive_columns(fx.estate_column_tags(x)), "tag_value"),
+                 lambda x: P.sensitive_columns(fx.estate_column_tags(x))):
         assert sorted(map(tuple, rows(hot).collect())) == sorted(map(tuple, rows(once).collect())) != []
